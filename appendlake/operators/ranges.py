@@ -9,10 +9,10 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from appendlake.config import LakeConfig
+from appendlake.config import MIB, LakeConfig
 from appendlake.functions import paths
 from appendlake.operators.ledger import RANGE_LOG_SCHEMA
-from appendlake.session import persist_table, task_count
+from appendlake.session import persist_counted, task_count
 from appendlake.sources import pieces
 from appendlake.sources.files import copy_bytes
 
@@ -35,19 +35,27 @@ def copy(
 
     Copying happens when the result is evaluated; write it to the log once.
     """
-    # Sizes are taken once: the files keep growing while the copy runs.
-    checked = persist_table(plan, "range-plan").withColumn(
-        "error",
-        F.when(F.col("offset_start") < 0, NEGATIVE_OFFSET).when(
-            F.col("offset_end") <= F.col("offset_start"), EMPTY_RANGE
-        ),
-    )
     names = ["entity", "source_stem", "source_path"]
-    ranges = checked.where("error is null").select(
-        *names, F.col("offset_start").alias("range_start"), F.col("offset_end").alias("range_end")
+    checked = plan.select(
+        *names,
+        F.col("offset_start").alias("range_start"),
+        F.col("offset_end").alias("range_end"),
+        F.when(F.col("offset_start") < 0, NEGATIVE_OFFSET)
+        .when(F.col("offset_end") <= F.col("offset_start"), EMPTY_RANGE)
+        .alias("error"),
     )
+    # Sizes are taken once: the files keep growing while the copy runs.
+    chunks = F.when(F.col("error").isNull(), pieces.chunk_count(config.chunk_bytes))
+    checked, chunks_known = persist_counted(checked, "range-plan", chunks)
+    ranges = checked.where("error is null").drop("error")
     found = pieces.cut(
-        ranges, config.chunk_bytes, min(config.block_bytes, 16 << 20), keep_tail=False, keep_errors=True
+        ranges,
+        config.chunk_bytes,
+        min(config.block_bytes, 16 * MIB),
+        keep_tail=False,
+        keep_errors=True,
+        carry=["entity", "source_stem"],
+        chunks_known=chunks_known,
     )
     part = Window.partitionBy("source_path", "range_start")
     number = F.row_number().over(part.orderBy("piece_start"))
@@ -57,7 +65,6 @@ def copy(
     suffix = F.when(F.col("parts") == 1, "").otherwise(F.format_string("_%05d", F.col("number")))
     planned = (
         found.withColumns({"number": number, "parts": parts})
-        .join(ranges.select("source_path", "entity", "source_stem"), "source_path")
         .select(
             *names,
             F.concat(
@@ -71,8 +78,8 @@ def copy(
             "error",
         )
     )
-    planned = persist_table(planned, "copy-plan")
-    tasks = task_count(planned.count())
+    planned, files = persist_counted(planned, "copy-plan")
+    tasks = task_count(files)
     block_bytes = config.block_bytes
 
     def copy_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -105,9 +112,9 @@ def copy(
     rejected = checked.where("error is not null").select(
         *names,
         F.lit(None).cast("string").alias("target_path"),
-        "offset_start",
-        "offset_end",
-        (F.col("offset_end") - F.col("offset_start")).alias("range_bytes"),
+        F.col("range_start").alias("offset_start"),
+        F.col("range_end").alias("offset_end"),
+        (F.col("range_end") - F.col("range_start")).alias("range_bytes"),
         F.lit(run_ts).cast("timestamp").alias("run_ts"),
         "error",
     )

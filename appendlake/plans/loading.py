@@ -33,7 +33,8 @@ def read_entity(
     guard_columns: Sequence[str] = GUARD_COLUMNS,
 ) -> DataFrame:
     """Rows of range files with file columns, the date guard applied, and a corrupt flag."""
-    return date_guard(records.read(spark, paths, schema, keep_corrupt=True), guard_columns)
+    rows = records.read(spark, paths, schema, keep_corrupt=True)
+    return date_guard(rows, guard_columns, stored=False)
 
 
 def load_entity(

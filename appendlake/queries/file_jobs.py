@@ -57,10 +57,8 @@ ORDERS = T.StructType(
 
 def export(df: DataFrame, folder: str) -> None:
     """Header-less, fully quoted CSV; added to what the folder holds."""
-    df.write.mode("append").csv(
-        folder, quoteAll=True, escape='"', emptyValue="", header=False,
-        timestampNTZFormat="yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
-    )
+    writer = df.write.mode("append").option("timestampNTZFormat", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
+    writer.csv(folder, quoteAll=True, escape='"', emptyValue="", header=False)
 
 
 def new_lake(spark: SparkSession, name: str, **sizes: int) -> LakeConfig:

@@ -5,7 +5,8 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
 MAX_TASKS = 20_000
 
@@ -31,12 +32,22 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
     Cuts the lineage and fixes the rows: later jobs see the same values even if
     an executor is lost and a task runs again.
     """
-    spark = df.sparkSession
-    path = scratch_dir(spark, name)
+    path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def task_count(units: int | None) -> int:
+def persist_counted(df: DataFrame, name: str, units: Column | None = None) -> tuple[DataFrame, int]:
+    """``persist_table``, and the sum of ``units`` over the rows (their number by default).
+
+    The write itself counts, so no further job is needed.
+    """
+    seen = Observation(f"{name}-{uuid.uuid4().hex}")
+    total = F.count(F.lit(1)) if units is None else F.sum(units)
+    table = persist_table(df.observe(seen, total.alias("units")), name)
+    return table, int(seen.get["units"] or 0)
+
+
+def task_count(units: int) -> int:
     """One task per unit of work; beyond the limit a task takes several units."""
-    return max(1, min(int(units or 0), MAX_TASKS))
+    return max(1, min(units, MAX_TASKS))

@@ -120,7 +120,7 @@ def schemas(entities: DataFrame) -> dict[str, T.StructType]:
         r["entity"]: [] for r in entities.select("entity").collect()
     }
     for r in attributes(entities).collect():
-        field = T.StructField(r["name"], T._parse_datatype_string(r["spark_type"]))
+        field = T.StructField(r["name"], T.DataType.fromDDL(r["spark_type"]))
         found[r["entity"]].append((r["pos"], field))
     return {
         name: T.StructType([f for _, f in sorted(fields, key=lambda pair: pair[0])])

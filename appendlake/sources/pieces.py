@@ -12,12 +12,12 @@ a range that breaks the rule stays in one piece and is marked ``regular = false`
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -68,9 +68,7 @@ def summarize_chunk(
     for left, block, right in _with_neighbours(
         read_blocks(path, start, end, block_bytes), before, after
     ):
-        data = np.frombuffer(block, np.uint8)
-        at = np.flatnonzero(data == QUOTE)
-        ends = np.flatnonzero(data == NEWLINE)
+        data, at, ends = _marks(block)
         case_of_end = (quotes + np.searchsorted(at, ends)) & 1
         for case in (0, 1):
             own = ends[case_of_end == case]
@@ -79,9 +77,10 @@ def summarize_chunk(
                 if first[case] is None:
                     first[case] = position + int(own[0]) + 1
         if at.size:
-            padded = np.concatenate(([left], data, [right])).astype(np.uint8)
-            may_open = np.isin(padded[at], (COMMA, NEWLINE, QUOTE))
-            may_close = np.isin(padded[at + 2], (COMMA, NEWLINE, RETURN, QUOTE))
+            byte_before = np.where(at > 0, data[at - 1], left)
+            byte_after = np.where(at < data.size - 1, data[np.minimum(at + 1, data.size - 1)], right)
+            may_open = np.isin(byte_before, (COMMA, NEWLINE, QUOTE))
+            may_close = np.isin(byte_after, (COMMA, NEWLINE, RETURN, QUOTE))
             opens = ((quotes + np.arange(at.size)) & 1) == 0
             broken[0] |= not np.where(opens, may_open, may_close).all()
             broken[1] |= not np.where(opens, may_close, may_open).all()
@@ -90,6 +89,21 @@ def summarize_chunk(
     return quotes, first[0], last[0], first[1], last[1], broken[0], broken[1]
 
 
+def _marks(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The bytes of a block, and the positions of its quotes and newlines.
+
+    Such bytes are rare, so eight at a time are looked at first.
+    """
+    data = np.frombuffer(block, np.uint8)
+    marked = (data == QUOTE) | (data == NEWLINE)
+    whole = marked.size // 8 * 8
+    words = np.flatnonzero(marked[:whole].view(np.uint64))
+    row, column = np.nonzero(marked[:whole].reshape(-1, 8)[words])
+    at = np.concatenate((words[row] * 8 + column, whole + np.flatnonzero(marked[whole:])))
+    is_quote = data[at] == QUOTE
+    return data, at[is_quote], at[~is_quote]
+
+
 def _with_neighbours(
     blocks: Iterator[bytes], before: int, after: int
 ) -> Iterator[tuple[int, bytes, int]]:
@@ -101,18 +115,24 @@ def _with_neighbours(
     yield before, current, after
 
 
-def _chunks(ranges: DataFrame, chunk_bytes: int) -> DataFrame:
+def _step(chunk_bytes: int) -> Column:
+    length = F.col("range_end") - F.col("range_start")
+    return F.greatest(F.lit(chunk_bytes), F.ceil(length / F.lit(MAX_CHUNKS))).cast("bigint")
+
+
+def chunk_count(chunk_bytes: int) -> Column:
+    """Number of chunks ``cut`` scans for a range, so that a caller can count along."""
     length = F.col("range_end") - F.col("range_start")
-    step = F.greatest(F.lit(chunk_bytes), F.ceil(length / F.lit(MAX_CHUNKS)))
+    return F.ceil(length / _step(chunk_bytes)).cast("bigint")
+
+
+def _chunks(ranges: DataFrame, chunk_bytes: int, carry: Sequence[str]) -> DataFrame:
+    starts = F.sequence("range_start", F.col("range_end") - 1, "step")
     return (
         ranges.where("range_end > range_start")
-        .select("source_path", "range_start", "range_end", step.cast("bigint").alias("step"))
+        .withColumn("step", _step(chunk_bytes))
         .select(
-            "source_path",
-            "range_start",
-            "range_end",
-            "step",
-            F.explode(F.sequence("range_start", F.col("range_end") - 1, "step")).alias("chunk_start"),
+            *carry, "source_path", "range_start", "range_end", "step", F.explode(starts).alias("chunk_start")
         )
         .withColumn("chunk_end", F.least(F.col("chunk_start") + F.col("step"), F.col("range_end")))
         .drop("step")
@@ -125,6 +145,8 @@ def cut(
     block_bytes: int = 16 * MIB,
     keep_tail: bool = True,
     keep_errors: bool = False,
+    carry: Sequence[str] = (),
+    chunks_known: int | None = None,
 ) -> DataFrame:
     """Ranges ``(source_path, range_start, range_end)`` → pieces that begin and end at record ends.
 
@@ -132,32 +154,31 @@ def cut(
     must begin at a record end. The bytes after the last record end are part of
     the last piece with ``keep_tail`` and of no piece without. A range that
     cannot be read fails the job, or with ``keep_errors`` stays one piece with
-    its ``error`` set.
+    its ``error`` set. ``carry`` names further columns of a range to keep.
+    ``chunks_known`` is the sum of ``chunk_count``, if the caller has it.
     """
-    chunks = _chunks(ranges, chunk_bytes)
-    tasks = task_count(chunks.count())
+    chunks = _chunks(ranges, chunk_bytes, carry)
+    tasks = task_count(chunks.count() if chunks_known is None else chunks_known)
+    carry = list(carry)
+    out = T.StructType([ranges.schema[c] for c in carry] + CHUNK_SUMMARY.fields)
+    kept = [*carry, "source_path", "range_start", "range_end", "chunk_start"]
 
     def scan(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             rows = []
-            for c in batch.itertuples():
+            for c in batch.to_dict("records"):
+                bounds = [c[n] for n in ("chunk_start", "chunk_end", "range_start", "range_end")]
                 try:
-                    summary = (
-                        *summarize_chunk(
-                            c.source_path, c.chunk_start, c.chunk_end,
-                            c.range_start, c.range_end, block_bytes,
-                        ),
-                        None,
-                    )
+                    summary = (*summarize_chunk(c["source_path"], *bounds, block_bytes), None)
                 except Exception as problem:
                     if not keep_errors:
                         raise
                     summary = (0, None, None, None, None, False, False, repr(problem))
-                rows.append((c.source_path, c.range_start, c.range_end, c.chunk_start, *summary))
-            yield pd.DataFrame(rows, columns=CHUNK_SUMMARY.names, dtype=object)
+                rows.append((*[c[n] for n in kept], *summary))
+            yield pd.DataFrame(rows, columns=out.names, dtype=object)
 
     # Round-robin with a fixed number: the rows are tiny, the work behind each is not.
-    summary = chunks.repartition(tasks).mapInPandas(scan, CHUNK_SUMMARY)
+    summary = chunks.repartition(tasks).mapInPandas(scan, out)
 
     by_range = Window.partitionBy("source_path", "range_start")
     ordered = by_range.orderBy("chunk_start")
@@ -189,7 +210,9 @@ def cut(
     return (
         starts.withColumn("piece_end", F.coalesce(F.lead("piece_start").over(ordered), stop))
         .where("piece_end > piece_start")
-        .select("source_path", "range_start", "range_end", "piece_start", "piece_end", "regular", "error")
+        .select(
+            *carry, "source_path", "range_start", "range_end", "piece_start", "piece_end", "regular", "error"
+        )
     )
 
 
@@ -198,26 +221,43 @@ def piece_records(path: str, start: int, end: int, batch_bytes: int = 8 * MIB) -
 
     Each block becomes one array, and its unfinished last record is carried into
     the next. The blocks are small, since each array is one message to the JVM.
+    The line end of a record is removed, and an empty line is no record.
     """
     carried: list[bytes] = []
     carried_bytes, carried_quotes, remaining = 0, 0, end - start
     for block in read_blocks(path, start, end, batch_bytes):
         remaining -= len(block)
-        data = np.frombuffer(block, np.uint8)
-        quotes = np.flatnonzero(data == QUOTE)
-        ends = np.flatnonzero(data == NEWLINE)
-        ends = ends[((carried_quotes + np.searchsorted(quotes, ends)) & 1) == 0] + 1
-        if remaining == 0 and (not ends.size or ends[-1] < len(block)):
-            ends = np.append(ends, len(block))
-        if not ends.size:
+        _, quotes, ends = _marks(block)
+        ends = ends[((carried_quotes + np.searchsorted(quotes, ends)) & 1) == 0]
+        used = int(ends[-1]) + 1 if ends.size else 0
+        at_end = remaining == 0
+        if not ends.size and not at_end:
             carried.append(block)
             carried_bytes += len(block)
             carried_quotes += int(quotes.size)
             continue
-        used = int(ends[-1])
-        offsets = np.concatenate(([0], ends + carried_bytes)).astype(np.int32)
-        values = b"".join([*carried, block[:used]])
-        yield pa.StringArray.from_buffers(ends.size, pa.py_buffer(offsets), pa.py_buffer(values))
+        text = b"".join([*carried, block if at_end else block[:used]])
+        yield _without_line_ends(text, ends + carried_bytes)
         carried = [block[used:]]
         carried_bytes = len(block) - used
         carried_quotes = int(quotes.size - np.searchsorted(quotes, used))
+
+
+def _without_line_ends(text: bytes, newlines: np.ndarray) -> pa.Array:
+    """Records of ``text``, of which each ends at a given newline or at the end of the text."""
+    data = np.frombuffer(text, np.uint8)
+    returns = newlines[newlines > 0] - 1
+    returns = returns[data[returns] == RETURN]
+    removed = np.concatenate((newlines, returns))
+    ends = newlines + 1
+    if not ends.size or ends[-1] < data.size:
+        ends = np.append(ends, data.size)
+    kept = np.ones(data.size, bool)
+    kept[removed] = False
+    shifts = np.searchsorted(np.sort(removed), ends)
+    offsets = np.concatenate(([0], ends - shifts)).astype(np.int32)
+    records = pa.StringArray.from_buffers(
+        ends.size, pa.py_buffer(offsets), pa.py_buffer(data[kept])
+    )
+    filled = np.diff(offsets) > 0
+    return records if filled.all() else records.filter(pa.array(filled))

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from appendlake.config import MIB
 from appendlake.functions.casts import parse_timestamp
-from appendlake.session import persist_table, task_count
+from appendlake.session import persist_counted, task_count
 from appendlake.sources import pieces
 
 # The export's CSV form, and the names of the columns added to each row.
@@ -117,15 +117,14 @@ def read_split(
         F.col("length").alias("range_end"),
         F.col("modificationTime").alias(MODIFIED_COLUMN),
     )
-    found = persist_table(
-        pieces.cut(files, chunk_bytes).join(
-            files.select("source_path", MODIFIED_COLUMN), "source_path", "left"
-        ),
-        "pieces",
+    # Sizes are taken once, and the pieces are found once.
+    files, chunks_known = persist_counted(files, "split-files", pieces.chunk_count(chunk_bytes))
+    found, piece_count = persist_counted(
+        pieces.cut(files, chunk_bytes, carry=[MODIFIED_COLUMN], chunks_known=chunks_known), "pieces"
     )
     irregular = [r[0] for r in found.where("not regular").select("source_path").distinct().collect()]
     regular = found.where("regular")
-    rows = _parse_pieces(regular, schema, task_count(regular.count()), file_columns)
+    rows = _parse_pieces(regular, schema, task_count(piece_count), file_columns)
     if irregular:
         rows = rows.unionByName(read(spark, irregular, schema, file_columns))
     return rows
@@ -152,15 +151,10 @@ def _parse_pieces(
                     yield pa.RecordBatch.from_pydict(columns)
 
     cut = found.select(*wanted).repartition(tasks).mapInArrow(records, out)
-    # One line end is removed from each record; blank lines are no records.
-    line = F.rtrim(F.col("record"), F.lit("\n"))
-    line = F.when(line.endswith("\r"), F.substr(line, F.lit(1), F.length(line) - 1)).otherwise(line)
     text = T.StructType(_text_schema(schema).fields[:-1])
     rest = out.names[1:]
     rows = (
-        cut.withColumn("record", line)
-        .where("record <> ''")
-        .select(F.from_csv("record", text.toDDL(), CSV_FORM).alias("row"), *rest)
+        cut.select(F.from_csv("record", text.toDDL(), CSV_FORM).alias("row"), *rest)
         .select("row.*", *rest)
     )
     return _typed(rows, schema, False, rest)

@@ -1,0 +1,160 @@
+import datetime as dt
+import os
+import random
+
+import pytest
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from appendlake.config import LakeConfig
+from appendlake.operators import growth, ledger, ranges
+from appendlake.plans.copying import copy_growth, growth_report
+from appendlake.sources import records
+from appendlake.sources.listing import list_files
+
+SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
+PLAN = "entity string, source_stem string, source_path string, offset_start bigint, offset_end bigint"
+
+
+def rows_text(first, last, rng=None):
+    return "".join(f'{i},"line {i}\nwith ""quotes"", and commas"\n' for i in range(first, last))
+
+
+def copied_ids(spark, lake, entity):
+    paths = [r[0] for r in ledger.available(spark, lake, entity).select("target_path").collect()]
+    return sorted(r.id for r in records.read(spark, paths, SCHEMA, False).collect())
+
+
+def state(spark, lake):
+    return {r.source_path.rsplit("/", 1)[1]: r.offset_end for r in ledger.file_state(spark, lake).collect()}
+
+
+def test_growth_in_steps(spark, lake, put):
+    put("acc", "p1.csv", rows_text(0, 20))
+    os.makedirs(f"{lake.source_root}/acc/Snapshot")
+    os.makedirs(f"{lake.source_root}/acc/x=1")
+    put("acc/x=1", "hidden.csv", rows_text(900, 903))
+    first = copy_growth(spark, lake, ["acc", "nothing_here"])
+    assert first.where("error is not null").count() == 0
+    # A range longer than a chunk becomes several files.
+    assert first.count() > 1 and first.agg(F.max("range_bytes")).first()[0] < 400
+    assert copied_ids(spark, lake, "acc") == list(range(20))
+
+    put("acc", "p1.csv", rows_text(20, 22))
+    put("acc", "p2.csv", rows_text(100, 101))
+    second = copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
+    assert sorted(r.source_stem for r in second.collect()) == ["p1", "p2"]
+    assert copied_ids(spark, lake, "acc") == [*range(22), 100]
+    names = [os.path.basename(r.target_path) for r in second.collect()]
+    assert all(len(n) == len("p1_20240101000000.csv") for n in names)
+
+    third = copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=9))
+    assert third.count() == 0
+
+
+def test_random_growth_equals_one_read(spark, lake, put):
+    rng = random.Random(11)
+    whole = rows_text(0, 60).encode()
+    cuts = sorted(rng.sample(range(1, len(whole)), 4)) + [len(whole)]
+    done = 0
+    for step, cut in enumerate(cuts):
+        put("acc", "p.csv", whole[done:cut].decode())
+        done = cut
+        copy_growth(spark, lake, ["acc"], run_ts=dt.datetime(2024, 1, 1, 0, 0, step, tzinfo=dt.timezone.utc))
+    assert copied_ids(spark, lake, "acc") == list(range(60))
+    assert state(spark, lake) == {"p.csv": len(whole)}
+
+
+def test_a_half_written_record_waits(spark, lake, put):
+    put("acc", "p.csv", rows_text(0, 2) + '2,"half')
+    copy_growth(spark, lake, ["acc"])
+    report = growth_report(spark, lake, ["acc"]).first()
+    assert (report.status, report.range_bytes) == ("grown", len('2,"half'))
+    put("acc", "p.csv", ' done"\n')
+    copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
+    assert copied_ids(spark, lake, "acc") == [0, 1, 2]
+
+
+def test_a_shrunk_file_is_reported_and_not_copied(spark, lake, put):
+    put("acc", "p.csv", rows_text(0, 5))
+    copy_growth(spark, lake, ["acc"])
+    put("acc", "p.csv", "9,x\n", mode="wb")
+    assert growth_report(spark, lake, ["acc"]).first().status == "shrunk"
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5)
+    assert copy_growth(spark, lake, ["acc"], run_ts=later).count() == 0
+
+
+def test_failed_ranges_are_logged_and_tried_again(spark, lake, put):
+    put("acc", "good.csv", rows_text(0, 3))
+    size = len(rows_text(0, 3))
+    good, gone = f"file:{lake.source_root}/acc/good.csv", f"file:{lake.source_root}/acc/gone.csv"
+    plan = spark.createDataFrame(
+        [
+            ("acc", "good", good, 0, size),
+            ("acc", "gone", gone, 0, 50),
+            ("acc", "neg", "x", -1, 5),
+            ("acc", "none", "y", 5, 5),
+        ],
+        PLAN,
+    )
+    run_ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    ledger.append(ranges.copy(plan, lake, run_ts), lake.range_log)
+    errors = {}
+    for r in spark.table(lake.range_log).collect():
+        errors.setdefault(r.source_stem, r.error)
+    assert errors["good"] is None
+    assert "gone.csv" in errors["gone"]
+    assert errors["neg"] == ranges.NEGATIVE_OFFSET and errors["none"] == ranges.EMPTY_RANGE
+    assert state(spark, lake) == {"good.csv": size}
+    put("acc", "gone.csv", rows_text(7, 9))
+    copy_growth(spark, lake, ["acc"])
+    assert copied_ids(spark, lake, "acc") == [0, 1, 2, 7, 8]
+
+
+def test_parts_after_a_failed_part_do_not_count(spark, lake, put, tmp_path):
+    """The second part's target cannot be written; the third is copied, but its offset must not count."""
+    put("acc", "p.csv", rows_text(0, 20))
+    size = len(rows_text(0, 20))
+    run_ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    os.makedirs(f"{lake.range_root}/acc/p_20240101000000_00002.csv/in_the_way")
+    plan = spark.createDataFrame([("acc", "p", f"file:{lake.source_root}/acc/p.csv", 0, size)], PLAN)
+    ledger.append(ranges.copy(plan, lake, run_ts), lake.range_log)
+    log = spark.table(lake.range_log).orderBy("offset_start").collect()
+    assert log[0].error is None and log[1].error is not None
+    assert len(log) > 3 and {r.error for r in log[2:]} == {ranges.AFTER_ERROR}
+    assert state(spark, lake) == {"p.csv": log[0].offset_end}
+
+
+def test_same_stem_in_two_entities(spark, lake, put):
+    put("a", "p.csv", rows_text(0, 2))
+    put("b", "p.csv", rows_text(5, 9))
+    copy_growth(spark, lake, ["a", "b"])
+    assert copied_ids(spark, lake, "a") == [0, 1]
+    assert copied_ids(spark, lake, "b") == [5, 6, 7, 8]
+    put("a", "p.csv", rows_text(2, 3))
+    copy_growth(spark, lake, ["a", "b"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
+    assert copied_ids(spark, lake, "a") == [0, 1, 2]
+
+
+def test_listing_never_reads_contents(spark, lake, put):
+    put("acc", "p.csv", rows_text(0, 2))
+    files = list_files(spark, lake.source_root, ["acc"])
+    plan = files._jdf.queryExecution().executedPlan().toString()
+    assert "content" not in plan
+    row = files.first()
+    assert (row.entity, row.source_stem, row.source_bytes) == ("acc", "p", len(rows_text(0, 2)))
+    assert list_files(spark, lake.source_root, ["none"]).count() == 0
+    assert list_files(spark, lake.source_root, []).count() == 0
+
+
+def test_growth_without_state(spark):
+    listing = spark.createDataFrame([("a", 5), ("b", 0)], "source_path string, source_bytes bigint")
+    empty = spark.createDataFrame([], "source_path string, offset_end bigint")
+    assert [tuple(r) for r in growth.plan(listing, empty).collect()] == [("a", 0, 5, 5)]
+    assert {r.source_path: r.status for r in growth.compare(listing, empty).collect()} == {"a": "grown", "b": "same"}
+
+
+@pytest.mark.parametrize("bad", [{"block_bytes": 0}, {"block_bytes": 4001 << 20}, {"chunk_bytes": 0}, {"bucket_count": 0}])
+def test_sizes_are_checked(bad):
+    with pytest.raises(ValueError):
+        LakeConfig("a", "b", "c", **bad)
