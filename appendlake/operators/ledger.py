@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,8 @@ from appendlake.functions.guards import in_list_or_all
 from appendlake.operators.latest import latest
 from appendlake.operators.sets import absent_from
 
+_one_append_at_a_time = threading.Lock()
+
 APPEND, FULL, UPSERT = "append", "full", "upsert"
 MODES = (APPEND, FULL, UPSERT)
 
@@ -72,9 +75,14 @@ def ensure_logs(spark: SparkSession, config: LakeConfig) -> None:
 
 
 def append(rows: DataFrame, table: str) -> None:
-    """Append by column name. An empty relation adds nothing."""
+    """Append by column name. An empty relation adds nothing.
+
+    Two writes into one parquet folder at the same time remove each other's
+    temporary files, so the loads of one driver take turns here.
+    """
     columns = rows.sparkSession.table(table).columns
-    rows.select(*columns).write.insertInto(table)
+    with _one_append_at_a_time:
+        rows.select(*columns).write.insertInto(table)
 
 
 def file_state(spark: SparkSession, config: LakeConfig, entities: Sequence[str] = ()) -> DataFrame:

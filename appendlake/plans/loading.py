@@ -17,7 +17,7 @@ from appendlake.functions.guards import date_guard
 from appendlake.functions.paths import seconds_between
 from appendlake.operators import ledger
 from appendlake.operators.labels import enrich
-from appendlake.session import persist_table
+from appendlake.session import metrics_of, persist_table
 from appendlake.sinks import RunFolderSink, VersionedSink
 from appendlake.sources import records
 from appendlake.sources.options import Patch, read_labels
@@ -97,7 +97,7 @@ def load_files(
     if with_labels:
         rows = enrich(rows, read_labels(spark, config.option_path(entity), entity, language, patch))
     written = sink.write(sink.prepare(rows, entity, mode), entity, mode, run_ts)
-    counts = seen.get
+    counts = metrics_of(seen)
     finished = dt.datetime.now(dt.timezone.utc)
     # The file names go from table to table; one log row holds a bounded number of them.
     portion = F.pmod(F.xxhash64("target_path"), F.lit(len(paths) // FILES_PER_LOG_ROW + 1))
@@ -115,8 +115,8 @@ def load_files(
             seconds_between(F.lit(started), F.lit(finished)).alias("seconds"),
             "source_files",
             F.lit(written.run_id).alias("run_id"),
-            F.lit(counts["row_count"]).cast("bigint").alias("row_count"),
-            F.lit(counts["corrupt_count"]).cast("bigint").alias("corrupt_count"),
+            F.lit(counts.get("row_count", 0)).cast("bigint").alias("row_count"),
+            F.lit(counts.get("corrupt_count", 0)).cast("bigint").alias("corrupt_count"),
             F.lit(written.schema.json()).alias("schema_json"),
             F.lit(written.buckets).cast("array<int>").alias("buckets"),
         )

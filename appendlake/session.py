@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -45,7 +46,19 @@ def persist_counted(df: DataFrame, name: str, units: Column | None = None) -> tu
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     total = F.count(F.lit(1)) if units is None else F.sum(units)
     table = persist_table(df.observe(seen, total.alias("units")), name)
-    return table, int(seen.get["units"] or 0)
+    return table, metrics_of(seen).get("units", 0)
+
+
+def metrics_of(seen: Observation) -> dict[str, int]:
+    """Observed sums and counts after the action; all are 0 when there was no row.
+
+    A plan that turns out to have no input is replaced by an empty one, and then
+    there is nothing to observe: the observation fails instead of being 0.
+    """
+    try:
+        return {name: int(value or 0) for name, value in seen.get.items()}
+    except Py4JJavaError:
+        return {}
 
 
 def task_count(units: int) -> int:
