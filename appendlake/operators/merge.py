@@ -19,9 +19,10 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFram
     matches nothing. Two source rows for one target row are an error.
 
     The source is reduced to one row and a count per key before it meets the
-    target, and the target to its distinct keys before the unmatched source rows
-    are looked for. So on either join only the side whose rows are kept can hold
-    a key many times, and that side is the one adaptive execution may split.
+    target, so only the side whose rows are kept can hold a key many times, and
+    that side is the one adaptive execution may split. Nothing is built from all
+    keys of the target: a small source is broadcast, and then the target is only
+    scanned for the keys that match.
     """
     keys = list(keys)
     own = [c for c in target.columns if c not in source.columns]
@@ -46,7 +47,8 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFram
         .select(*shared, *own, *[F.col("_s")[c].alias(c) for c in new])
     )
     unkeyed = target.where(~present)
-    inserted = source.join(target.where(present).select(*keys).distinct(), keys, "left_anti")
+    found = target.where(present).select(*keys).join(by_key.select(*keys), keys, "left_semi").distinct()
+    inserted = source.join(found, keys, "left_anti")
     return after.unionByName(unkeyed, allowMissingColumns=True).unionByName(
         inserted.select(*source.columns), allowMissingColumns=True
     )
