@@ -25,34 +25,24 @@ LISTING_SCHEMA = T.StructType(
 def list_files(spark: SparkSession, root: str, entities: Sequence[str]) -> DataFrame:
     """CSV files directly below ``<root>/<entity>/``, one row per file.
 
-    The glob keeps nested folders out, whatever their names. File contents are
-    never read: the column is pruned from the scan.
+    The glob keeps nested folders out, whatever their names, and skips entities
+    without a file. File contents are never read: the column is pruned from the scan.
     """
-    found = [f"{root}/{e}/*.csv" for e in entities]
+    nothing = spark.createDataFrame([], LISTING_SCHEMA)
+    if not entities:
+        return nothing
+    any_entity = "{" + ",".join(entities) + "}" if len(entities) > 1 else entities[0]
+    path = F.col("path")
     try:
-        files = _scan(spark, found)
+        files = spark.read.format("binaryFile").load(f"{root}/{any_entity}/*.csv")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        # At least one entity has no file yet; keep the others.
-        files = spark.createDataFrame([], LISTING_SCHEMA)
-        for glob in found if len(found) > 1 else []:
-            files = files.unionByName(list_files(spark, root, [glob.split("/")[-2]]))
-    return files
-
-
-def _scan(spark: SparkSession, globs: Sequence[str]) -> DataFrame:
-    if not globs:
-        return spark.createDataFrame([], LISTING_SCHEMA)
-    path = F.col("path")
-    return (
-        spark.read.format("binaryFile")
-        .load(list(globs))
-        .select(
-            F.element_at(F.split(path, "/"), -2).alias("entity"),
-            paths.stem(path).alias("source_stem"),
-            path.alias("source_path"),
-            F.col("length").alias("source_bytes"),
-            F.col("modificationTime").alias("modified_at"),
-        )
+        return nothing
+    return files.select(
+        F.element_at(F.split(path, "/"), -2).alias("entity"),
+        paths.stem(path).alias("source_stem"),
+        path.alias("source_path"),
+        F.col("length").alias("source_bytes"),
+        F.col("modificationTime").alias("modified_at"),
     )
