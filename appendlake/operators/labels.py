@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appendlake.config import MIB
+from appendlake.session import persist_table
 from appendlake.sources.options import one_per_code
 
 BROADCAST_BYTES = 64 * MIB
@@ -76,20 +77,19 @@ def _constant_map(pairs: list, value: Column) -> Column:
 def enrich(df: DataFrame, labels: DataFrame, as_maps: bool = False) -> DataFrame:
     """Add ``<set>_descr`` for every option set that names a column of ``df``.
 
-    The set names and sizes are the only thing collected, at most one row per
-    column of ``df``. A set that is no column is left out with a warning.
+    The names and sizes of the sets are the only thing collected. A set that is no
+    column is left out with a warning.
     """
-    codes = one_per_code(labels)
+    # Read once; a join per set follows.
+    codes = persist_table(one_per_code(labels), "labels")
     sizes = {
         r["OptionSetName"]: (r["n"], r["bytes"])
-        for r in codes.where(F.col("OptionSetName").isin(df.columns))
-        .groupBy("OptionSetName")
+        for r in codes.groupBy("OptionSetName")
         .agg(F.count(F.lit(1)).alias("n"), _bytes("Option", "LocalizedLabel").alias("bytes"))
         .collect()
     }
-    others = codes.where(~F.col("OptionSetName").isin(df.columns)).select("OptionSetName").distinct()
-    for r in others.limit(20).collect():
-        warnings.warn(f"option set {r[0]!r} is not a column; no label added", stacklevel=2)
+    for name in sizes.keys() - set(df.columns):
+        warnings.warn(f"option set {name!r} is not a column; no label added", stacklevel=2)
     for name in [c for c in df.columns if c in sizes]:
         own = codes.where(F.col("OptionSetName") == name).select("Option", "LocalizedLabel")
         entries, label_bytes = sizes[name]

@@ -6,16 +6,20 @@ import datetime as dt
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from appendlake.config import MIB, LakeConfig
 from appendlake.functions import paths
 from appendlake.operators.ledger import RANGE_LOG_SCHEMA
-from appendlake.session import persist_counted, task_count
+from appendlake.session import MAX_TASKS, persist_counted, task_count
 from appendlake.sources import pieces
 from appendlake.sources.files import copy_bytes
 
+SCAN_BYTES = 16 * MIB
+COPIED = T.StructType([f for f in RANGE_LOG_SCHEMA.fields if f.name != "run_ts"])
+
 # How a range that cannot be copied is described.
 NEGATIVE_OFFSET = "Offset cannot be negative"
 EMPTY_RANGE = "Length must be positive"
@@ -36,80 +40,51 @@ def copy(
     Copying happens when the result is evaluated; write it to the log once.
     """
     names = ["entity", "source_stem", "source_path"]
+    length = F.col("offset_end") - F.col("offset_start")
     checked = plan.select(
         *names,
         F.col("offset_start").alias("range_start"),
         F.col("offset_end").alias("range_end"),
         F.when(F.col("offset_start") < 0, NEGATIVE_OFFSET)
-        .when(F.col("offset_end") <= F.col("offset_start"), EMPTY_RANGE)
+        .when(length <= 0, EMPTY_RANGE)
         .alias("error"),
+        (length > config.chunk_bytes).alias("is_long"),
     )
     # Sizes are taken once: the files keep growing while the copy runs.
-    chunks = F.when(F.col("error").isNull(), pieces.chunk_count(config.chunk_bytes))
-    checked, chunks_known = persist_counted(checked, "range-plan", chunks)
-    ranges = checked.where("error is null").drop("error")
-    found = pieces.cut(
-        ranges,
-        config.chunk_bytes,
-        min(config.block_bytes, 16 * MIB),
-        keep_tail=False,
-        keep_errors=True,
-        carry=["entity", "source_stem"],
-        chunks_known=chunks_known,
+    valid = F.col("error").isNull()
+    checked, seen = persist_counted(
+        checked,
+        "range-plan",
+        short=F.count_if(valid & ~F.col("is_long")),
+        chunks=F.sum(F.when(valid & F.col("is_long"), pieces.chunk_count(config.chunk_bytes))),
     )
-    part = Window.partitionBy("source_path", "range_start")
-    number = F.row_number().over(part.orderBy("piece_start"))
-    parts = F.count(F.lit(1)).over(part)
-    stamp = paths.file_stamp(F.lit(run_ts))
-    # A range in one part has the plain name.
-    suffix = F.when(F.col("parts") == 1, "").otherwise(F.format_string("_%05d", F.col("number")))
-    planned = (
-        found.withColumns({"number": number, "parts": parts})
-        .select(
-            *names,
-            F.concat(
-                F.lit(config.range_root + "/"), "entity", F.lit("/"), "source_stem",
-                F.lit("_"), stamp, suffix, F.lit(".csv"),
-            ).alias("target_path"),
-            F.col("piece_start").alias("offset_start"),
-            F.col("piece_end").alias("offset_end"),
-            (F.col("piece_end") - F.col("piece_start")).alias("range_bytes"),
-            F.lit(run_ts).cast("timestamp").alias("run_ts"),
-            "error",
-        )
-    )
-    planned, files = persist_counted(planned, "copy-plan")
-    tasks = task_count(files)
-    block_bytes = config.block_bytes
 
-    def copy_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            errors = []
-            for r in batch.itertuples():
-                problem = r.error
-                if problem is None:
-                    try:
-                        copy_bytes(r.source_path, r.target_path, r.offset_start, r.offset_end, block_bytes)
-                    except Exception as failure:
-                        problem = repr(failure)
-                errors.append(problem)
-            yield batch.assign(error=pd.Series(errors, index=batch.index, dtype=object))
-
-    copied = planned.repartition(min(tasks, max_tasks or tasks)).mapInPandas(
-        copy_rows, RANGE_LOG_SCHEMA
+    def task_limit(units: int) -> int:
+        return min(task_count(units), max_tasks or MAX_TASKS)
+
+    # A short range is trimmed and copied by one task.
+    short = checked.where(valid & ~F.col("is_long")).select(
+        *names,
+        _target(config, run_ts, F.lit("")),
+        F.col("range_start").alias("offset_start"),
+        F.col("range_end").alias("offset_end"),
+        F.lit(True).alias("trim"),
+        "error",
     )
+    copied = _copy_files(short.repartition(task_limit(seen["short"])), config, run_ts)
+    if seen["chunks"]:
+        parts, counts = _parts(checked.where(valid & F.col("is_long")), config, run_ts, seen["chunks"])
+        copied = copied.unionByName(
+            _copy_files(parts.repartition(task_limit(counts["parts"])), config, run_ts)
+        )
     earlier = (
         Window.partitionBy("source_path")
         .orderBy("offset_start")
         .rowsBetween(Window.unboundedPreceding, -1)
     )
-    in_order = copied.withColumn(
-        "error",
-        F.coalesce(
-            F.col("error"), F.when(F.max(F.col("error").isNotNull()).over(earlier), AFTER_ERROR)
-        ),
-    )
-    rejected = checked.where("error is not null").select(
+    failed_before = F.max(F.col("error").isNotNull()).over(earlier)
+    in_order = copied.withColumn("error", F.coalesce("error", F.when(failed_before, AFTER_ERROR)))
+    rejected = checked.where(~valid).select(
         *names,
         F.lit(None).cast("string").alias("target_path"),
         F.col("range_start").alias("offset_start"),
@@ -119,3 +94,66 @@ def copy(
         "error",
     )
     return in_order.unionByName(rejected)
+
+
+def _target(config: LakeConfig, run_ts: dt.datetime, suffix: Column) -> Column:
+    stamp = paths.file_stamp(F.lit(run_ts))
+    folder = F.concat(F.lit(config.range_root + "/"), "entity", F.lit("/"))
+    return F.concat(folder, "source_stem", F.lit("_"), stamp, suffix, F.lit(".csv")).alias("target_path")
+
+
+def _parts(
+    ranges: DataFrame, config: LakeConfig, run_ts: dt.datetime, chunks: int
+) -> tuple[DataFrame, dict[str, int]]:
+    """Long ranges cut at record ends, one row per file to make; the cuts are fixed by a table."""
+    found = pieces.cut(
+        ranges,
+        config.chunk_bytes,
+        min(config.block_bytes, SCAN_BYTES),
+        keep_tail=False,
+        keep_errors=True,
+        carry=["entity", "source_stem"],
+        chunks_known=chunks,
+    )
+    number = F.row_number().over(
+        Window.partitionBy("source_path", "range_start").orderBy("piece_start")
+    )
+    numbered = found.withColumn("number", number).select(
+        "entity",
+        "source_stem",
+        "source_path",
+        _target(config, run_ts, F.format_string("_%05d", F.col("number"))),
+        F.col("piece_start").alias("offset_start"),
+        F.col("piece_end").alias("offset_end"),
+        F.lit(False).alias("trim"),
+        "error",
+    )
+    return persist_counted(numbered, "copy-plan", parts=F.count(F.lit(1)))
+
+
+def _copy_files(files: DataFrame, config: LakeConfig, run_ts: dt.datetime) -> DataFrame:
+    """Copy each row's bytes. A row to trim that holds no complete record yields no row."""
+    block_bytes = config.block_bytes
+    scan_bytes = min(block_bytes, SCAN_BYTES)
+
+    def copy_one(row: dict) -> dict | None:
+        if row["error"] is None:
+            source, start, end = row["source_path"], row["offset_start"], row["offset_end"]
+            try:
+                if row["trim"]:
+                    end = pieces.complete_end(source, start, end, scan_bytes)
+                    if end is None:
+                        return None
+                copy_bytes(source, row["target_path"], start, end, block_bytes)
+                row["offset_end"] = end
+            except Exception as problem:
+                row["error"] = repr(problem)
+        row["range_bytes"] = row["offset_end"] - row["offset_start"]
+        return row
+
+    def copy_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            done = [r for r in map(copy_one, batch.to_dict("records")) if r is not None]
+            yield pd.DataFrame(done, columns=COPIED.names, dtype=object)
+
+    return files.mapInPandas(copy_rows, COPIED).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))

@@ -18,12 +18,11 @@ from appendlake.functions.paths import seconds_between
 from appendlake.operators import ledger
 from appendlake.operators.labels import enrich
 from appendlake.session import metrics_of, persist_table
-from appendlake.sinks import RunFolderSink, VersionedSink
+from appendlake.sinks import Sink
 from appendlake.sources import records
 from appendlake.sources.options import Patch, read_labels
 
 FILES_PER_LOG_ROW = 10_000
-Sink = RunFolderSink | VersionedSink
 
 
 def read_entity(
@@ -96,7 +95,7 @@ def load_files(
     )
     if with_labels:
         rows = enrich(rows, read_labels(spark, config.option_path(entity), entity, language, patch))
-    written = sink.write(sink.prepare(rows, entity, mode), entity, mode, run_ts)
+    written = sink.write(rows, entity, mode, run_ts)
     counts = metrics_of(seen)
     finished = dt.datetime.now(dt.timezone.utc)
     # The file names go from table to table; one log row holds a bounded number of them.

@@ -7,7 +7,6 @@ import uuid
 
 from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
 
 MAX_TASKS = 20_000
 
@@ -38,15 +37,11 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def persist_counted(df: DataFrame, name: str, units: Column | None = None) -> tuple[DataFrame, int]:
-    """``persist_table``, and the sum of ``units`` over the rows (their number by default).
-
-    The write itself counts, so no further job is needed.
-    """
+def persist_counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:
+    """``persist_table``, and integer metrics of the rows, which the write itself takes."""
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
-    total = F.count(F.lit(1)) if units is None else F.sum(units)
-    table = persist_table(df.observe(seen, total.alias("units")), name)
-    return table, metrics_of(seen).get("units", 0)
+    table = persist_table(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
+    return table, dict.fromkeys(metrics, 0) | metrics_of(seen)
 
 
 def metrics_of(seen: Observation) -> dict[str, int]:

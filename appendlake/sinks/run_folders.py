@@ -32,11 +32,6 @@ class RunFolderSink:
             raise ValueError("a run folder sink needs table_root")
         self.config = config
 
-    def prepare(self, df: DataFrame, entity: str, mode: str) -> DataFrame:
-        if mode == UPSERT:
-            raise ValueError("run folders do not support upsert")
-        return df
-
     def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
         if mode == UPSERT:
             raise ValueError("run folders do not support upsert")

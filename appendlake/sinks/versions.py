@@ -31,23 +31,20 @@ class VersionedSink:
         self.config = config
         self.keys = list(keys)
 
-    def prepare(self, df: DataFrame, entity: str, mode: str) -> DataFrame:
-        """Adds the bucket. An upsert uses its rows several times, so they are staged once."""
+    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
+        spark, count = df.sparkSession, self.config.bucket_count
         known = [k for k in self.keys if k in df.columns]
         if mode == UPSERT and len(known) < len(self.keys):
             raise ValueError(f"upsert needs the key columns {', '.join(self.keys)}")
-        with_bucket = df.withColumn(BUCKET, bucket_of(known or df.columns, self.config.bucket_count))
-        return persist_table(with_bucket, f"{entity}-source") if mode == UPSERT else with_bucket
-
-    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
-        spark = df.sparkSession
-        rows, touched = df, []
+        rows, touched = df.withColumn(BUCKET, bucket_of(known or df.columns, count)), []
         live = live_runs(spark, self.config, entity) if mode == UPSERT else []
         if live:
-            touched = sorted(r[0] for r in df.select(BUCKET).distinct().collect())
+            # The source is used several times, so it is parsed once and staged.
+            rows = persist_table(rows, f"{entity}-source")
+            touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
             target = _scan(spark, self.config, entity, live).where(F.col(BUCKET).isin(touched))
-            merged = merge(target.drop(RUN, BUCKET), df.drop(BUCKET), self.keys)
-            rows = merged.withColumn(BUCKET, bucket_of(self.keys, self.config.bucket_count))
+            merged = merge(target.drop(RUN, BUCKET), rows.drop(BUCKET), self.keys)
+            rows = merged.withColumn(BUCKET, bucket_of(self.keys, count))
         run_id = f"{run_ts:%Y%m%d_%H%M%S_%f}"
         destination = f"{self.config.table_root}/{entity}/{RUN}={run_id}"
         # Rebalancing makes files of even size per bucket and splits a large bucket.

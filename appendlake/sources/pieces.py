@@ -104,6 +104,14 @@ def _marks(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return data, at[is_quote], at[~is_quote]
 
 
+def complete_end(path: str, start: int, end: int, block_bytes: int) -> int | None:
+    """Where the last complete record of a range ends, for a range that is one chunk."""
+    _, _, even_end, _, odd_end, broken, _ = summarize_chunk(path, start, end, start, end, block_bytes)
+    if broken:
+        return max((e for e in (even_end, odd_end) if e is not None), default=None)
+    return even_end
+
+
 def _with_neighbours(
     blocks: Iterator[bytes], before: int, after: int
 ) -> Iterator[tuple[int, bytes, int]]:
@@ -246,6 +254,8 @@ def piece_records(path: str, start: int, end: int, batch_bytes: int = 8 * MIB) -
 def _without_line_ends(text: bytes, newlines: np.ndarray) -> pa.Array:
     """Records of ``text``, of which each ends at a given newline or at the end of the text."""
     data = np.frombuffer(text, np.uint8)
+    if data.size > np.iinfo(np.int32).max:
+        raise ValueError(f"a record of {data.size} bytes is longer than a string can be")
     returns = newlines[newlines > 0] - 1
     returns = returns[data[returns] == RETURN]
     removed = np.concatenate((newlines, returns))

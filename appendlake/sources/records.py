@@ -118,13 +118,17 @@ def read_split(
         F.col("modificationTime").alias(MODIFIED_COLUMN),
     )
     # Sizes are taken once, and the pieces are found once.
-    files, chunks_known = persist_counted(files, "split-files", pieces.chunk_count(chunk_bytes))
-    found, piece_count = persist_counted(
-        pieces.cut(files, chunk_bytes, carry=[MODIFIED_COLUMN], chunks_known=chunks_known), "pieces"
+    files, seen = persist_counted(
+        files, "split-files", chunks=F.sum(pieces.chunk_count(chunk_bytes))
+    )
+    found, counts = persist_counted(
+        pieces.cut(files, chunk_bytes, carry=[MODIFIED_COLUMN], chunks_known=seen["chunks"]),
+        "pieces",
+        pieces=F.count(F.lit(1)),
     )
     irregular = [r[0] for r in found.where("not regular").select("source_path").distinct().collect()]
     regular = found.where("regular")
-    rows = _parse_pieces(regular, schema, task_count(piece_count), file_columns)
+    rows = _parse_pieces(regular, schema, task_count(counts["pieces"]), file_columns)
     if irregular:
         rows = rows.unionByName(read(spark, irregular, schema, file_columns))
     return rows

@@ -15,7 +15,8 @@ from pyspark.sql.streaming import StreamingQuery
 from appendlake.config import LakeConfig
 from appendlake.operators import ledger
 from appendlake.operators.sets import absent_from
-from appendlake.plans.loading import Sink, load_files
+from appendlake.plans.loading import load_files
+from appendlake.sinks import Sink
 
 
 def range_stream(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:

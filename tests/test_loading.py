@@ -10,7 +10,7 @@ from appendlake.operators import ledger
 from appendlake.plans import loading
 from appendlake.plans.copying import copy_growth
 from appendlake.plans.loading import load_entities, load_entity
-from appendlake.sinks import RunFolderSink, VersionedSink
+from appendlake.sinks import CatalogTableSink, RunFolderSink, VersionedSink
 from appendlake.sinks.versions import current, current_run_folders, live_runs
 from appendlake.streaming.loads import stream_load
 
@@ -208,3 +208,15 @@ def test_a_stream_loads_each_range_once(spark, lake, put, tmp_path):
     assert spark.table(lake.load_log).select("run_id").distinct().count() == 2
     with pytest.raises(ValueError, match="full"):
         stream_load(spark, lake, "acc", SCHEMA, sink, checkpoint, "full")
+
+
+def test_catalog_tables(spark, lake, step):
+    sink = CatalogTableSink(lake.log_schema, "parquet")
+    step(text(range(3)), sink, "upsert")  # no table yet: an append
+    log = step(text(range(3, 5)), sink).first()
+    assert (log.destination, log.destination_type) == (f"{lake.log_schema}.acc", "CATALOG")
+    assert names(spark.table(log.destination)) == expected((range(5), "n"))
+    with pytest.raises(Exception, match="UNSUPPORTED|not support"):
+        step(text([1], "m"), sink, "upsert")
+    step("", sink, "full")
+    assert spark.table(log.destination).count() == 6
