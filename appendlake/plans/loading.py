@@ -20,6 +20,7 @@ from appendlake.operators.labels import enrich
 from appendlake.session import metrics_of, persist_table
 from appendlake.sinks import Sink
 from appendlake.sources import records
+from appendlake.sources.files import literal
 from appendlake.sources.options import Patch, read_labels
 
 FILES_PER_LOG_ROW = 10_000
@@ -79,7 +80,7 @@ def load_files(
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
     files = persist_table(files.select("target_path"), f"{entity}-files")
     # A scan takes its paths as a list; this is the one thing the driver gets.
-    paths = [r[0] for r in files.collect()]
+    paths = [literal(r[0]) for r in files.collect()]
     if not paths:
         return spark.createDataFrame([], ledger.LOAD_LOG_SCHEMA)
     started = dt.datetime.now(dt.timezone.utc)

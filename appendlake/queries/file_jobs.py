@@ -121,6 +121,32 @@ def q_parity_split(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", F.md5("text").alias("text_md5"), "lang", "source", "n_chars")
 
 
+@query("select page_id, url, md5(html) as html_md5 from pages")
+def q_split_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Markup, which is full of quotes and newlines, through the reader that splits a file."""
+    folder = scratch_dir(spark, "split-pages")
+    rows = table(spark, sf_dir, "pages")
+    export(rows, folder)
+    split = records.read_split(
+        spark, [f"{folder}/*.csv"], T.StructType(rows.schema.fields), chunk_bytes=256 * KIB
+    )
+    return split.select("page_id", "url", F.md5("html").alias("html_md5"))
+
+
+@query("select conv_id, turn, role, md5(text) as text_md5 from conversations")
+def q_load_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Conversations loaded into a table that is keyed by conversation and turn."""
+    lake = new_lake(spark, "turns", chunk_bytes=256 * KIB, bucket_count=16)
+    rows = table(spark, sf_dir, "conversations")
+    export(rows, f"{lake.source_root}/turns")
+    copy_growth(spark, lake, ["turns"])
+    sink = VersionedSink(lake, keys=("conv_id", "turn"))
+    load_entity(spark, lake, "turns", T.StructType(rows.schema.fields), sink, "upsert")
+    return current(spark, lake, "turns").select(
+        "conv_id", "turn", "role", F.md5("text").alias("text_md5")
+    )
+
+
 @query("select doc_id, true as has_time, 'csv' as extension from documents")
 def q_file_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_dir(spark, "meta")

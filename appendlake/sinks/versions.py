@@ -20,6 +20,7 @@ from appendlake.operators.ledger import FULL, UPSERT
 from appendlake.operators.merge import bucket_of, merge
 from appendlake.session import persist_table
 from appendlake.sinks.run_folders import Written
+from appendlake.sources.files import literal
 
 BUCKET, RUN = "bucket", "run_id"
 
@@ -100,7 +101,7 @@ def _scan(spark: SparkSession, config: LakeConfig, entity: str, live: list[dict]
     return (
         spark.read.schema(schema)
         .option("basePath", base)
-        .parquet(*[f"{base}/{RUN}={run['run_id']}" for run in live])
+        .parquet(*[literal(f"{base}/{RUN}={run['run_id']}") for run in live])
         .where(condition)
     )
 
@@ -132,4 +133,6 @@ def current_run_folders(spark: SparkSession, config: LakeConfig, entity: str) ->
     for r in runs:
         for f in T.StructType.fromJson(json.loads(r["schema_json"])).fields:
             fields.setdefault(f.name, T.StructField(f.name, f.dataType))
-    return spark.read.schema(T.StructType(list(fields.values()))).parquet(*[r["destination"] for r in runs])
+    return spark.read.schema(T.StructType(list(fields.values()))).parquet(
+        *[literal(r["destination"]) for r in runs]
+    )

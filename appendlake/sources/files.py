@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 from collections.abc import Iterator
 
@@ -18,6 +19,11 @@ def open_file_system(path: str) -> tuple[pafs.FileSystem, str]:
     return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
 
 
+def literal(path: str) -> str:
+    """A path as Spark's readers take it, with the characters of a glob made plain."""
+    return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
+
+
 def read_blocks(path: str, start: int, end: int, block_bytes: int) -> Iterator[bytes]:
     """The bytes ``[start, end)`` in blocks; fewer bytes than asked for is an error."""
     fs, inner = open_file_system(path)

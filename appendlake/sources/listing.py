@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.errors import AnalysisException
 
 from appendlake.functions import paths
+from appendlake.sources.files import literal
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -31,10 +32,11 @@ def list_files(spark: SparkSession, root: str, entities: Sequence[str]) -> DataF
     nothing = spark.createDataFrame([], LISTING_SCHEMA)
     if not entities:
         return nothing
-    any_entity = "{" + ",".join(entities) + "}" if len(entities) > 1 else entities[0]
+    names = [literal(e) for e in entities]
+    any_entity = "{" + ",".join(names) + "}" if len(names) > 1 else names[0]
     path = F.col("path")
     try:
-        files = spark.read.format("binaryFile").load(f"{root}/{any_entity}/*.csv")
+        files = spark.read.format("binaryFile").load(f"{literal(root)}/{any_entity}/*.csv")
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

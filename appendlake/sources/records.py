@@ -13,6 +13,7 @@ from appendlake.config import MIB
 from appendlake.functions.casts import parse_timestamp
 from appendlake.session import persist_counted, task_count
 from appendlake.sources import pieces
+from appendlake.sources.files import literal
 
 # The export's CSV form, and the names of the columns added to each row.
 CSV_FORM = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -126,7 +127,7 @@ def read_split(
         "pieces",
         pieces=F.count(F.lit(1)),
     )
-    irregular = [r[0] for r in found.where("not regular").select("source_path").distinct().collect()]
+    irregular = [literal(r[0]) for r in found.where("not regular").select("source_path").distinct().collect()]
     regular = found.where("regular")
     rows = _parse_pieces(regular, schema, task_count(counts["pieces"]), file_columns)
     if irregular:

@@ -220,3 +220,15 @@ def test_catalog_tables(spark, lake, step):
         step(text([1], "m"), sink, "upsert")
     step("", sink, "full")
     assert spark.table(log.destination).count() == 6
+
+
+def test_file_names_with_special_characters(spark, lake, put):
+    for i, name in enumerate(("p 1.csv", "p#é%20.csv", "p[2]{a,b}*.csv")):
+        put("acc", name, text(range(3 * i, 3 * i + 3)))
+    log = copy_growth(spark, lake, ["acc"]).collect()
+    assert [r.error for r in log] == [None] * len(log)
+    assert {r.source_stem for r in log} == {"p 1", "p#é%20", "p[2]{a,b}*"}
+    load_entity(spark, lake, "acc", SCHEMA, RunFolderSink(lake))
+    assert names(current_run_folders(spark, lake, "acc")) == expected((range(9), "n"))
+    later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5)
+    assert copy_growth(spark, lake, ["acc"], run_ts=later).count() == 0
