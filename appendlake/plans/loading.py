@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from appendlake.config import DEFAULT_LANGUAGE, GUARD_COLUMNS, LakeConfig
-from appendlake.functions.guards import date_guard
+from appendlake.functions.guards import date_condition, date_guard
 from appendlake.functions.paths import seconds_between
 from appendlake.operators import ledger
 from appendlake.operators.labels import enrich
@@ -32,9 +32,8 @@ def read_entity(
     schema: T.StructType,
     guard_columns: Sequence[str] = GUARD_COLUMNS,
 ) -> DataFrame:
-    """Rows of range files with file columns, the date guard applied, and a corrupt flag."""
-    rows = records.read(spark, paths, schema, keep_corrupt=True)
-    return date_guard(rows, guard_columns, stored=False)
+    """Rows of range files with their file columns, without dates beyond the cutoff."""
+    return date_guard(records.read(spark, paths, schema), guard_columns, stored=False)
 
 
 def load_entity(
@@ -85,13 +84,17 @@ def load_files(
         return spark.createDataFrame([], ledger.LOAD_LOG_SCHEMA)
     started = dt.datetime.now(dt.timezone.utc)
     seen = Observation(f"load-{uuid.uuid4().hex}")
+    every = records.read(spark, paths, schema, keep_corrupt=True)
+    keep = date_condition(every, guard_columns)
+    # The counting stands between parsing and filter, so each value is parsed once:
+    # a filter right after the parsing would move below it and parse again.
     rows = (
-        read_entity(spark, paths, schema, guard_columns)
-        .observe(
+        every.observe(
             seen,
-            F.count(F.lit(1)).alias("row_count"),
-            F.count(F.when(F.col(records.CORRUPT), 1)).alias("corrupt_count"),
+            F.count_if(keep).alias("row_count"),
+            F.count_if(keep & F.col(records.CORRUPT)).alias("corrupt_count"),
         )
+        .where(keep)
         .drop(records.CORRUPT)
     )
     if with_labels:
