@@ -33,7 +33,9 @@ def lookup(
     are. Beyond it both sides are shuffled by code and salt: codes are few and
     uneven, so one code's rows are spread over several tasks.
     """
-    side = labels.select(F.col(code).alias("_code"), F.col(label).alias(alias))
+    # The code takes the column's type (text, boolean), not the other way round.
+    own_type = df.schema[column].dataType
+    side = labels.select(F.col(code).try_cast(own_type).alias("_code"), F.col(label).alias(alias))
     if label_bytes is None:
         label_bytes = side.agg(_bytes("_code", alias)).first()[0] or 0
     if label_bytes <= BROADCAST_BYTES:
@@ -71,7 +73,7 @@ def _constant_map(pairs: list, value: Column) -> Column:
     if not pairs:
         return F.lit(None).cast("string")
     entries = [F.lit(x) for pair in pairs for x in (int(pair[0]), pair[1])]
-    return F.try_element_at(F.create_map(*entries), value.cast("bigint"))
+    return F.try_element_at(F.create_map(*entries), value.try_cast("bigint"))
 
 
 def enrich(df: DataFrame, labels: DataFrame, as_maps: bool = False) -> DataFrame:
@@ -88,13 +90,16 @@ def enrich(df: DataFrame, labels: DataFrame, as_maps: bool = False) -> DataFrame
         .agg(F.count(F.lit(1)).alias("n"), _bytes("Option", "LocalizedLabel").alias("bytes"))
         .collect()
     }
-    for name in sizes.keys() - set(df.columns):
+    by_lower = {name.lower(): name for name in sizes}
+    for name in sizes.keys() - {by_lower.get(c.lower()) for c in df.columns}:
         warnings.warn(f"option set {name!r} is not a column; no label added", stacklevel=2)
-    for name in [c for c in df.columns if c in sizes]:
+    # Column names are compared as Spark resolves them, without regard to case.
+    for column in [c for c in df.columns if c.lower() in by_lower]:
+        name = by_lower[column.lower()]
         own = codes.where(F.col("OptionSetName") == name).select("Option", "LocalizedLabel")
         entries, label_bytes = sizes[name]
         if as_maps and entries <= MAP_ENTRIES:
-            df = map_lookup(df, own, name, "Option", "LocalizedLabel", name + SUFFIX)
+            df = map_lookup(df, own, column, "Option", "LocalizedLabel", name + SUFFIX)
         else:
-            df = lookup(df, own, name, "Option", "LocalizedLabel", name + SUFFIX, label_bytes)
+            df = lookup(df, own, column, "Option", "LocalizedLabel", name + SUFFIX, label_bytes)
     return df

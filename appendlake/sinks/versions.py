@@ -1,6 +1,6 @@
 """A table made of runs, where an upsert rewrites only the buckets it touches.
 
-Each run writes ``<root>/<entity>/run_id=<stamp>/bucket=<n>/``; a row's bucket is a
+Each run writes ``<root>/<entity>/lake_run=<stamp>/lake_bucket=<n>/``; a row's bucket is a
 hash of its key. The load log is the list of valid runs: a folder without a log
 row, left by a run that died, is never read.
 """
@@ -22,7 +22,8 @@ from appendlake.session import persist_table
 from appendlake.sinks.run_folders import Written
 from appendlake.sources.files import literal
 
-BUCKET, RUN = "bucket", "run_id"
+# Folder columns; named so that an entity has none of the same name.
+BUCKET, RUN = "lake_bucket", "lake_run"
 
 
 class VersionedSink:
@@ -63,17 +64,17 @@ def live_runs(spark: SparkSession, config: LakeConfig, entity: str) -> list[dict
         spark.table(config.load_log)
         .where((F.col("entity") == entity) & (F.col("destination_type") == VersionedSink.destination_type))
         .where("row_count > 0")
-        .select(RUN, "mode", "schema_json", "buckets", "run_ts")
+        .select("run_id", "mode", "schema_json", "buckets")
         .distinct()
     )
     # Only runs from the last full load on matter.
-    last_full = log.where(F.col("mode") == FULL).agg(F.max(RUN)).first()[0]
+    last_full = log.where(F.col("mode") == FULL).agg(F.max("run_id")).first()[0]
     if last_full:
-        log = log.where(F.col(RUN) >= last_full)
+        log = log.where(F.col("run_id") >= last_full)
     replaced: set[int] = set()
     kept = []
-    for r in log.orderBy(F.col(RUN).desc()).collect():
-        kept.append({"run_id": r[RUN], "schema": r["schema_json"], "gone": sorted(replaced)})
+    for r in log.orderBy(F.col("run_id").desc()).collect():
+        kept.append({"run_id": r["run_id"], "schema": r["schema_json"], "gone": sorted(replaced)})
         if r["mode"] == UPSERT:
             replaced |= set(r["buckets"] or [])
     return [k for k in reversed(kept) if len(k["gone"]) < config.bucket_count]

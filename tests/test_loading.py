@@ -83,8 +83,8 @@ def test_versioned_table(spark, lake, step):
     # Only the buckets of the three keys were written.
     touched = log.first().buckets
     assert 0 < len(touched) <= 3
-    written = {d for d in os.listdir(log.first().destination) if d.startswith("bucket=")}
-    assert written == {f"bucket={b}" for b in touched}
+    written = {d for d in os.listdir(log.first().destination) if d.startswith("lake_bucket=")}
+    assert written == {f"lake_bucket={b}" for b in touched}
     step(text([3], "m", version=2), sink, "append")
     assert current(spark, lake, "acc").count() == 22
     # A column more; rows keep it through a later upsert without it.

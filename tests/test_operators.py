@@ -196,6 +196,16 @@ def test_enrich(spark, monkeypatch, as_maps, limit):
     assert ("BroadcastHashJoin" in plan) == (not as_maps and limit > 0)
 
 
+@pytest.mark.parametrize("as_maps", [True, False])
+def test_codes_of_another_type(spark, as_maps):
+    df = spark.createDataFrame([(1, "1", True), (2, "x", False), (3, None, None)], "id int, Kind string, flag boolean")
+    rows = [("e", True, f"{s}{c}", 1040, c, s, False) for s in ("kind", "flag") for c in (0, 1)]
+    got = labels.enrich(df, spark.createDataFrame(rows, options.LABEL_SCHEMA), as_maps)
+    assert sorted(tuple(r) for r in got.select("id", "kind_descr", "flag_descr").collect()) == [
+        (1, "kind1", "flag1"), (2, None, "flag0"), (3, None, None),
+    ]
+
+
 def test_labels_of_an_entity(spark, tmp_path):
     own = '{"EntityName":"acc","IsUserLocalizedLabel":true,"LocalizedLabel":"%s","LocalizedLabelLanguageCode":%d,"Option":%s,"OptionSetName":"statecode"}'
     glob = '{"IsUserLocalizedLabel":false,"LocalizedLabel":"G","LocalizedLabelLanguageCode":1040,"Option":0,"OptionSetName":"industrycode"}'
