@@ -20,9 +20,9 @@ from appendlake.sources.files import copy_bytes
 SCAN_BYTES = 16 * MIB
 COPIED = T.StructType([f for f in RANGE_LOG_SCHEMA.fields if f.name != "run_ts"])
 
-# How a range that cannot be copied is described.
-NEGATIVE_OFFSET = "Offset cannot be negative"
-EMPTY_RANGE = "Length must be positive"
+# How a range that was not copied is described.
+NEGATIVE_OFFSET = "the range begins before the file"
+EMPTY_RANGE = "the range has no bytes"
 AFTER_ERROR = "an earlier part of this file failed"
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from appendlake.config import LakeConfig
+from appendlake.config import DECIMAL_TRAIT, SYNC_STATE_KEY, SYNC_STATE_READY, LakeConfig
 from appendlake.operators import growth, ledger, ranges
 from appendlake.operators.latest import latest
 from appendlake.plans.copying import copy_growth
@@ -400,15 +400,13 @@ def q_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).otherwise("uuid")
         arguments = F.array(pair("precision", F.lit("38")), pair("scale", F.lit("0")))
         trait = F.struct(
-            F.lit("is.dataFormat.numeric.shaped").alias("traitReference"), arguments.alias("arguments")
+            F.lit(DECIMAL_TRAIT).alias("traitReference"), arguments.alias("arguments")
         )
         traits = F.when(k % 8 == 0, F.array(trait))
         return F.struct(name.alias("name"), declared.alias("dataType"), traits.alias("cdm:traits"))
 
-    state = F.when(F.col("largest") >= 25, "Completed").otherwise("InProgress")
-    annotations = F.array(
-        pair("Athena:InitialSyncState", F.lit("InProgress")), pair("Athena:InitialSyncState", state)
-    )
+    state = F.when(F.col("largest") >= 25, SYNC_STATE_READY).otherwise("InProgress")
+    annotations = F.array(pair(SYNC_STATE_KEY, F.lit("InProgress")), pair(SYNC_STATE_KEY, state))
     entity = F.struct(
         F.col("p_brand").alias("name"),
         annotations.alias("annotations"),

@@ -15,7 +15,7 @@ from appendlake.sinks.run_folders import Written
 
 
 class CatalogTableSink:
-    """Writes ``<schema>.<entity>`` in a format the session knows, such as ``delta``.
+    """Writes ``<schema>.<entity>`` in a table format the session knows.
 
     The format decides what it allows: parquet takes appends of the same columns and
     full loads, and refuses a merge.

@@ -232,3 +232,13 @@ def test_file_names_with_special_characters(spark, lake, put):
     assert names(current_run_folders(spark, lake, "acc")) == expected((range(9), "n"))
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5)
     assert copy_growth(spark, lake, ["acc"], run_ts=later).count() == 0
+
+
+def test_reading_an_entity_shuffles_nothing_and_prunes_columns(spark, lake, put):
+    put("acc", "p.csv", text(range(3)))
+    copy_growth(spark, lake, ["acc"])
+    files = [r[0] for r in ledger.available(spark, lake, "acc").select("target_path").collect()]
+    rows = loading.read_entity(spark, files, SCHEMA)
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    plan = rows.select("name")._jdf.queryExecution().executedPlan().toString()
+    assert "ReadSchema: struct<SinkCreatedOn:string,name:string>" in plan

@@ -3,6 +3,7 @@ import json
 import pytest
 from pyspark.sql import types as T
 
+from appendlake.config import DECIMAL_TRAIT, SYNC_STATE_KEY
 from appendlake.sources import manifest
 
 
@@ -10,20 +11,20 @@ def shaped(**arguments):
     return [
         {"traitReference": "is.other", "arguments": [{"name": "precision", "value": 1}]},
         {
-            "traitReference": "is.dataFormat.numeric.shaped",
+            "traitReference": DECIMAL_TRAIT,
             "arguments": [{"name": k, "value": v} for k, v in arguments.items()],
         },
     ]
 
 
 DOCUMENT = {
-    "name": "cdm",
+    "name": "export",
     "entities": [
         {
             "name": "account",
             "annotations": [
-                {"name": "Athena:InitialSyncState", "value": "InProgress"},
-                {"name": "Athena:InitialSyncState", "value": "Completed"},
+                {"name": SYNC_STATE_KEY, "value": "InProgress"},
+                {"name": SYNC_STATE_KEY, "value": "Completed"},
                 {"name": "other", "value": "x"},
             ],
             "attributes": [
@@ -42,8 +43,8 @@ DOCUMENT = {
                 {"name": "name", "dataType": "string"},
             ],
         },
-        {"name": "empty", "annotations": [{"name": "Athena:InitialSyncState", "value": "Completed"}], "attributes": []},
-        {"name": "busy", "annotations": [{"name": "Athena:InitialSyncState", "value": "InProgress"}]},
+        {"name": "empty", "annotations": [{"name": SYNC_STATE_KEY, "value": "Completed"}], "attributes": []},
+        {"name": "busy", "annotations": [{"name": SYNC_STATE_KEY, "value": "InProgress"}]},
         {"name": "bare"},
     ],
 }
@@ -72,5 +73,5 @@ def test_selection_state_and_warnings(spark, path):
     account = manifest.read_entities(spark, path, ["account"])
     row = account.first()
     assert row.sync_state == "Completed"
-    assert row.annotations == {"Athena:InitialSyncState": "Completed", "other": "x"}
+    assert row.annotations == {SYNC_STATE_KEY: "Completed", "other": "x"}
     assert [tuple(r) for r in manifest.warnings(account).collect()] == [("account", "odd", "picture")]

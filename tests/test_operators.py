@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import functions as F
@@ -234,3 +235,11 @@ def test_a_missing_code_is_no_label(spark):
 
 def test_scratch_folder_is_the_shared_one(spark):
     assert scratch_dir(spark, "x").startswith(spark.conf.get("spark.checkpoint.dir"))
+
+
+def test_a_cluster_needs_a_shared_folder():
+    none = SimpleNamespace(
+        conf=SimpleNamespace(get=lambda *_: None), sparkContext=SimpleNamespace(master="yarn")
+    )
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(none, "x")
