@@ -73,7 +73,7 @@ def live_runs(spark: SparkSession, config: LakeConfig, entity: str) -> list[dict
         log = log.where(F.col("run_id") >= last_full)
     replaced: set[int] = set()
     kept = []
-    for r in log.orderBy(F.col("run_id").desc()).collect():
+    for r in sorted(log.collect(), key=lambda r: r["run_id"], reverse=True):
         kept.append({"run_id": r["run_id"], "schema": r["schema_json"], "gone": sorted(replaced)})
         if r["mode"] == UPSERT:
             replaced |= set(r["buckets"] or [])
@@ -127,7 +127,7 @@ def current_run_folders(spark: SparkSession, config: LakeConfig, entity: str) ->
     last_full = log.where(F.col("mode") == FULL).agg(F.max("run_ts")).first()[0]
     if last_full is not None:
         log = log.where(F.col("run_ts") >= last_full)
-    runs = log.orderBy("run_ts").collect()
+    runs = sorted(log.collect(), key=lambda r: r["run_ts"])
     if not runs:
         raise LookupError(f"no load of {entity!r} is logged")
     fields: dict[str, T.StructField] = {}
