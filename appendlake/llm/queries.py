@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlake.llm import simhash
+from appendlake.llm import packing, sharding, simhash, token_counts
 from appendlake.llm.inputs import table
 
 
@@ -18,5 +19,26 @@ def op1_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lpad(F.lower(F.hex("fp0")), 16, "0").alias("fingerprint"), "component_id")
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {"op1_simhash": op1_simhash}
+def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents' tokens, packed into as few sequences of 2048 as it can."""
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    return packing.packed(packing.pieces(table(spark, sf_dir, "documents"), path, with_ids=False))
+
+
+def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token counts of all whole texts."""
+    return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
+
+
+def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shard and slot of every document; counts of shards differ by one at most."""
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    rows = table(spark, sf_dir, "documents").select("doc_id", (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32"))
+    law, grown = F.lit("rows").alias("law"), F.lit(None).cast("int").alias("grown_shard")
+    return sharding.sharded(rows, ["doc_id", "text_crc32", "size"], 16).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    f.__name__: f for f in (op1_simhash, op2_packing, op6_token_counts, op10_sharding)
+}
 SQL: dict[str, str] = {}
