@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlake.llm import packing, sharding, simhash, token_counts
+from appendlake.llm import mixing, packing, sharding, simhash, token_counts, topk, toxicity
 from appendlake.llm.inputs import table
 
 
@@ -25,6 +25,27 @@ def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.packed(packing.pieces(table(spark, sf_dir, "documents"), path, with_ids=False))
 
 
+def op3_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How many words the mix takes of every document."""
+    rows = mixing.placed(table(spark, sf_dir, "documents"))
+    taken = (F.col("size") * F.size("copies")).cast("long").alias("taken")
+    return rows.select("doc_id", "size", "source_size", "target", taken)
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of all whole texts, learned from the labels of four fifths of the documents."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    held_out = F.crc32(F.coalesce(F.col("doc_id").cast("string"), F.lit("")).cast("binary")) % 5 == 0
+    model = toxicity.trained(toxicity.labelled(docs, table(spark, sf_dir, "labels"), ~held_out))
+    rows = toxicity.scored(docs, model)
+    return rows.select("doc_id", held_out.alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"))
+
+
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 highest integer inner products of every twentieth vector with all others."""
+    return topk.top_k(topk.usable(table(spark, sf_dir, "embeddings")), F.col("vec_id") % 20 == 0)
+
+
 def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Token counts of all whole texts."""
     return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
@@ -39,6 +60,15 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op6_token_counts, op10_sharding)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_toxicity, op5_topk, op6_token_counts, op10_sharding)
+}
+SQL: dict[str, str] = {
+    "op5_topk": """
+        WITH v AS (SELECT vec_id, [floor(64 * x::DOUBLE)::BIGINT FOR x IN embedding] AS v FROM embeddings
+                   WHERE vec_id IS NOT NULL AND len(embedding) > 0
+                     AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+        pairs AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v::DOUBLE[], c.v::DOUBLE[])::BIGINT AS score
+                  FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
+        SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score
+        FROM pairs QUALIFY rank <= 20""",
 }
-SQL: dict[str, str] = {}
