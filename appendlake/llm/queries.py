@@ -5,10 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlake.llm import mixing, packing, sharding, simhash, token_counts, topk, toxicity
+from appendlake.llm import cws, hosts, mixing, packing, pii, sharding, simhash, token_counts, topk, toxicity
 from appendlake.llm.inputs import table
 
 
@@ -51,6 +51,28 @@ def op6_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(table(spark, sf_dir, "documents"), public_tokenizers.path("piece_bpe_32k.model"))
 
 
+def op7_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Consistent weighted samples of all texts and of their edited texts."""
+    return cws.edited(table(spark, sf_dir, "documents"))
+
+
+def op8_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Spans of personal data in all whole texts; counts are of the base spans."""
+    rows, _ = pii.found(table(spark, sf_dir, "documents"))
+    base = F.filter("spans", lambda s: s["base"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    digest = F.sha2(pii.shown(base).cast("binary"), 256).alias("base_sha256")
+    return rows.select("doc_id", *[count(k) for k in pii.KINDS], digest, pii.shown(F.col("spans")).alias("spans"))
+
+
+def op9_hosts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all urls: rules, else the host's trust and distrust."""
+    return hosts.judged(table(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
+
+
 def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Shard and slot of every document; counts of shards differ by one at most."""
     text = F.coalesce("text", F.lit("")).cast("binary")
@@ -60,7 +82,7 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_toxicity, op5_topk, op6_token_counts, op10_sharding)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_toxicity, op5_topk, op6_token_counts, op7_fingerprints, op8_pii, op9_hosts, op10_sharding)
 }
 SQL: dict[str, str] = {
     "op5_topk": """
