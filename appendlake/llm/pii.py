@@ -15,8 +15,8 @@ KINDS = ("email", "ip", "card", "phone")
 OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 # Base patterns. A match starts at the start of a run of its first class or
 # where the last match ended, so no start inside a run has to be tried.
-EMAIL = "(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++"
-IP = "(?:\\G|(?<![0-9]))[0-9]++(?:\\.[0-9]++){3}"
+EMAIL = "(?=[A-Za-z0-9._%+-])(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++"
+IP = "(?=[0-9])(?:\\G|(?<![0-9]))[0-9]++(?:\\.[0-9]++){3}"
 CARD = "[0-9][0-9\\x01]++"  # single separators between digits are \x01 by then
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 # Looser forms, which are personal data only if the voters say so.
@@ -48,9 +48,12 @@ class Judgement:
     reliability: dict[tuple[str, str], float]
 
 
-def _matches(text: Column, pattern: str) -> Column:
-    """Array of (``start``, ``end``, ``found``, ``before``) of a pattern's matches, in code points."""
-    found = F.regexp_extract_all(text, F.lit(pattern), 0)
+def _matches(text: Column, pattern: str, possible: Column) -> Column:
+    """Array of (``start``, ``end``, ``found``, ``before``) of a pattern's matches, in code points.
+
+    ``possible`` is a cheap test that every text with a match passes.
+    """
+    found = F.when(possible, F.regexp_extract_all(text, F.lit(pattern), 0))
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found"))
     empty = F.array().cast("array<struct<start:int,end:int,found:string,before:string>>")
     start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
@@ -90,7 +93,7 @@ def candidates(text: Column) -> Column:
     def vote(yes: Column, no: Column | None = None) -> Column:
         return F.when(yes, "y").when(no if no is not None else F.lit(False), "n").otherwise("-")
 
-    def spans(kind: str, pattern: str, source: Column, strict: bool) -> Column:
+    def spans(kind: str, pattern: str, source: Column, strict: bool, possible: Column) -> Column:
         def one(m: Column) -> Column:
             n = F.char_length(_digits(m["found"]))
             if kind == "ip":
@@ -106,12 +109,17 @@ def candidates(text: Column) -> Column:
             base = valid if strict else F.lit(False)
             return F.struct(F.lit(kind).alias("kind"), m["start"].alias("start"), m["end"].alias("end"), base.alias("base"), F.concat(F.lit(kind + ":"), *votes).alias("votes"))
 
-        return F.transform(_matches(source, pattern), one)
+        return F.transform(_matches(source, pattern, possible), one)
 
     joined = F.regexp_replace(F.translate(text, "\x01", "\x02"), "(?<=[0-9])[ -](?=[0-9])", "\x01")
-    strict = [spans("email", EMAIL, text, True), spans("ip", IP, text, True), spans("card", CARD, joined, True), spans("phone", PHONE, text, True)]
-    loose = [spans("email", LOOSE_EMAIL, text, False), spans("phone", LOOSE_PHONE, text, False)]
-    return F.concat(*strict, *loose)
+    return F.concat(
+        spans("email", EMAIL, text, True, text.contains("@")),
+        spans("ip", IP, text, True, text.rlike("[0-9]\\.[0-9]")),
+        spans("card", CARD, joined, True, text.rlike("[0-9][ -]?[0-9]")),
+        spans("phone", PHONE, text, True, text.contains("+")),
+        spans("email", LOOSE_EMAIL, text, False, text.rlike("(?i)[\\[(]\\s?at\\s?[\\])]")),
+        spans("phone", LOOSE_PHONE, text, False, text.rlike("[0-9]{3}[ .-][0-9]{4}")),
+    )
 
 
 def _apart(spans: Column) -> Column:
