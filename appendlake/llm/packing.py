@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import zlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,10 +21,11 @@ from appendlake.session import persist_table
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 100_000
 KEPT_CHUNKS = 1_000_000
+TEXT_AT_ONCE = 8_000_000
 
-# White space next to a space, or a space at an end: there the plain cut at spaces would not hold.
+# Two blanks side by side: there the plain cut would not hold. And the mark itself.
 _BLANK = "\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
-_ODD_SPACES = f" [{_BLANK}]|[{_BLANK}] |^ | $"
+_ODD_SPACES = f"[{_BLANK}][{_BLANK}]|\\x00"
 _CUT = re.compile(r"(?<=\S) (?=\S)")
 
 
@@ -33,6 +35,7 @@ class ChunkTokens:
     A text is cut before single spaces between two non-blank characters. No token of
     such a vocabulary reaches over such a place, so the ids of the chunks, one after
     another, are the ids of the text; special strings inside a text stay the library's.
+    The same holds on both sides of a single line end.
     """
 
     def __init__(self, path: str):
@@ -40,52 +43,69 @@ class ChunkTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, np.ndarray] = {}
+        self._forget()
+
+    def _forget(self) -> None:
+        self.number: dict[str, int] = {}
+        self.ids = array("I")
+        self.starts = array("q", [0])
 
     def of(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """(all ids, the end of each text's ids)."""
         odd = pc.match_substring_regex(texts, _ODD_SPACES).to_numpy(zero_copy_only=False)
-        lists = pc.split_pattern(texts, " ")
-        chunks, ends = lists.flatten(), np.asarray(lists.offsets)
-        first = np.zeros(len(chunks), bool)
-        counts = np.diff(ends)
-        first[ends[:-1][counts > 0] - ends[0]] = True
-        spaced = pc.if_else(pa.array(first), chunks, pc.binary_join_element_wise("", chunks, " "))
+        marked = pc.replace_substring(pc.replace_substring(texts, "\n", "\0\n\0"), " ", "\0 ")
+        lists = pc.split_pattern(marked, "\0")
+        chunks, counts = lists.flatten(), np.diff(np.asarray(lists.offsets))
         if odd.any():
-            spaced, counts = self._with_odd(texts, odd, spaced, counts)
-        spaced = spaced.dictionary_encode()
-        per = self._chunks(spaced.dictionary.to_pylist())
-        which = spaced.indices.to_numpy()
-        size = np.array([len(x) for x in per], np.int64)[which] if per else np.zeros(0, np.int64)
-        ids = np.concatenate([per[i] for i in which.tolist()]) if len(which) else np.zeros(0, np.uint32)
+            chunks, counts = self._with_odd(texts, odd, chunks, counts)
+        chunks = chunks.dictionary_encode()
+        which = self._numbers(chunks.dictionary.to_pylist())[chunks.indices.to_numpy()]
+        ids, starts = np.frombuffer(self.ids, np.uint32), np.frombuffer(self.starts, np.int64)
+        size = starts[which + 1] - starts[which]
         total = np.concatenate([[0], np.cumsum(size)])
-        return ids, total[np.cumsum(counts)]
+        at = np.repeat(starts[which] - total[:-1], size)
+        at += np.arange(total[-1])
+        return ids[at], total[np.cumsum(counts)]
 
-    def _with_odd(self, texts: pa.Array, odd: np.ndarray, spaced: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    def _with_odd(self, texts: pa.Array, odd: np.ndarray, chunks: pa.Array, counts: np.ndarray) -> tuple[pa.Array, np.ndarray]:
         """The chunks with those of oddly spaced texts cut with care."""
         ends = np.cumsum(counts)
         out, new = [], counts.copy()
         at = 0
         for i in np.flatnonzero(odd).tolist():
             start = ends[i] - counts[i]
-            out.append(spaced.slice(at, start - at))
+            out.append(chunks.slice(at, start - at))
             parts = _CUT.split(texts[i].as_py())
             parts = parts[:1] + [" " + x for x in parts[1:]]
-            out.append(pa.array(parts, spaced.type))
+            out.append(pa.array(parts, chunks.type))
             new[i] = len(parts)
             at = ends[i]
-        out.append(spaced.slice(at))
+        out.append(chunks.slice(at))
         return pa.concat_arrays(out), new
 
-    def _chunks(self, chunks: list[str]) -> list[np.ndarray]:
-        if len(self.known) > KEPT_CHUNKS:
-            self.known.clear()
-        new = [c for c in chunks if c not in self.known]
+    def _numbers(self, chunks: list[str]) -> np.ndarray:
+        """Numbers of distinct chunks; ``starts`` says where the ids of a number are."""
+        if len(self.number) > KEPT_CHUNKS:
+            self._forget()
+        new = [c for c in chunks if c not in self.number]
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
             for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.known[chunk] = np.array(found.ids, np.uint32)
-        return [self.known[c] for c in chunks]
+                self.number[chunk] = len(self.starts) - 1
+                self.ids.extend(found.ids)
+                self.starts.append(len(self.ids))
+        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+
+
+def _by_bytes(batch: pa.RecordBatch, at_once: int) -> Iterator[pa.RecordBatch]:
+    """Slices of a batch with about so many bytes of text (column 1); a longer text is alone."""
+    ends = np.cumsum(pc.binary_length(batch.column(1)).to_numpy(zero_copy_only=False))
+    at = 0
+    while at < batch.num_rows:
+        limit = (ends[at - 1] if at else 0) + at_once
+        end = max(at + 1, int(np.searchsorted(ends, limit, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
 
 
 def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -101,8 +121,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, wi
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens = ChunkTokens(path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 1000):
-                part = batch.slice(at, 1000)
+            for part in _by_bytes(batch, TEXT_AT_ONCE):
                 ids, ends = tokens.of(part.column(1).cast(pa.string()))
                 rows: list[tuple] = []
                 start = 0
