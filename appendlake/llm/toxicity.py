@@ -109,7 +109,10 @@ def trained(rows: DataFrame, kept: int = 1024, fit_rows: int = 20_000, ridge: fl
     hashes = hashes[order]
     counts = np.array([(r["pos"], r["neg"]) for r in chosen], float)[order]
     ratio = np.log((counts[:, 0] + 1) / (totals[1] + 2)) - np.log((counts[:, 1] + 1) / (totals[0] + 2))
-    sample = rows.orderBy(F.xxhash64(F.lit(4), "doc_id"), "doc_id").select("text", "label").limit(fit_rows)
+    # The cut is found on ids alone, so no task gathers texts.
+    h = F.xxhash64(F.lit(4), "doc_id")
+    cut = rows.select(h.alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
+    sample = rows.filter(h <= cut).select("text", "label")
     found = sample.mapInArrow(_finder(hashes), "label int, found array<int>").collect()
     x = np.zeros((len(found), len(hashes)), np.float32)
     for i, r in enumerate(found):
