@@ -20,8 +20,8 @@ from appendlake.session import persist_table
 
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 100_000
-KEPT_CHUNKS = 1_000_000
-TEXT_AT_ONCE = 8_000_000
+KEPT_CHUNKS = 400_000
+TEXT_AT_ONCE = 1_500_000
 
 # Two blanks side by side: there the plain cut would not hold. And the mark itself.
 _BLANK = "\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"

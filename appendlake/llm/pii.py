@@ -17,7 +17,9 @@ OCTET = "0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[0-9]?[0-9])"
 # where the last match ended, so no start inside a run has to be tried.
 EMAIL = "(?=[A-Za-z0-9._%+-])(?:\\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\\.[A-Za-z0-9-]++)++"
 IP = "(?=[0-9])(?:\\G|(?<![0-9]))[0-9]++(?:\\.[0-9]++){3}"
-CARD = "[0-9][0-9\\x01]++"  # single separators between digits are \x01 by then
+# Single separators between digits are \x01 by then, so a match is a whole run of both.
+# Shorter runs can't have 13 digits, the fewest that voters are asked about.
+CARD = "(?=[0-9])(?<![0-9\\x01])[0-9][0-9\\x01]{12,}+"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 # Looser forms, which are personal data only if the voters say so.
 LOOSE_EMAIL = "(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}\\s?[\\[(]\\s?at\\s?[\\])]\\s?[a-z0-9-]{2,64}(?:\\s?[\\[(]\\s?dot\\s?[\\])]\\s?[a-z0-9-]{2,64}){1,4}"
@@ -37,6 +39,7 @@ CUES = {
 }
 VOTERS = ("form", "check", "known", "cue")
 BEFORE = 40
+RUN = 256
 
 
 @dataclass(frozen=True)
@@ -54,9 +57,8 @@ def _matches(text: Column, pattern: str, possible: Column) -> Column:
     ``possible`` is a cheap test that every text with a match passes.
     """
     found = F.when(possible, F.regexp_extract_all(text, F.lit(pattern), 0))
-    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found"))
-    empty = F.array().cast("array<struct<start:int,end:int,found:string,before:string>>")
-    start = F.struct(F.lit(0).alias("at"), empty.alias("out"))
+    kind = "array<struct<start:int,end:int,found:string,before:string>>"
+    empty, none = F.array().cast(kind), F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
 
     def add(acc: Column, x: Column) -> Column:
         begin = acc["at"] + F.char_length(x["gap"])
@@ -65,7 +67,23 @@ def _matches(text: Column, pattern: str, possible: Column) -> Column:
         more = F.when(x["found"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(span)))
         return F.struct(F.coalesce(end, begin).alias("at"), more.alias("out"))
 
-    return F.when(F.size(found) > 0, F.aggregate(parts, start, add)["out"]).otherwise(empty)
+    def move(acc: Column, part: Column) -> Column:
+        moved = F.transform(part["out"], lambda s: F.struct((s["start"] + acc["at"]).alias("start"), (s["end"] + acc["at"]).alias("end"), s["found"].alias("found"), s["before"].alias("before")))
+        return F.struct((acc["at"] + part["at"]).alias("at"), F.concat(acc["out"], F.array(moved)).alias("out"))
+
+    # An array grows by copying, so spans are placed in runs of RUN matches, and then the runs.
+    parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), found.alias("found"))
+    runs = F.transform(_slices(parts), lambda run: F.aggregate(run, none, add))
+    nested = F.struct(F.lit(0).alias("at"), F.array().cast(f"array<{kind}>").alias("out"))
+    return F.when(F.size(found) > 0, F.flatten(F.aggregate(runs, nested, move)["out"])).otherwise(empty)
+
+
+def _slices(values: Column) -> Column:
+    """An array as an array of arrays of up to ``RUN`` values."""
+    bare = F.struct(values.alias("v"))  # named once, so that it is computed once
+    return F.flatten(
+        F.transform(F.array(bare), lambda b: F.transform(F.sequence(F.lit(0), F.floor((F.size(b["v"]) - 1) / RUN).cast("int")), lambda i: F.slice(b["v"], i * RUN + 1, F.lit(RUN))))
+    )
 
 
 def _digits(found: Column) -> Column:
