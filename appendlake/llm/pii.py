@@ -23,7 +23,7 @@ CARD = "(?=[0-9])(?<![0-9\\x01])[0-9][0-9\\x01]{12,}+"
 PHONE = "\\+[0-9][\\x20().0-9-]+[0-9]"
 # Looser forms, which are personal data only if the voters say so.
 LOOSE_EMAIL = "(?i)(?<![a-z0-9._%+-])[a-z0-9._%+-]{2,64}\\s?[\\[(]\\s?at\\s?[\\])]\\s?[a-z0-9-]{2,64}(?:\\s?[\\[(]\\s?dot\\s?[\\])]\\s?[a-z0-9-]{2,64}){1,4}"
-LOOSE_PHONE = "(?<![0-9+.)-])(?:\\([0-9]{3}\\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
+LOOSE_PHONE = "(?<![0-9+.)-])(?<!\\+[0-9]{1,3}[ ().-]{1,2})(?:\\([0-9]{3}\\) ?|[0-9]{3}[ .-])[0-9]{3}[ .-][0-9]{4}(?![0-9])"
 # Gazetteers, as patterns on the match, and cue words, on what stands before it.
 KNOWN = {
     "email": "(?i)(?:\\.|dot\\W{0,3})(?:com|org|net|edu|gov|info|io|de|fr|es|it|uk|eu|ch|at|nl)$",
