@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Fixed value: the export's 12-hour timestamp, one- or two-digit month, day and hour.
 TWELVE_HOUR_FORMAT = "M/d/yyyy h:mm:ss a"
@@ -19,25 +18,3 @@ def parse_timestamp(text: Column) -> Column:
     return F.when(
         text.contains("/"), F.try_to_timestamp(text, F.lit(TWELVE_HOUR_FORMAT))
     ).otherwise(text.try_cast("timestamp"))
-
-
-# What numbers look like. Text is tested first, because a failing
-# cast costs an exception per row.
-INTEGER_FORM = r"^[+-]?\d+$"
-NUMBER_FORM = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-FLOAT_FORM = NUMBER_FORM[:-1] + r"$|^NaN$|^[+-]?Inf(inity)?$"
-
-
-def typed(text: Column, data_type: T.DataType) -> Column:
-    if isinstance(data_type, T.TimestampType):
-        return parse_timestamp(text)
-    if isinstance(data_type, T.BooleanType):
-        lowered = F.lower(text)
-        return F.when(lowered == "true", True).when(lowered == "false", False)
-    if isinstance(data_type, T.IntegralType):
-        return F.when(text.rlike(INTEGER_FORM), text.try_cast(data_type))
-    if isinstance(data_type, T.DecimalType):
-        return F.when(text.rlike(NUMBER_FORM), text.try_cast(data_type))
-    if isinstance(data_type, T.FractionalType):
-        return F.when(text.rlike(FLOAT_FORM), text.try_cast(data_type))
-    return text.try_cast(data_type)

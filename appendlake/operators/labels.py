@@ -12,9 +12,7 @@ from appendlake.session import persist_table
 from appendlake.sources.options import one_per_code
 
 BROADCAST_BYTES = 64 * MIB
-MAP_ENTRIES = 64
 ROW_OVERHEAD = 64
-SALTS = 32
 SUFFIX = "_descr"
 
 
@@ -25,81 +23,63 @@ def lookup(
     code: str,
     label: str,
     alias: str,
-    label_bytes: int | None = None,
+    may_broadcast: bool | None = None,
 ) -> DataFrame:
     """Left join on a code with at most one label each; unknown and null codes get null.
 
-    Labels up to a measured size are broadcast, which leaves the rows where they
-    are. Beyond it both sides are shuffled by code and salt: codes are few and
-    uneven, so one code's rows are spread over several tasks.
+    The code takes the column's type (text, boolean, double), not the other way round.
+    Codes that become equal by that are one code, with the label of the smallest, so no
+    row is repeated. Labels up to a measured size are broadcast, which leaves the rows
+    where they are. Beyond it both sides are shuffled by code in a sort-merge join; the
+    labels hold a code once, so adaptive execution can split a hot code's rows.
     """
-    # The code takes the column's type (text, boolean), not the other way round.
     own_type = df.schema[column].dataType
-    side = labels.select(F.col(code).try_cast(own_type).alias("_code"), F.col(label).alias(alias))
-    if label_bytes is None:
-        label_bytes = side.agg(_bytes("_code", alias)).first()[0] or 0
-    if label_bytes <= BROADCAST_BYTES:
-        return df.join(F.broadcast(side), F.col(column) == F.col("_code"), "left").drop("_code")
-    return salted_lookup(df, side, column, alias)
+    typed = labels.select(F.col(quoted(code)).alias("code"), F.col(quoted(label)).alias("label"))
+    typed = typed.withColumn("typed", F.col("code").try_cast(own_type)).where("typed is not null")
+    side = typed.groupBy(F.col("typed").alias("_code")).agg(F.min_by("label", "code").alias(alias))
+    if may_broadcast is None:
+        size = labels.agg(_bytes(code, label)).first()[0] or 0
+        may_broadcast = size <= BROADCAST_BYTES
+    side = F.broadcast(side) if may_broadcast else side.hint("merge")
+    kept = [F.col(quoted(c)) for c in df.columns]
+    joined = df.join(side, F.col(quoted(column)) == F.col("_code"), "left")
+    return joined.select(*kept, F.col(quoted(alias)))
 
 
-def salted_lookup(df: DataFrame, side: DataFrame, column: str, alias: str) -> DataFrame:
-    """The shuffled form of ``lookup``; the salt depends on the row only, so a repeated task agrees."""
-    salted = df.withColumn("_salt", F.pmod(F.xxhash64(*df.columns), F.lit(SALTS)).cast("int"))
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("_label_salt")
-    copies = side.select("*", salts)
-    return salted.join(
-        copies.hint("merge"),
-        (F.col(column) == F.col("_code")) & (F.col("_salt") == F.col("_label_salt")),
-        "left",
-    ).select(*df.columns, alias)
+def quoted(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
 
 
 def _bytes(*columns: str) -> Column:
-    sizes = [F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in columns]
+    sizes = [F.coalesce(F.octet_length(F.col(quoted(c)).cast("string")), F.lit(0)) for c in columns]
     return F.sum(sum(sizes, F.lit(ROW_OVERHEAD))).cast("bigint")
 
 
-def map_lookup(df: DataFrame, labels: DataFrame, column: str, code: str, label: str, alias: str) -> DataFrame:
-    """As ``lookup``, with a handful of labels held in a constant map instead of a join."""
-    rows = labels.select(F.col(code).cast("bigint"), label).where(F.col(code).isNotNull())
-    found = rows.limit(MAP_ENTRIES + 1).collect()
-    if len(found) > MAP_ENTRIES:
-        return lookup(df, labels, column, code, label, alias)
-    return df.withColumn(alias, _constant_map(found, F.col(column)))
-
-
-def _constant_map(pairs: list, value: Column) -> Column:
-    if not pairs:
-        return F.lit(None).cast("string")
-    entries = [F.lit(x) for pair in pairs for x in (int(pair[0]), pair[1])]
-    return F.try_element_at(F.create_map(*entries), value.try_cast("bigint"))
-
-
-def enrich(df: DataFrame, labels: DataFrame, as_maps: bool = False) -> DataFrame:
+def enrich(df: DataFrame, labels: DataFrame) -> DataFrame:
     """Add ``<set>_descr`` for every option set that names a column of ``df``.
 
-    The names and sizes of the sets are the only thing collected. A set that is no
-    column is left out with a warning.
+    The names and sizes of the sets are the only thing collected. Sets are broadcast,
+    the smallest first, as long as all of them together stay below ``BROADCAST_BYTES``.
+    A set that is no column is left out with a warning.
     """
     # Read once; a join per set follows.
     codes = persist_table(one_per_code(labels), "labels")
     sizes = {
-        r["OptionSetName"]: (r["n"], r["bytes"])
-        for r in codes.groupBy("OptionSetName")
-        .agg(F.count(F.lit(1)).alias("n"), _bytes("Option", "LocalizedLabel").alias("bytes"))
-        .collect()
+        r["OptionSetName"]: r["bytes"]
+        for r in codes.groupBy("OptionSetName").agg(_bytes("Option", "LocalizedLabel").alias("bytes")).collect()
     }
     by_lower = {name.lower(): name for name in sizes}
     for name in sizes.keys() - {by_lower.get(c.lower()) for c in df.columns}:
         warnings.warn(f"option set {name!r} is not a column; no label added", stacklevel=2)
     # Column names are compared as Spark resolves them, without regard to case.
-    for column in [c for c in df.columns if c.lower() in by_lower]:
+    wanted = [c for c in df.columns if c.lower() in by_lower]
+    left, small = BROADCAST_BYTES, set()
+    for name in sorted({by_lower[c.lower()] for c in wanted}, key=lambda n: (sizes[n], n)):
+        left -= sizes[name]
+        if left >= 0:
+            small.add(name)
+    for column in wanted:
         name = by_lower[column.lower()]
         own = codes.where(F.col("OptionSetName") == name).select("Option", "LocalizedLabel")
-        entries, label_bytes = sizes[name]
-        if as_maps and entries <= MAP_ENTRIES:
-            df = map_lookup(df, own, column, "Option", "LocalizedLabel", name + SUFFIX)
-        else:
-            df = lookup(df, own, column, "Option", "LocalizedLabel", name + SUFFIX, label_bytes)
+        df = lookup(df, own, column, "Option", "LocalizedLabel", name + SUFFIX, name in small)
     return df

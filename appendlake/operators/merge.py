@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from appendlake.operators.labels import quoted
+
 DUPLICATE_MATCH = "several source rows match one target row"
 
 
@@ -16,43 +18,41 @@ def merge(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFram
 
     A matched target row takes every column of the source and keeps the columns
     only it has. A source row without a match is inserted. A null in a key
-    matches nothing. Two source rows for one target row are an error.
+    matches nothing. Two source rows for one target row are an error; without a
+    target row both are inserted.
 
-    The source is reduced to one row and a count per key before it meets the
-    target, so only the side whose rows are kept can hold a key many times, and
-    that side is the one adaptive execution may split. Nothing is built from all
-    keys of the target: a small source is broadcast, and then the target is only
-    scanned for the keys that match.
+    One full outer join of the target with the source, reduced to a row and a count
+    per key before its shuffle: two scans and two shuffles. Keys that the source
+    repeats, null ones among them, are looked for first, by one job over the source; only if there are any
+    does a second branch insert their rows.
     """
     keys = list(keys)
-    own = [c for c in target.columns if c not in source.columns]
+    named = lambda c: F.col(quoted(c))
     new = [c for c in source.columns if c not in target.columns]
-    present = reduce(lambda a, b: a & b, [F.col(k).isNotNull() for k in keys])
-
-    by_key = (
-        source.where(present)
-        .groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"), F.first(F.struct(*source.columns)).alias("_s"))
-    )
-    matched = F.col("_n").isNotNull()
-    shared = [
-        F.when(matched, F.col("_s")[c]).otherwise(F.col(c)).alias(c)
-        for c in target.columns if c not in own
-    ]
-    once = F.when(F.col("_n") > 1, F.raise_error(F.lit(DUPLICATE_MATCH)).cast("boolean")).otherwise(True)
-    after = (
-        target.where(present)
-        .join(by_key, keys, "left")
-        .where(once)
-        .select(*shared, *own, *[F.col("_s")[c].alias(c) for c in new])
-    )
-    unkeyed = target.where(~present)
-    found = target.where(present).select(*keys).join(by_key.select(*keys), keys, "left_semi").distinct()
-    inserted = source.join(found, keys, "left_anti")
-    return after.unionByName(unkeyed, allowMissingColumns=True).unionByName(
-        inserted.select(*source.columns), allowMissingColumns=True
-    )
+    key_columns = [named(k).alias(f"_k{i}") for i, k in enumerate(keys)]
+    rows = F.struct(*[named(c) for c in source.columns])
+    by_key = source.groupBy(*key_columns).agg(F.count(F.lit(1)).alias("_n"), F.first(rows).alias("_s"))
+    held = target.select(F.struct(*[named(c) for c in target.columns]).alias("_t"), *[named(k).alias(f"_t{i}") for i, k in enumerate(keys)])
+    same = reduce(lambda a, b: a & b, [F.col(f"_t{i}") == F.col(f"_k{i}") for i in range(len(keys))])
+    joined = held.join(by_key, same, "full_outer")
+    in_target, repeated = F.col("_t").isNotNull(), F.coalesce(F.col("_n") > 1, F.lit(False))
+    error = F.raise_error(F.lit(DUPLICATE_MATCH)).cast("boolean")
+    joined = joined.where(F.when(in_target & repeated, error).otherwise(~repeated))
+    updated = F.col("_s").isNotNull()
+
+    def after(name: str) -> Column:
+        own = F.col("_t").getField(name) if name in target.columns else F.lit(None)
+        if name not in source.columns:
+            return own.alias(name)
+        return F.when(updated, F.col("_s").getField(name)).otherwise(own).alias(name)
+
+    result = joined.select(*[after(c) for c in [*target.columns, *new]])
+    again = by_key.where("_n > 1").select(*[F.col(f"_k{i}") for i in range(len(keys))])
+    if again.isEmpty():
+        return result
+    key_of = reduce(lambda a, b: a & b, [named(k).eqNullSafe(F.col(f"_k{i}")) for i, k in enumerate(keys)])
+    return result.unionByName(source.join(again, key_of, "left_semi"), allowMissingColumns=True)
 
 
 def bucket_of(columns: Sequence[str], count: int) -> Column:
-    return F.pmod(F.xxhash64(*columns), F.lit(count)).cast("int")
+    return F.pmod(F.xxhash64(*[F.col(quoted(c)) for c in columns]), F.lit(count)).cast("int")

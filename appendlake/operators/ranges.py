@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from appendlake.config import MIB, LakeConfig
-from appendlake.functions import paths
 from appendlake.operators.ledger import RANGE_LOG_SCHEMA
 from appendlake.session import MAX_TASKS, persist_counted, task_count
 from appendlake.sources import pieces
@@ -65,7 +64,7 @@ def copy(
     # A short range is trimmed and copied by one task.
     short = checked.where(valid & ~F.col("is_long")).select(
         *names,
-        _target(config, run_ts, F.lit("")),
+        _target(config, run_ts, F.col("range_start")),
         F.col("range_start").alias("offset_start"),
         F.col("range_end").alias("offset_end"),
         F.lit(True).alias("trim"),
@@ -96,10 +95,17 @@ def copy(
     return in_order.unionByName(rejected)
 
 
-def _target(config: LakeConfig, run_ts: dt.datetime, suffix: Column) -> Column:
-    stamp = paths.file_stamp(F.lit(run_ts))
+def _target(config: LakeConfig, run_ts: dt.datetime, offset: Column) -> Column:
+    """Name of a range file: stem, UTC time of the run and first byte, so that no other
+    range of a file has it, whatever the session's zone and however quick the runs."""
+    moment = run_ts if run_ts.tzinfo else run_ts.replace(tzinfo=dt.timezone.utc)
+    stamp = moment.astimezone(dt.timezone.utc).strftime("%Y%m%d%H%M%S")
     folder = F.concat(F.lit(config.range_root + "/"), "entity", F.lit("/"))
-    return F.concat(folder, "source_stem", F.lit("_"), stamp, suffix, F.lit(".csv")).alias("target_path")
+    number = F.lpad(offset.cast("string"), 15, "0")
+    # The path's hash keeps apart two files that differ in their extension only.
+    same_stem = F.lower(F.hex(F.xxhash64("source_path")))
+    name = F.concat_ws("_", "source_stem", same_stem, F.lit(stamp), number)
+    return F.concat(folder, name, F.lit(".csv")).alias("target_path")
 
 
 def _parts(
@@ -115,14 +121,11 @@ def _parts(
         carry=["entity", "source_stem"],
         chunks_known=chunks,
     )
-    number = F.row_number().over(
-        Window.partitionBy("source_path", "range_start").orderBy("piece_start")
-    )
-    numbered = found.withColumn("number", number).select(
+    numbered = found.select(
         "entity",
         "source_stem",
         "source_path",
-        _target(config, run_ts, F.format_string("_%05d", F.col("number"))),
+        _target(config, run_ts, F.col("piece_start")),
         F.col("piece_start").alias("offset_start"),
         F.col("piece_end").alias("offset_end"),
         F.lit(False).alias("trim"),

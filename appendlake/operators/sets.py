@@ -5,36 +5,11 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
-
-# Copies of one row that one output row of the count stands for.
-COPIES_PER_ROW = 1_000_000
 
 
 def multiset_difference(left: DataFrame, right: DataFrame) -> DataFrame:
-    """Rows of ``left`` minus rows of ``right``, where copies count and null equals null.
-
-    Equal rows are counted before the shuffle. The counts are turned back into
-    copies where they are, except for rows with very many copies: those are cut
-    into portions which are spread over the tasks first.
-    """
-    columns = left.columns
-    signed = left.withColumn("_copies", F.lit(1).cast("bigint")).unionByName(
-        right.toDF(*columns).withColumn("_copies", F.lit(-1).cast("bigint"))
-    )
-    counted = signed.groupBy(*columns).agg(F.sum("_copies").alias("_copies")).where("_copies > 0")
-    few = counted.where(F.col("_copies") <= COPIES_PER_ROW)
-    first = F.explode(F.sequence(F.lit(0), F.col("_copies") - 1, F.lit(COPIES_PER_ROW)))
-    many = (
-        counted.where(F.col("_copies") > COPIES_PER_ROW)
-        .select(*columns, "_copies", first.alias("_from"))
-        .repartition(*columns, "_from")
-        .withColumn("_copies", F.least(F.col("_copies") - F.col("_from"), F.lit(COPIES_PER_ROW)))
-        .drop("_from")
-    )
-    return few.unionByName(many).select(
-        *columns, F.explode(F.array_repeat(F.lit(True), F.col("_copies").cast("int"))).alias("_one")
-    ).drop("_one")
+    """Rows of ``left`` minus rows of ``right`` by position, where copies count and null equals null."""
+    return left.exceptAll(right.toDF(*left.columns))
 
 
 def absent_from(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

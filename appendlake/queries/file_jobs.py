@@ -501,3 +501,26 @@ def q_stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
         sink = VersionedSink(config)
         stream_load(spark, config, "orders", ORDERS, sink, checkpoint, "upsert").awaitTermination()
     return _order_result(current(spark, config, "orders"))
+
+
+@query(
+    """
+    select l_orderkey, l_linenumber, cast(l_extendedprice as decimal(15,2)) as price,
+           cast(l_quantity as bigint) as quantity, l_discount as discount,
+           null::bigint as bad_number, null::boolean as bad_flag, l_returnflag = 'R' as returned
+    from lineitem
+    """
+)
+def q_typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line as exported text, parsed as a load does; text that is no value of the type is null."""
+    is_returned = F.when(F.col("l_returnflag") == "R", "True").otherwise("false")
+    folder = scratch_dir(spark, "typed")
+    export(
+        table(spark, sf_dir, "lineitem").select(
+            "l_orderkey", "l_linenumber", "l_extendedprice", F.col("l_quantity").cast("bigint"),
+            "l_discount", "l_linestatus", F.col("l_linestatus").alias("flag"), is_returned.alias("returned"),
+        ),
+        folder,
+    )
+    typed = "l_orderkey bigint, l_linenumber int, price decimal(15,2), quantity bigint, discount double, bad_number bigint, bad_flag boolean, returned boolean"
+    return records.read(spark, [folder], T.StructType.fromDDL(typed), file_columns=False)

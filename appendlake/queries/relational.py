@@ -202,14 +202,26 @@ def q_enrich_two(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select c_custkey, n_name as c_nationkey_descr from customer left join nation on c_nationkey = n_nationkey
+    select c_custkey, n_name as exact_descr, case when c_custkey % 2 = 0 then n_name end as double_descr,
+           case when c_custkey % 3 > 0 then n_name end as text_descr,
+           (select n_name from nation where n_nationkey = case when c_nationkey > 0 then 1 else 0 end) as flag_descr
+    from customer left join nation on c_nationkey = n_nationkey
     """
 )
 def q_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    customers = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-    return labels.map_lookup(
-        customers, table(spark, sf_dir, "nation"), "c_nationkey", "n_nationkey", "n_name", "c_nationkey_descr"
-    ).drop("c_nationkey")
+    """Codes as number, double, text and boolean; broadcast and shuffled labels in turn."""
+    key, nation = F.col("c_custkey"), F.col("c_nationkey")
+    rows = table(spark, sf_dir, "customer").select(
+        "c_custkey",
+        nation.alias("exact"),
+        (nation + F.when(key % 2 == 0, 0.0).otherwise(0.5)).alias("double"),
+        F.concat(F.when(key % 3 > 0, "").otherwise("0"), nation.cast("string")).alias("text"),
+        (nation > 0).alias("flag"),
+    )
+    nations = table(spark, sf_dir, "nation")
+    for i, column in enumerate(["exact", "double", "text", "flag"]):
+        rows = labels.lookup(rows, nations, column, "n_nationkey", "n_name", f"{column}_descr", i % 2 == 0)
+    return rows.drop("exact", "double", "text", "flag")
 
 
 @query(
@@ -219,11 +231,11 @@ def q_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def q_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The lookup as it runs when the labels are too large to broadcast."""
-    side = table(spark, sf_dir, "customer").select(
-        F.col("c_custkey").alias("_code"), F.col("c_name").alias("o_custkey_descr")
-    )
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    return labels.salted_lookup(orders, side, "o_custkey", "o_custkey_descr").drop("o_custkey")
+    customers = table(spark, sf_dir, "customer")
+    return labels.lookup(
+        orders, customers, "o_custkey", "c_custkey", "c_name", "o_custkey_descr", False
+    ).drop("o_custkey")
 
 
 @query(
@@ -338,38 +350,6 @@ def q_kv_map(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """
-    select l_orderkey, l_linenumber, cast(l_extendedprice as decimal(15,2)) as price,
-           cast(l_quantity as bigint) as quantity, l_discount as discount,
-           null::bigint as bad_number, null::boolean as bad_flag, l_returnflag = 'R' as returned
-    from lineitem
-    """
-)
-def q_typed_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every line as exported text, typed again; text that is no value of the type is null."""
-    is_returned = F.when(F.col("l_returnflag") == "R", "True").otherwise("false")
-    text = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey",
-        "l_linenumber",
-        F.col("l_extendedprice").cast("string").alias("price"),
-        F.col("l_quantity").cast("bigint").cast("string").alias("quantity"),
-        F.col("l_discount").cast("string").alias("discount"),
-        F.col("l_linestatus").alias("status"),
-        is_returned.alias("returned"),
-    )
-    return text.select(
-        "l_orderkey",
-        "l_linenumber",
-        casts.typed(F.col("price"), T.DecimalType(15, 2)).alias("price"),
-        casts.typed(F.col("quantity"), T.LongType()).alias("quantity"),
-        casts.typed(F.col("discount"), T.DoubleType()).alias("discount"),
-        casts.typed(F.col("status"), T.LongType()).alias("bad_number"),
-        casts.typed(F.col("status"), T.BooleanType()).alias("bad_flag"),
-        casts.typed(F.col("returned"), T.BooleanType()).alias("returned"),
-    )
-
-
 @query(
     """
     select event_id, date_trunc('second', ts) as twelve_hour, ts as iso, null::timestamp as bad from events

@@ -9,14 +9,33 @@ from collections.abc import Iterator
 import pyarrow.fs as pafs
 
 
+# Schemes as pyarrow names them, and where a mounted volume lies for tasks.
+ALIASES = {"s3a": "s3", "s3n": "s3"}
+MOUNTS = {"dbfs": "/dbfs"}
+KNOWN = ("hdfs", "viewfs", "s3", "gs", "gcs", "abfs", "abfss")
+
+
 def open_file_system(path: str) -> tuple[pafs.FileSystem, str]:
-    """File system and the path inside it. Hadoop writes local URIs with one slash."""
-    if path.startswith("file:"):
-        path = "/" + path[len("file:"):].lstrip("/")
-    if "://" not in path:
+    """File system and the path inside it.
+
+    A URI may have one slash after its scheme, as Hadoop writes it, or two and an
+    authority. ``file:`` and the schemes of mounted volumes are local paths; a scheme
+    that nothing here can open is an error, not a relative path.
+    """
+    found = re.match(r"([A-Za-z][A-Za-z0-9+.-]*):(/.*)", path, re.DOTALL)
+    if not found:
         return pafs.LocalFileSystem(), path
-    scheme, rest = path.split("://", 1)
-    return pafs.FileSystem.from_uri(f"{'s3' if scheme in ('s3a', 's3n') else scheme}://{rest}")
+    scheme, rest = found[1].lower(), found[2]
+    if scheme == "file":
+        return pafs.LocalFileSystem(), "/" + (re.sub("^//[^/]*", "", rest) if rest.startswith("//") else rest).lstrip("/")
+    if scheme in MOUNTS:
+        return pafs.LocalFileSystem(), f"{MOUNTS[scheme]}/{rest.lstrip('/')}"
+    scheme = ALIASES.get(scheme, scheme)
+    if scheme not in KNOWN:
+        raise ValueError(f"no file system for the scheme of {path!r}")
+    # With one slash there is no authority: the cluster's default one is meant.
+    authority = "" if rest.startswith("//") else "//default" if scheme in ("hdfs", "viewfs") else "//"
+    return pafs.FileSystem.from_uri(f"{scheme}:{authority}{rest}")
 
 
 def literal(path: str) -> str:
@@ -40,14 +59,23 @@ def read_blocks(path: str, start: int, end: int, block_bytes: int) -> Iterator[b
 def copy_bytes(source: str, target: str, start: int, end: int, block_bytes: int) -> None:
     """Copy ``[start, end)`` to a new file that appears under its name only when whole.
 
-    A second attempt of the same task writes its own hidden file and then moves
-    it over an equal one, so retries and speculative tasks are harmless.
+    A second attempt of the same task writes its own hidden file and finds an equal one
+    in place, so retries and speculative tasks are harmless. A target of another length
+    is another range's: it is never replaced.
     """
     fs, inner = open_file_system(target)
     folder, _, name = inner.rpartition("/")
     fs.create_dir(folder, recursive=True)
     hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
-    with fs.open_output_stream(hidden) as sink:
-        for block in read_blocks(source, start, end, block_bytes):
-            sink.write(block)
-    fs.move(hidden, inner)
+    try:
+        with fs.open_output_stream(hidden) as sink:
+            for block in read_blocks(source, start, end, block_bytes):
+                sink.write(block)
+        there = fs.get_file_info(inner)
+        if there.type != pafs.FileType.NotFound and there.size != end - start:
+            raise FileExistsError(f"{target} has {there.size} bytes, not {end - start}")
+        fs.move(hidden, inner)
+    except BaseException:
+        if fs.get_file_info(hidden).type != pafs.FileType.NotFound:
+            fs.delete_file(hidden)
+        raise

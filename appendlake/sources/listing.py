@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import re
+from collections.abc import Iterator, Sequence
 
+import pandas as pd
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.errors import AnalysisException
 
 from appendlake.functions import paths
-from appendlake.sources.files import literal
+from appendlake.session import task_count
+from appendlake.sources.files import open_file_system
 
 LISTING_SCHEMA = T.StructType(
     [
@@ -24,27 +27,31 @@ LISTING_SCHEMA = T.StructType(
 
 
 def list_files(spark: SparkSession, root: str, entities: Sequence[str]) -> DataFrame:
-    """CSV files directly below ``<root>/<entity>/``, one row per file.
+    """Files directly below ``<root>/<entity>/``, whatever their names, one row per file.
 
-    The glob keeps nested folders out, whatever their names, and skips entities
-    without a file. File contents are never read: the column is pruned from the scan.
+    Each entity's folder is listed by a task. Names with a leading dot are left out:
+    they are files that a writer has not finished. A missing folder has no files.
     """
-    nothing = spark.createDataFrame([], LISTING_SCHEMA)
     if not entities:
-        return nothing
-    names = [literal(e) for e in entities]
-    any_entity = "{" + ",".join(names) + "}" if len(names) > 1 else names[0]
-    path = F.col("path")
-    try:
-        files = spark.read.format("binaryFile").load(f"{literal(root)}/{any_entity}/*.csv")
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return nothing
-    return files.select(
-        F.element_at(F.split(path, "/"), -2).alias("entity"),
-        paths.stem(path).alias("source_stem"),
-        path.alias("source_path"),
-        F.col("length").alias("source_bytes"),
-        F.col("modificationTime").alias("modified_at"),
-    )
+        return spark.createDataFrame([], LISTING_SCHEMA)
+    base = root if re.match("[A-Za-z][A-Za-z0-9+.-]*:", root) else f"file:{root}"
+    found = T.StructType([f for f in LISTING_SCHEMA.fields if f.name != "source_stem"])
+
+    def list_folder(entity: str) -> list[tuple]:
+        fs, inner = open_file_system(f"{base}/{entity}")
+        infos = fs.get_file_info(pafs.FileSelector(inner, allow_not_found=True))
+        return [
+            (entity, f"{base}/{entity}/{i.base_name}", i.size, i.mtime)
+            for i in infos
+            if i.type == pafs.FileType.File and not i.base_name.startswith(".")
+        ]
+
+    def list_folders(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            rows = [row for entity in batch["entity"] for row in list_folder(entity)]
+            yield pd.DataFrame(rows, columns=found.names, dtype=object)
+
+    names = spark.createDataFrame([(e,) for e in dict.fromkeys(entities)], "entity string")
+    listed = names.repartition(task_count(len(entities))).mapInPandas(list_folders, found)
+    stem = paths.stem(F.col("source_path")).alias("source_stem")
+    return listed.select("entity", stem, "source_path", "source_bytes", "modified_at")

@@ -1,6 +1,8 @@
+import dataclasses
 import datetime as dt
 import os
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -9,7 +11,7 @@ from pyspark.sql import types as T
 from appendlake.config import LakeConfig
 from appendlake.operators import growth, ledger, ranges
 from appendlake.plans.copying import copy_growth, growth_report
-from appendlake.sources import records
+from appendlake.sources import files, records
 from appendlake.sources.listing import list_files
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
@@ -46,7 +48,7 @@ def test_growth_in_steps(spark, lake, put):
     assert sorted(r.source_stem for r in second.collect()) == ["p1", "p2"]
     assert copied_ids(spark, lake, "acc") == [*range(22), 100]
     names = [os.path.basename(r.target_path) for r in second.collect()]
-    assert all(len(n) == len("p1_20240101000000.csv") for n in names)
+    assert all(re.fullmatch(r"p[12]_[0-9a-f]{1,16}_[0-9]{14}_[0-9]{15}\.csv", n) for n in names)
 
     third = copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=9))
     assert third.count() == 0
@@ -116,8 +118,10 @@ def test_parts_after_a_failed_part_do_not_count(spark, lake, put, tmp_path):
     put("acc", "p.csv", rows_text(0, 20))
     size = len(rows_text(0, 20))
     run_ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
-    os.makedirs(f"{lake.range_root}/acc/p_20240101000000_00002.csv/in_the_way")
     plan = spark.createDataFrame([("acc", "p", f"file:{lake.source_root}/acc/p.csv", 0, size)], PLAN)
+    elsewhere = dataclasses.replace(lake, range_root=f"{tmp_path}/elsewhere")
+    names = [r.target_path for r in ranges.copy(plan, elsewhere, run_ts).orderBy("offset_start").collect()]
+    os.makedirs(names[1].replace(elsewhere.range_root, lake.range_root) + "/in_the_way")
     ledger.append(ranges.copy(plan, lake, run_ts), lake.range_log)
     log = spark.table(lake.range_log).orderBy("offset_start").collect()
     assert log[0].error is None and log[1].error is not None
@@ -125,6 +129,51 @@ def test_parts_after_a_failed_part_do_not_count(spark, lake, put, tmp_path):
     assert state(spark, lake) == {"p.csv": log[0].offset_end}
 
 
+def test_two_copies_in_one_second_keep_both_ranges(spark, lake, put):
+    run_ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    put("acc", "p.csv", rows_text(0, 3))
+    put("acc", "p.CSV", rows_text(50, 52))
+    copy_growth(spark, lake, ["acc"], run_ts=run_ts)
+    put("acc", "p.csv", rows_text(3, 7))
+    copy_growth(spark, lake, ["acc"], run_ts=run_ts)
+    assert copied_ids(spark, lake, "acc") == [*range(7), 50, 51]
+    assert spark.table(lake.range_log).select("target_path").distinct().count() == 3
+
+
+def test_names_do_not_follow_the_session_zone(spark, lake, put):
+    put("acc", "p.csv", rows_text(0, 3))
+    before = spark.conf.get("spark.sql.session.timeZone")
+    names = []
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Europe/Berlin")
+        for hour in (0, 1):  # the hour that is repeated when summer time ends
+            copy_growth(spark, lake, ["acc"], run_ts=dt.datetime(2024, 10, 27, hour, 30, tzinfo=dt.timezone.utc))
+            put("acc", "p.csv", rows_text(3 + hour, 4 + hour))
+            names = [r.target_path for r in spark.table(lake.range_log).collect()]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", before)
+    assert ["_20241027003000_" in names[0] or "_20241027003000_" in names[1]] == [True]
+    assert any("_20241027013000_" in n for n in names)
+
+
+def test_another_range_is_never_replaced(tmp_path):
+    source, target = tmp_path / "s", tmp_path / "t"
+    source.write_bytes(b"0123456789")
+    files.copy_bytes(str(source), str(target), 0, 4, 3)
+    files.copy_bytes(str(source), str(target), 0, 4, 3)
+    with pytest.raises(FileExistsError):
+        files.copy_bytes(str(source), str(target), 4, 10, 3)
+    assert target.read_bytes() == b"0123" and sorted(p.name for p in tmp_path.iterdir()) == ["s", "t"]
+
+
+def test_forms_of_paths():
+    for path, inner in [("/a b/c", "/a b/c"), ("file:/a", "/a"), ("file:///a", "/a"), ("dbfs:/mnt/x.csv", "/dbfs/mnt/x.csv"), ("dbfs:///mnt/x", "/dbfs/mnt/x")]:
+        assert files.open_file_system(path)[1] == inner
+    for path in ("ftp://host/x", "wasb:/x"):
+        with pytest.raises(ValueError, match="scheme"):
+            files.open_file_system(path)
+
+
 def test_same_stem_in_two_entities(spark, lake, put):
     put("a", "p.csv", rows_text(0, 2))
     put("b", "p.csv", rows_text(5, 9))

@@ -1,6 +1,7 @@
 import datetime as dt
 import random
 from collections import Counter
+from decimal import Decimal
 from types import SimpleNamespace
 
 import pytest
@@ -36,11 +37,10 @@ def test_latest_sends_one_row_per_key_and_task(spark):
     assert "WindowGroupLimit" in plan and "Partial" in plan
 
 
-def test_multiset_difference_counts_copies(spark, monkeypatch):
+def test_multiset_difference_counts_copies(spark):
     rng = random.Random(5)
     left = [rng.choice(["a", "b", "c", None]) for _ in range(300)] + ["hot"] * 900
     right = [rng.choice(["a", "b", "d", None]) for _ in range(100)] + ["hot"] * 100
-    monkeypatch.setattr(sets, "COPIES_PER_ROW", 60)
     got = sets.multiset_difference(
         spark.createDataFrame([(x,) for x in left], "u string"),
         spark.createDataFrame([(x,) for x in right], "v string"),
@@ -73,18 +73,6 @@ def test_timestamps(spark, text, expected):
     assert value(spark, casts.parse_timestamp(F.lit(text).cast("string"))) == expected
 
 
-@pytest.mark.parametrize(
-    ("text", "kind", "expected"),
-    [
-        ("12", T.LongType(), 12), ("1x", T.LongType(), None), ("99999999999999999999", T.LongType(), None),
-        ("True", T.BooleanType(), True), ("yes", T.BooleanType(), None), ("1.5", T.DoubleType(), 1.5),
-        ("99999999999", T.DecimalType(10, 0), None), ("x", T.StringType(), "x"),
-    ],
-)
-def test_typed(spark, text, kind, expected):
-    assert value(spark, casts.typed(F.lit(text), kind)) == expected
-
-
 def test_names_from_paths(spark):
     for path, stem in [("/a/b/p1.csv", "p1"), ("p.tar.gz", "p.tar"), ("/x/.hidden", ".hidden"), ("/x/none", "none")]:
         assert value(spark, paths.stem(F.lit(path))) == stem
@@ -159,6 +147,19 @@ def test_merge_against_a_row_loop(spark):
     )
 
 
+def test_merge_has_two_scans_and_two_shuffles(spark, tmp_path):
+    for name in ("t", "s"):
+        spark.range(100).selectExpr("id as Id", "id as versionnumber", "'x' as v").write.parquet(f"{tmp_path}/{name}")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", -1)
+    try:
+        t, s = (spark.read.parquet(f"{tmp_path}/{n}") for n in ("t", "s"))
+        plan = merge.merge(t, s, ["Id", "versionnumber"])._jdf.queryExecution().sparkPlan().toString()
+        full = merge.merge(t, s, ["Id", "versionnumber"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert plan.count("FileScan") == 2 and full.count("Exchange hashpartitioning") == 2
+
+
 def test_merge_refuses_two_source_rows_for_one_target_row(spark):
     t = spark.createDataFrame([("a", 1, 0)], "Id string, versionnumber bigint, x int")
     twice = spark.createDataFrame([("a", 1, 1), ("a", 1, 2)], t.schema)
@@ -178,33 +179,40 @@ LABELS = [
 ]
 
 
-@pytest.mark.parametrize("as_maps", [True, False])
-@pytest.mark.parametrize("limit", [labels.BROADCAST_BYTES, 0])
-def test_enrich(spark, monkeypatch, as_maps, limit):
+@pytest.mark.parametrize(("limit", "broadcasts"), [(labels.BROADCAST_BYTES, 2), (170, 1), (0, 0)])
+def test_enrich(spark, monkeypatch, limit, broadcasts):
+    """One budget for all sets: what does not fit is shuffled, with the same result."""
     monkeypatch.setattr(labels, "BROADCAST_BYTES", limit)
     df = spark.createDataFrame(
         [(1, 0, 1), (2, 1, None), (3, 7, 2), (4, None, 1)], "id int, statecode bigint, industrycode bigint"
     )
     found = spark.createDataFrame(LABELS, options.LABEL_SCHEMA)
     with pytest.warns(UserWarning, match="no_column"):
-        got = labels.enrich(df, found, as_maps)
+        got = labels.enrich(df, found)
     assert got.columns == ["id", "statecode", "industrycode", "statecode_descr", "industrycode_descr"]
     assert sorted(tuple(r)[::1] for r in got.select("id", "statecode_descr", "industrycode_descr").collect()) == [
         (1, "Open", "Eta"), (2, "Closed", None), (3, None, None), (4, None, "Eta"),
     ]
     plan = got._jdf.queryExecution().executedPlan().toString()
-    assert ("Join" in plan) != as_maps
-    assert ("BroadcastHashJoin" in plan) == (not as_maps and limit > 0)
+    assert plan.count("BroadcastHashJoin") == broadcasts and plan.count("SortMergeJoin") == 2 - broadcasts
 
 
-@pytest.mark.parametrize("as_maps", [True, False])
-def test_codes_of_another_type(spark, as_maps):
-    df = spark.createDataFrame([(1, "1", True), (2, "x", False), (3, None, None)], "id int, Kind string, flag boolean")
-    rows = [("e", True, f"{s}{c}", 1040, c, s, False) for s in ("kind", "flag") for c in (0, 1)]
-    got = labels.enrich(df, spark.createDataFrame(rows, options.LABEL_SCHEMA), as_maps)
-    assert sorted(tuple(r) for r in got.select("id", "kind_descr", "flag_descr").collect()) == [
-        (1, "kind1", "flag1"), (2, None, "flag0"), (3, None, None),
-    ]
+@pytest.mark.parametrize("may_broadcast", [True, False, None])
+@pytest.mark.parametrize(
+    ("kind", "codes", "expected"),
+    [
+        ("string", ["1", "01", "x", None], ["one", None, None, None]),
+        ("double", [1.0, 1.5, 2.0, None], ["one", None, "two", None]),
+        ("boolean", [True, False, None], ["one", "zero", None]),
+        ("decimal(5,1)", [Decimal("1.0"), Decimal("1.5"), None], ["one", None, None]),
+    ],
+)
+def test_codes_of_another_type(spark, kind, codes, expected, may_broadcast):
+    """Codes that become equal repeat no row; names with a dot and map columns are fine."""
+    df = spark.createDataFrame([(i, c, {"m": 1}) for i, c in enumerate(codes)], f"id int, `a.b` {kind}, m map<string,int>")
+    side = spark.createDataFrame([(0, "zero"), (1, "one"), (2, "two"), (None, "none")], "`c.d` bigint, `l.m` string")
+    got = labels.lookup(df, side, "a.b", "c.d", "l.m", "x.y", may_broadcast)
+    assert [r["x.y"] for r in got.orderBy("id").collect()] == expected
 
 
 def test_labels_of_an_entity(spark, tmp_path):
