@@ -50,12 +50,16 @@ class LakeConfig:
                 object.__setattr__(self, name, value.rstrip("/"))
 
     @property
-    def range_log(self) -> str:
-        return f"{self.log_schema}.range_log"
+    def copies(self) -> str:
+        return f"{self.log_schema}.copies"
 
     @property
-    def load_log(self) -> str:
-        return f"{self.log_schema}.load_log"
+    def loads(self) -> str:
+        return f"{self.log_schema}.loads"
+
+    @property
+    def load_files(self) -> str:
+        return f"{self.log_schema}.load_files"
 
     @property
     def manifest_path(self) -> str:

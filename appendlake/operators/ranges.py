@@ -11,13 +11,23 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from appendlake.config import MIB, LakeConfig
-from appendlake.operators.ledger import RANGE_LOG_SCHEMA
+from appendlake.functions import paths
+from appendlake.operators.ledger import COPIES, DONE
 from appendlake.session import MAX_TASKS, persist_counted, task_count
 from appendlake.sources import pieces
 from appendlake.sources.files import copy_bytes
 
 SCAN_BYTES = 16 * MIB
-COPIED = T.StructType([f for f in RANGE_LOG_SCHEMA.fields if f.name != "run_ts"])
+COPIED = T.StructType(
+    [
+        T.StructField("entity", T.StringType()),
+        T.StructField("source_path", T.StringType()),
+        T.StructField("target_path", T.StringType()),
+        T.StructField("offset_start", T.LongType()),
+        T.StructField("offset_end", T.LongType()),
+        T.StructField("error", T.StringType()),
+    ]
+)
 
 # How a range that was not copied is described.
 NEGATIVE_OFFSET = "the range begins before the file"
@@ -28,7 +38,7 @@ AFTER_ERROR = "an earlier part of this file failed"
 def copy(
     plan: DataFrame, config: LakeConfig, run_ts: dt.datetime, max_tasks: int | None = None
 ) -> DataFrame:
-    """Planned ranges → one log row per copied file, with ``error`` set where it failed.
+    """Planned ranges → one row of ``copies`` per copied file, with the ``outcome`` of each.
 
     A range ends at its last complete record; what follows is left for the next
     run. A range longer than ``chunk_bytes`` becomes several files, each ending
@@ -38,7 +48,7 @@ def copy(
 
     Copying happens when the result is evaluated; write it to the log once.
     """
-    names = ["entity", "source_stem", "source_path"]
+    names = ["entity", "source_path"]
     length = F.col("offset_end") - F.col("offset_start")
     checked = plan.select(
         *names,
@@ -70,11 +80,11 @@ def copy(
         F.lit(True).alias("trim"),
         "error",
     )
-    copied = _copy_files(short.repartition(task_limit(seen["short"])), config, run_ts)
+    copied = _copy_files(short.repartition(task_limit(seen["short"])), config)
     if seen["chunks"]:
         parts, counts = _parts(checked.where(valid & F.col("is_long")), config, run_ts, seen["chunks"])
         copied = copied.unionByName(
-            _copy_files(parts.repartition(task_limit(counts["parts"])), config, run_ts)
+            _copy_files(parts.repartition(task_limit(counts["parts"])), config)
         )
     earlier = (
         Window.partitionBy("source_path")
@@ -88,11 +98,18 @@ def copy(
         F.lit(None).cast("string").alias("target_path"),
         F.col("range_start").alias("offset_start"),
         F.col("range_end").alias("offset_end"),
-        (F.col("range_end") - F.col("range_start")).alias("range_bytes"),
-        F.lit(run_ts).cast("timestamp").alias("run_ts"),
         "error",
     )
-    return in_order.unionByName(rejected)
+    tried = in_order.unionByName(rejected).select(
+        F.col("source_path").alias("path"),
+        F.col("offset_start").alias("start"),
+        F.col("offset_end").alias("stop"),
+        F.col("target_path").alias("target"),
+        "entity",
+        F.lit(run_ts).cast("timestamp").alias("run"),
+        F.coalesce("error", F.lit(DONE)).alias("outcome"),
+    )
+    return tried.select(*COPIES.names)
 
 
 def _target(config: LakeConfig, run_ts: dt.datetime, offset: Column) -> Column:
@@ -104,7 +121,7 @@ def _target(config: LakeConfig, run_ts: dt.datetime, offset: Column) -> Column:
     number = F.lpad(offset.cast("string"), 15, "0")
     # The path's hash keeps apart two files that differ in their extension only.
     same_stem = F.lower(F.hex(F.xxhash64("source_path")))
-    name = F.concat_ws("_", "source_stem", same_stem, F.lit(stamp), number)
+    name = F.concat_ws("_", paths.stem(F.col("source_path")), same_stem, F.lit(stamp), number)
     return F.concat(folder, name, F.lit(".csv")).alias("target_path")
 
 
@@ -118,12 +135,11 @@ def _parts(
         min(config.block_bytes, SCAN_BYTES),
         keep_tail=False,
         keep_errors=True,
-        carry=["entity", "source_stem"],
+        carry=["entity"],
         chunks_known=chunks,
     )
     numbered = found.select(
         "entity",
-        "source_stem",
         "source_path",
         _target(config, run_ts, F.col("piece_start")),
         F.col("piece_start").alias("offset_start"),
@@ -134,7 +150,7 @@ def _parts(
     return persist_counted(numbered, "copy-plan", parts=F.count(F.lit(1)))
 
 
-def _copy_files(files: DataFrame, config: LakeConfig, run_ts: dt.datetime) -> DataFrame:
+def _copy_files(files: DataFrame, config: LakeConfig) -> DataFrame:
     """Copy each row's bytes. A row to trim that holds no complete record yields no row."""
     block_bytes = config.block_bytes
     scan_bytes = min(block_bytes, SCAN_BYTES)
@@ -151,7 +167,6 @@ def _copy_files(files: DataFrame, config: LakeConfig, run_ts: dt.datetime) -> Da
                 row["offset_end"] = end
             except Exception as problem:
                 row["error"] = repr(problem)
-        row["range_bytes"] = row["offset_end"] - row["offset_start"]
         return row
 
     def copy_rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -159,4 +174,4 @@ def _copy_files(files: DataFrame, config: LakeConfig, run_ts: dt.datetime) -> Da
             done = [r for r in map(copy_one, batch.to_dict("records")) if r is not None]
             yield pd.DataFrame(done, columns=COPIED.names, dtype=object)
 
-    return files.mapInPandas(copy_rows, COPIED).withColumn("run_ts", F.lit(run_ts).cast("timestamp"))
+    return files.mapInPandas(copy_rows, COPIED)

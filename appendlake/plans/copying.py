@@ -27,8 +27,8 @@ def copy_growth(
         list_files(spark, config.source_root, entities).drop("modified_at"),
         ledger.file_state(spark, config, entities),
     )
-    ledger.append(ranges.copy(plan, config, run_ts, max_tasks), config.range_log)
-    return spark.table(config.range_log).where(F.col("run_ts") == F.lit(run_ts))
+    ledger.append(ranges.copy(plan, config, run_ts, max_tasks), config.copies)
+    return spark.table(config.copies).where(F.col("run") == F.lit(run_ts))
 
 
 def growth_report(spark: SparkSession, config: LakeConfig, entities: Sequence[str]) -> DataFrame:

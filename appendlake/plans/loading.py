@@ -14,7 +14,6 @@ from pyspark.sql import types as T
 
 from appendlake.config import DEFAULT_LANGUAGE, GUARD_COLUMNS, LakeConfig
 from appendlake.functions.guards import date_condition, date_guard
-from appendlake.functions.paths import seconds_between
 from appendlake.operators import ledger
 from appendlake.operators.labels import enrich
 from appendlake.session import metrics_of, persist_table
@@ -23,8 +22,6 @@ from appendlake.sources import records
 from appendlake.sources.files import literal
 from appendlake.sources.options import Patch, read_labels
 
-FILES_PER_LOG_ROW = 10_000
-
 
 def read_entity(
     spark: SparkSession,
@@ -71,18 +68,17 @@ def load_files(
 ) -> DataFrame:
     """Read range files, write their rows to the sink, log the load.
 
-    Rows are counted by the write itself. The log row is what makes the load
-    count: if the run dies before it, the next run reads the same files again and
+    Rows are counted by the write itself. The one row of ``loads``, written last by one
+    task as one file, is what makes the load count: if the run dies before it, the next run reads the same files again and
     the folder written so far is never looked at. A load whose rows were all
     filtered away is logged too, so that its files are not read again.
     """
     run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
-    files = persist_table(files.select("target_path"), f"{entity}-files")
+    files = persist_table(files.select("target"), f"{entity}-files")
     # A scan takes its paths as a list; this is the one thing the driver gets.
     paths = [literal(r[0]) for r in files.collect()]
     if not paths:
-        return spark.createDataFrame([], ledger.LOAD_LOG_SCHEMA)
-    started = dt.datetime.now(dt.timezone.utc)
+        return spark.createDataFrame([], ledger.LOADS)
     seen = Observation(f"load-{uuid.uuid4().hex}")
     every = records.read(spark, paths, schema, keep_corrupt=True)
     keep = date_condition(every, guard_columns)
@@ -101,32 +97,17 @@ def load_files(
         rows = enrich(rows, read_labels(spark, config.option_path(entity), entity, language, patch))
     written = sink.write(rows, entity, mode, run_ts)
     counts = metrics_of(seen)
-    finished = dt.datetime.now(dt.timezone.utc)
-    # The file names go from table to table; one log row holds a bounded number of them.
-    portion = F.pmod(F.xxhash64("target_path"), F.lit(len(paths) // FILES_PER_LOG_ROW + 1))
-    log = (
-        files.groupBy(portion)
-        .agg(F.collect_list("target_path").alias("source_files"))
-        .select(
-            F.lit(entity).alias("entity"),
-            F.lit(written.destination).alias("destination"),
-            F.lit(sink.destination_type).alias("destination_type"),
-            F.lit(mode).alias("mode"),
-            F.lit(run_ts).alias("run_ts"),
-            F.lit(started).alias("started_at"),
-            F.lit(finished).alias("finished_at"),
-            seconds_between(F.lit(started), F.lit(finished)).alias("seconds"),
-            "source_files",
-            F.lit(written.run_id).alias("run_id"),
-            F.lit(counts.get("row_count", 0)).cast("bigint").alias("row_count"),
-            F.lit(counts.get("corrupt_count", 0)).cast("bigint").alias("corrupt_count"),
-            F.lit(written.schema.json()).alias("schema_json"),
-            F.lit(written.buckets).cast("array<int>").alias("buckets"),
-        )
+    kept = counts.get("row_count", 0)
+    load_id = uuid.uuid4().hex
+    row = (
+        load_id, run_ts, entity, mode, sink.destination_type, written.destination,
+        kept > 0, kept, counts.get("corrupt_count", 0), written.layout(), written.buckets,
     )
+    load = spark.createDataFrame([row], ledger.LOADS).coalesce(1)
     if update_log:
-        ledger.append(log, config.load_log)
-    return log
+        ledger.append(files.select(F.lit(load_id).alias("load_id"), "target"), config.load_files)
+        ledger.append(load, config.loads)
+    return load
 
 
 def load_entities(
@@ -163,7 +144,7 @@ def load_entities(
                 errors.append(problem)
     if errors:
         raise ExceptionGroup("some entities were not loaded", errors)
-    result = spark.createDataFrame([], ledger.LOAD_LOG_SCHEMA)
+    result = spark.createDataFrame([], ledger.LOADS)
     for log in logs:
         result = result.unionByName(log)
     return result

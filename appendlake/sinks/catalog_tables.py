@@ -10,7 +10,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from appendlake.config import KEY_COLUMNS
+from appendlake.operators.labels import quoted
 from appendlake.operators.ledger import FULL, UPSERT
+from appendlake.session import persist_table
 from appendlake.sinks.run_folders import Written
 
 
@@ -29,13 +31,18 @@ class CatalogTableSink:
         self.keys = list(keys)
 
     def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
-        spark, name = df.sparkSession, f"{self.schema}.{entity}"
+        spark, name = df.sparkSession, f"{self.schema}.{quoted(entity)}"
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema}")
-        writer = df.write.format(self.provider)
         if mode == FULL:
+            # Staged, so that a load whose rows were all filtered away leaves the table as it is.
+            df = persist_table(df, f"{entity}-full")
+        writer = df.write.format(self.provider)
+        if mode == FULL and df.isEmpty():
+            pass
+        elif mode == FULL:
             writer.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
         elif mode == UPSERT and spark.catalog.tableExists(name):
-            same = [F.col(f"{name}.{k}") == F.col(f"source.{k}") for k in self.keys]
+            same = [F.col(f"{name}.{quoted(k)}") == F.col(f"source.{quoted(k)}") for k in self.keys]
             merge = df.alias("source").mergeInto(name, reduce(lambda a, b: a & b, same))
             merge.withSchemaEvolution().whenMatched().updateAll().whenNotMatched().insertAll().merge()
         else:

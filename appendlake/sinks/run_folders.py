@@ -3,23 +3,34 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
 from appendlake.config import LakeConfig
-from appendlake.operators.ledger import UPSERT
+from appendlake.operators.ledger import FULL, UPSERT
+from appendlake.sinks import history
 
 
 @dataclass(frozen=True)
 class Written:
-    """Where a load went, with which columns, and which buckets of a table it replaced."""
+    """Where a load went, with which columns, and which buckets of a table it replaced.
+
+    ``bucket_count`` and ``keys`` say how the rows were dealt, if they were.
+    """
 
     destination: str
     run_id: str
     schema: T.StructType
     buckets: list[int] = field(default_factory=list)
+    bucket_count: int = 0
+    keys: list[str] = field(default_factory=list)
+
+    def layout(self) -> str:
+        parts = {"run_id": self.run_id, "bucket_count": self.bucket_count, "keys": self.keys}
+        return json.dumps(parts | {"schema": self.schema.jsonValue()})
 
 
 class RunFolderSink:
@@ -37,5 +48,7 @@ class RunFolderSink:
             raise ValueError("run folders do not support upsert")
         run_id = f"{entity}_{run_ts:%Y%m%d_%H%M%S}.parquet"
         destination = f"{self.config.table_root}/{entity}/{run_id}"
+        if mode != FULL:
+            history.refuse_type_change(history.runs(df.sparkSession, self.config, entity, self.destination_type), df.schema)
         df.write.parquet(destination)
         return Written(destination, run_id, df.schema)

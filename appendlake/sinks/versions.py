@@ -8,7 +8,6 @@ row, left by a run that died, is never read.
 from __future__ import annotations
 
 import datetime as dt
-import json
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -19,6 +18,7 @@ from appendlake.config import KEY_COLUMNS, LakeConfig
 from appendlake.operators.ledger import FULL, UPSERT
 from appendlake.operators.merge import bucket_of, merge
 from appendlake.session import persist_table
+from appendlake.sinks import history
 from appendlake.sinks.run_folders import Written
 from appendlake.sources.files import literal
 
@@ -34,13 +34,19 @@ class VersionedSink:
         self.keys = list(keys)
 
     def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
-        spark, count = df.sparkSession, self.config.bucket_count
+        spark = df.sparkSession
         known = [k for k in self.keys if k in df.columns]
-        if mode == UPSERT and len(known) < len(self.keys):
+        keys = known if len(known) == len(self.keys) else []
+        if mode == UPSERT and not keys:
             raise ValueError(f"upsert needs the key columns {', '.join(self.keys)}")
-        rows, touched = df.withColumn(BUCKET, bucket_of(known or df.columns, count)), []
-        live = live_runs(spark, self.config, entity) if mode == UPSERT else []
-        if live:
+        live = live_runs(spark, self.config, entity) if mode != FULL else []
+        # A table keeps the bucket count and the keys of its first run, whatever the config says now.
+        count = live[0]["bucket_count"] if live else self.config.bucket_count
+        if live and live[0]["keys"] != keys:
+            raise ValueError(f"{entity} is bucketed by {live[0]['keys'] or 'all columns'}, not by {keys or 'all columns'}")
+        history.refuse_type_change(live, df.schema)
+        rows, touched = df.withColumn(BUCKET, bucket_of(keys or df.columns, count)), []
+        if live and mode == UPSERT:
             # The source is used several times, so it is parsed once and staged.
             rows = persist_table(rows, f"{entity}-source")
             touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
@@ -51,42 +57,23 @@ class VersionedSink:
         destination = f"{self.config.table_root}/{entity}/{RUN}={run_id}"
         # Rebalancing makes files of even size per bucket and splits a large bucket.
         rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(destination)
-        return Written(destination, run_id, rows.drop(BUCKET).schema, touched)
+        return Written(destination, run_id, rows.drop(BUCKET).schema, touched, count, keys)
 
 
 def live_runs(spark: SparkSession, config: LakeConfig, entity: str) -> list[dict]:
-    """Runs that still hold rows of the table, oldest first, with the buckets each still owns.
-
-    One entry per load since the last full one is held by the driver. ``buckets``
-    is None for every bucket.
-    """
-    log = (
-        spark.table(config.load_log)
-        .where((F.col("entity") == entity) & (F.col("destination_type") == VersionedSink.destination_type))
-        .where("row_count > 0")
-        .select("run_id", "mode", "schema_json", "buckets")
-        .distinct()
-    )
-    # Only runs from the last full load on matter.
-    last_full = log.where(F.col("mode") == FULL).agg(F.max("run_id")).first()[0]
-    if last_full:
-        log = log.where(F.col("run_id") >= last_full)
+    """Runs that still hold rows of the table, oldest first, with the buckets each has lost (``gone``)."""
     replaced: set[int] = set()
     kept = []
-    for r in sorted(log.collect(), key=lambda r: r["run_id"], reverse=True):
-        kept.append({"run_id": r["run_id"], "schema": r["schema_json"], "gone": sorted(replaced)})
-        if r["mode"] == UPSERT:
-            replaced |= set(r["buckets"] or [])
-    return [k for k in reversed(kept) if len(k["gone"]) < config.bucket_count]
+    for run in reversed(history.runs(spark, config, entity, VersionedSink.destination_type)):
+        kept.append(run | {"gone": sorted(replaced)})
+        if run["mode"] == UPSERT:
+            replaced |= set(run["replaced"])
+    return [k for k in reversed(kept) if len(k["gone"]) < k["bucket_count"]]
 
 
 def _scan(spark: SparkSession, config: LakeConfig, entity: str, live: list[dict]) -> DataFrame:
     """The live part of the runs; both conditions are on folder names and prune the listing."""
     base = f"{config.table_root}/{entity}"
-    fields: dict[str, T.StructField] = {}
-    for run in live:
-        for f in T.StructType.fromJson(json.loads(run["schema"])).fields:
-            fields.setdefault(f.name, T.StructField(f.name, f.dataType))
     # Runs that lost the same buckets share one condition, so there are at most
     # as many conditions as buckets.
     by_gone: dict[tuple, list[str]] = {}
@@ -97,7 +84,7 @@ def _scan(spark: SparkSession, config: LakeConfig, entity: str, live: list[dict]
         own = F.col(RUN).isin(runs)
         condition = condition | (own & ~F.col(BUCKET).isin(list(gone)) if gone else own)
     schema = T.StructType(
-        [*fields.values(), T.StructField(RUN, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
+        [*history.columns(live).fields, T.StructField(RUN, T.StringType()), T.StructField(BUCKET, T.IntegerType())]
     )
     return (
         spark.read.schema(schema)
@@ -117,23 +104,7 @@ def current(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:
 
 def current_run_folders(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:
     """Rows of the run folder sink: the last full run and the appends after it."""
-    log = (
-        spark.table(config.load_log)
-        .where((F.col("entity") == entity) & (F.col("destination_type") == "PATH"))
-        .where("row_count > 0")
-        .select("destination", "mode", "run_ts", "schema_json")
-        .distinct()
-    )
-    last_full = log.where(F.col("mode") == FULL).agg(F.max("run_ts")).first()[0]
-    if last_full is not None:
-        log = log.where(F.col("run_ts") >= last_full)
-    runs = sorted(log.collect(), key=lambda r: r["run_ts"])
-    if not runs:
+    live = history.runs(spark, config, entity, "PATH")
+    if not live:
         raise LookupError(f"no load of {entity!r} is logged")
-    fields: dict[str, T.StructField] = {}
-    for r in runs:
-        for f in T.StructType.fromJson(json.loads(r["schema_json"])).fields:
-            fields.setdefault(f.name, T.StructField(f.name, f.dataType))
-    return spark.read.schema(T.StructType(list(fields.values()))).parquet(
-        *[literal(r["destination"]) for r in runs]
-    )
+    return spark.read.schema(history.columns(live)).parquet(*[literal(r["place"]) for r in live])

@@ -1,4 +1,4 @@
-"""Load range files as a stream over the range log.
+"""Load range files as a stream over the log of copies.
 
 Every copy run appends its ranges to the log, so the log is a source of new files
 with offsets that end at record ends. The stream's checkpoint remembers which log
@@ -23,9 +23,9 @@ def range_stream(spark: SparkSession, config: LakeConfig, entity: str) -> DataFr
     """Streaming relation of the entity's copied range files, each once."""
     ledger.ensure_logs(spark, config)
     return (
-        spark.readStream.table(config.range_log)
-        .where((F.col("entity") == entity) & F.col("error").isNull())
-        .select("target_path", "range_bytes")
+        spark.readStream.table(config.copies)
+        .where((F.col("entity") == entity) & (F.col("outcome") == ledger.DONE))
+        .select("target")
     )
 
 
@@ -51,8 +51,8 @@ def stream_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        new = batch.select("target_path").distinct()
-        files = absent_from(new, ledger.loaded(session, config, entity), ["target_path"])
+        new = batch.select("target").distinct()
+        files = absent_from(new, ledger.loaded(session, config, entity), ["target"])
         load_files(session, config, files, entity, schema, sink, mode, **options)
 
     writer = (

@@ -80,7 +80,7 @@ def main() -> None:
         load_entity(spark, lake, "documents", DOCUMENTS, RunFolderSink(lake), run_ts=at)
 
     print("b first copy and load", best(lambda: copy_and_load(0), 1))
-    paths = [r[0] for r in ledger.available(spark, lake, "documents").select("target_path").collect()]
+    paths = [r[0] for r in ledger.available(spark, lake, "documents").select("target").collect()]
     print("b scan of range files", best(lambda: run(records.read(spark, paths, DOCUMENTS, False))))
     with open(path, "rb") as source:
         more = source.read(os.path.getsize(path) // 100)

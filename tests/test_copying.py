@@ -23,7 +23,7 @@ def rows_text(first, last, rng=None):
 
 
 def copied_ids(spark, lake, entity):
-    paths = [r[0] for r in ledger.available(spark, lake, entity).select("target_path").collect()]
+    paths = [r[0] for r in ledger.available(spark, lake, entity).select("target").collect()]
     return sorted(r.id for r in records.read(spark, paths, SCHEMA, False).collect())
 
 
@@ -37,17 +37,17 @@ def test_growth_in_steps(spark, lake, put):
     os.makedirs(f"{lake.source_root}/acc/x=1")
     put("acc/x=1", "hidden.csv", rows_text(900, 903))
     first = copy_growth(spark, lake, ["acc", "nothing_here"])
-    assert first.where("error is not null").count() == 0
+    assert first.where(F.col("outcome") != ledger.DONE).count() == 0
     # A range longer than a chunk becomes several files.
-    assert first.count() > 1 and first.agg(F.max("range_bytes")).first()[0] < 400
+    assert first.count() > 1 and first.agg(F.max(F.col("stop") - F.col("start"))).first()[0] < 400
     assert copied_ids(spark, lake, "acc") == list(range(20))
 
     put("acc", "p1.csv", rows_text(20, 22))
     put("acc", "p2.csv", rows_text(100, 101))
     second = copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
-    assert sorted(r.source_stem for r in second.collect()) == ["p1", "p2"]
+    assert sorted(os.path.basename(r.path) for r in second.collect()) == ["p1.csv", "p2.csv"]
     assert copied_ids(spark, lake, "acc") == [*range(22), 100]
-    names = [os.path.basename(r.target_path) for r in second.collect()]
+    names = [os.path.basename(r.target) for r in second.collect()]
     assert all(re.fullmatch(r"p[12]_[0-9a-f]{1,16}_[0-9]{14}_[0-9]{15}\.csv", n) for n in names)
 
     third = copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=9))
@@ -100,13 +100,13 @@ def test_failed_ranges_are_logged_and_tried_again(spark, lake, put):
         PLAN,
     )
     run_ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
-    ledger.append(ranges.copy(plan, lake, run_ts), lake.range_log)
+    ledger.append(ranges.copy(plan, lake, run_ts), lake.copies)
     errors = {}
-    for r in spark.table(lake.range_log).collect():
-        errors.setdefault(r.source_stem, r.error)
-    assert errors["good"] is None
+    for r in spark.table(lake.copies).collect():
+        errors.setdefault(os.path.basename(r.path).split(".")[0], r.outcome)
+    assert errors["good"] == ledger.DONE
     assert "gone.csv" in errors["gone"]
-    assert errors["neg"] == ranges.NEGATIVE_OFFSET and errors["none"] == ranges.EMPTY_RANGE
+    assert errors["x"] == ranges.NEGATIVE_OFFSET and errors["y"] == ranges.EMPTY_RANGE
     assert state(spark, lake) == {"good.csv": size}
     put("acc", "gone.csv", rows_text(7, 9))
     copy_growth(spark, lake, ["acc"])
@@ -120,13 +120,13 @@ def test_parts_after_a_failed_part_do_not_count(spark, lake, put, tmp_path):
     run_ts = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     plan = spark.createDataFrame([("acc", "p", f"file:{lake.source_root}/acc/p.csv", 0, size)], PLAN)
     elsewhere = dataclasses.replace(lake, range_root=f"{tmp_path}/elsewhere")
-    names = [r.target_path for r in ranges.copy(plan, elsewhere, run_ts).orderBy("offset_start").collect()]
+    names = [r.target for r in ranges.copy(plan, elsewhere, run_ts).orderBy("start").collect()]
     os.makedirs(names[1].replace(elsewhere.range_root, lake.range_root) + "/in_the_way")
-    ledger.append(ranges.copy(plan, lake, run_ts), lake.range_log)
-    log = spark.table(lake.range_log).orderBy("offset_start").collect()
-    assert log[0].error is None and log[1].error is not None
-    assert len(log) > 3 and {r.error for r in log[2:]} == {ranges.AFTER_ERROR}
-    assert state(spark, lake) == {"p.csv": log[0].offset_end}
+    ledger.append(ranges.copy(plan, lake, run_ts), lake.copies)
+    log = spark.table(lake.copies).orderBy("start").collect()
+    assert log[0].outcome == ledger.DONE != log[1].outcome
+    assert len(log) > 3 and {r.outcome for r in log[2:]} == {ranges.AFTER_ERROR}
+    assert state(spark, lake) == {"p.csv": log[0].stop}
 
 
 def test_two_copies_in_one_second_keep_both_ranges(spark, lake, put):
@@ -137,7 +137,7 @@ def test_two_copies_in_one_second_keep_both_ranges(spark, lake, put):
     put("acc", "p.csv", rows_text(3, 7))
     copy_growth(spark, lake, ["acc"], run_ts=run_ts)
     assert copied_ids(spark, lake, "acc") == [*range(7), 50, 51]
-    assert spark.table(lake.range_log).select("target_path").distinct().count() == 3
+    assert spark.table(lake.copies).select("target").distinct().count() == 3
 
 
 def test_names_do_not_follow_the_session_zone(spark, lake, put):
@@ -149,7 +149,7 @@ def test_names_do_not_follow_the_session_zone(spark, lake, put):
         for hour in (0, 1):  # the hour that is repeated when summer time ends
             copy_growth(spark, lake, ["acc"], run_ts=dt.datetime(2024, 10, 27, hour, 30, tzinfo=dt.timezone.utc))
             put("acc", "p.csv", rows_text(3 + hour, 4 + hour))
-            names = [r.target_path for r in spark.table(lake.range_log).collect()]
+            names = [r.target for r in spark.table(lake.copies).collect()]
     finally:
         spark.conf.set("spark.sql.session.timeZone", before)
     assert ["_20241027003000_" in names[0] or "_20241027003000_" in names[1]] == [True]

@@ -1,3 +1,4 @@
+import dataclasses
 import datetime as dt
 import json
 import os
@@ -56,8 +57,8 @@ def expected(*groups):
 def test_run_folders(spark, lake, step):
     sink = RunFolderSink(lake)
     log = step(text(range(4)), sink).first()
-    assert log.destination.endswith("/tables/acc/acc_20240101_000100.parquet")
-    assert (log.destination_type, log.row_count, log.corrupt_count) == ("PATH", 4, 0)
+    assert log.place.endswith("/tables/acc/acc_20240101_000100.parquet")
+    assert (log.kind, log.rows_in, log.rows_bad) == ("PATH", 4, 0)
     step(text(range(4, 6)), sink)
     rows = current_run_folders(spark, lake, "acc")
     assert names(rows) == expected((range(6), "n"))
@@ -66,7 +67,7 @@ def test_run_folders(spark, lake, step):
     assert step("", sink).count() == 0
     assert len(SCHEMA) == 5
     # A full load reads all files and replaces what was there.
-    assert step("", sink, "full").first().row_count == 6
+    assert step("", sink, "full").first().rows_in == 6
     assert names(current_run_folders(spark, lake, "acc")) == expected((range(6), "n"))
     with pytest.raises(ValueError, match="upsert"):
         step(text([9]), sink, "upsert")
@@ -81,9 +82,9 @@ def test_versioned_table(spark, lake, step):
     rest = [i for i in range(20) if i not in (3, 4)]
     assert names(current(spark, lake, "acc")) == expected((rest, "n"), ([3, 4, 30], "m"))
     # Only the buckets of the three keys were written.
-    touched = log.first().buckets
+    touched = log.first().replaced
     assert 0 < len(touched) <= 3
-    written = {d for d in os.listdir(log.first().destination) if d.startswith("lake_bucket=")}
+    written = {d for d in os.listdir(log.first().place) if d.startswith("lake_bucket=")}
     assert written == {f"lake_bucket={b}" for b in touched}
     step(text([3], "m", version=2), sink, "append")
     assert current(spark, lake, "acc").count() == 22
@@ -107,7 +108,7 @@ def test_a_run_that_died_before_its_log_row_is_not_read(spark, lake, step, monke
     append = ledger.append
 
     def die(rows, table):
-        if table == lake.load_log:
+        if table == lake.loads:
             raise RuntimeError("lost")
         append(rows, table)
 
@@ -124,7 +125,7 @@ def test_rows_beyond_the_cutoff(spark, lake, step):
     sink = VersionedSink(lake)
     step(text(range(3)), sink)
     # All rows are filtered away: logged with no rows, and not read again.
-    assert step(text(range(3, 5), year=2300), sink).first().row_count == 0
+    assert step(text(range(3, 5), year=2300), sink).first().rows_in == 0
     assert ledger.pending(spark, lake, "acc").count() == 0
     assert current(spark, lake, "acc").count() == 3
 
@@ -132,7 +133,7 @@ def test_rows_beyond_the_cutoff(spark, lake, step):
 def test_a_full_load_without_rows_keeps_the_table(spark, lake, step, monkeypatch):
     sink = VersionedSink(lake)
     step(text([1]), sink)
-    nothing = spark.createDataFrame([], "target_path string, range_bytes bigint")
+    nothing = spark.createDataFrame([], "target string")
     monkeypatch.setattr(ledger, "available", lambda *_: nothing)
     assert step("", sink, "full").count() == 0
     assert current(spark, lake, "acc").count() == 1
@@ -141,7 +142,7 @@ def test_a_full_load_without_rows_keeps_the_table(spark, lake, step, monkeypatch
 def test_malformed_rows_are_counted(spark, lake, step):
     body = 'id1,1,"1/5/2024 3:04:05 PM",n,0\nid2,x,"13/45/2024 3:04:05 PM",n,0\nid3,1\nid4,1,,n,0,surplus\n'
     log = step(body, RunFolderSink(lake)).first()
-    assert (log.row_count, log.corrupt_count) == (4, 3)
+    assert (log.rows_in, log.rows_bad) == (4, 3)
     rows = {r.Id: r for r in current_run_folders(spark, lake, "acc").collect()}
     assert rows["id2"].versionnumber is None and rows["id2"].SinkCreatedOn is None
     assert rows["id3"].name is None and rows["id4"].name == "n"
@@ -172,27 +173,77 @@ def test_many_entities(spark, lake, put):
     with pytest.raises(ExceptionGroup) as info:
         load_entities(spark, lake, {"c": SCHEMA, "a": bad}, VersionedSink(lake), "replace")
     assert len(info.value.exceptions) == 2
-    assert spark.table(lake.load_log).count() == 2
+    assert spark.table(lake.loads).count() == 2
 
 
-def test_pending_with_empty_and_null_file_lists(spark, lake, put):
-    put("acc", "p.csv", text(range(2)))
-    copy_growth(spark, lake, ["acc"])
-    row = {f.name: None for f in ledger.LOAD_LOG_SCHEMA.fields} | {"entity": "acc"}
-    for files in (None, [], ["other"]):
-        one = spark.createDataFrame([tuple((row | {"source_files": files}).values())], ledger.LOAD_LOG_SCHEMA)
-        ledger.append(one, lake.load_log)
-    assert ledger.pending(spark, lake, "acc").count() == 1
-    ledger.append(spark.createDataFrame([], ledger.LOAD_LOG_SCHEMA), lake.load_log)
-    assert spark.table(lake.load_log).count() == 3
+def test_files_without_their_load_are_pending(spark, lake, step):
+    """One row per load, whatever the number of files; a death between the logs leaves nothing half-loaded."""
+    sink = VersionedSink(lake)
+    for i in range(6):
+        step(text([i]), sink)
+    lost = spark.table(lake.copies).select(F.lit("dead").alias("load_id"), "target")
+    ledger.append(lost, lake.load_files)
+    assert ledger.pending(spark, lake, "acc").count() == 0
+    before = spark.table(lake.loads).count()
+    (log,) = step("", sink, "full").collect()
+    assert log.rows_in == 6 and log.live and before == 6
+    assert spark.table(lake.load_files).where(F.col("load_id") == log.load_id).count() == 6
+    assert spark.table(lake.loads).count() == 7
+
+
+def test_a_death_inside_the_log_commit(spark, lake, step, monkeypatch):
+    append = ledger.append
+
+    def die(rows, table):
+        if table == lake.loads:
+            raise RuntimeError("lost")
+        append(rows, table)
+
+    monkeypatch.setattr(loading.ledger, "append", die)
+    with pytest.raises(RuntimeError):
+        step(text(range(3)), VersionedSink(lake))
+    monkeypatch.setattr(loading.ledger, "append", append)
+    assert spark.table(lake.load_files).count() > 0 and ledger.pending(spark, lake, "acc").count() > 0
+    step("", VersionedSink(lake))
+    assert names(current(spark, lake, "acc")) == expected((range(3), "n"))
+
+
+def test_a_table_keeps_its_bucket_count_and_keys(spark, lake, step):
+    step(text(range(40)), VersionedSink(lake))
+    other = dataclasses.replace(lake, bucket_count=5)
+    step(text(range(3), "m"), VersionedSink(other), "upsert")
+    assert names(current(spark, lake, "acc")) == expected((range(3), "m"), (range(3, 40), "n"))
+    with pytest.raises(ValueError, match="bucketed by"):
+        step(text([50]), VersionedSink(lake, keys=["Id"]), "upsert")
+
+
+@pytest.mark.parametrize("sink", [VersionedSink, RunFolderSink])
+def test_a_type_change_is_refused_before_the_log(spark, lake, step, sink):
+    step(text(range(3)), sink(lake))
+    fields = [T.StructField("versionnumber", T.StringType()) if f.name == "versionnumber" else f for f in SCHEMA.fields]
+    with pytest.raises(ValueError, match="versionnumber"):
+        step(text(range(3, 5)), sink(lake), schema=T.StructType(fields))
+    assert spark.table(lake.loads).count() == 1
+    step("", sink(lake), "full", schema=T.StructType(fields))
+    rows = current(spark, lake, "acc") if sink is VersionedSink else current_run_folders(spark, lake, "acc")
+    assert rows.count() == 5 and rows.schema["versionnumber"].dataType == T.StringType()
+
+
+def test_a_full_load_without_rows_keeps_a_catalog_table(spark, lake, step, monkeypatch):
+    sink = CatalogTableSink(lake.log_schema, "parquet")
+    step(text([1]), sink)
+    whole = ledger.available
+    monkeypatch.setattr(ledger, "available", lambda *a: whole(*a).where(~F.col("target").endswith("_000000000000000.csv")))
+    assert step(text([5], year=2300), sink, "full").first().rows_in == 0
+    assert spark.table(f"{lake.log_schema}.acc").count() == 1
 
 
 def test_logs_outlive_the_catalog(spark, lake, put):
     put("acc", "p.csv", text(range(2)))
     copy_growth(spark, lake, ["acc"])
-    spark.sql(f"drop table {lake.range_log}")
+    spark.sql(f"drop table {lake.copies}")
     ledger.ensure_logs(spark, lake)
-    assert spark.table(lake.range_log).where(F.col("error").isNull()).count() > 0
+    assert spark.table(lake.copies).where(F.col("outcome") == ledger.DONE).count() > 0
 
 
 def test_a_stream_loads_each_range_once(spark, lake, put, tmp_path):
@@ -205,7 +256,7 @@ def test_a_stream_loads_each_range_once(spark, lake, put, tmp_path):
     # The state of the stream is lost: all ranges come again, and none is loaded twice.
     stream_load(spark, lake, "acc", SCHEMA, sink, checkpoint + "-new", "append").awaitTermination()
     assert current(spark, lake, "acc").count() == 6
-    assert spark.table(lake.load_log).select("run_id").distinct().count() == 2
+    assert spark.table(lake.loads).count() == 2
     with pytest.raises(ValueError, match="full"):
         stream_load(spark, lake, "acc", SCHEMA, sink, checkpoint, "full")
 
@@ -214,20 +265,20 @@ def test_catalog_tables(spark, lake, step):
     sink = CatalogTableSink(lake.log_schema, "parquet")
     step(text(range(3)), sink, "upsert")  # no table yet: an append
     log = step(text(range(3, 5)), sink).first()
-    assert (log.destination, log.destination_type) == (f"{lake.log_schema}.acc", "CATALOG")
-    assert names(spark.table(log.destination)) == expected((range(5), "n"))
+    assert (log.place, log.kind) == (f"{lake.log_schema}.`acc`", "CATALOG")
+    assert names(spark.table(log.place)) == expected((range(5), "n"))
     with pytest.raises(Exception, match="UNSUPPORTED|not support"):
         step(text([1], "m"), sink, "upsert")
     step("", sink, "full")
-    assert spark.table(log.destination).count() == 6
+    assert spark.table(log.place).count() == 6
 
 
 def test_file_names_with_special_characters(spark, lake, put):
     for i, name in enumerate(("p 1.csv", "p#é%20.csv", "p[2]{a,b}*.csv")):
         put("acc", name, text(range(3 * i, 3 * i + 3)))
     log = copy_growth(spark, lake, ["acc"]).collect()
-    assert [r.error for r in log] == [None] * len(log)
-    assert {r.source_stem for r in log} == {"p 1", "p#é%20", "p[2]{a,b}*"}
+    assert {r.outcome for r in log} == {ledger.DONE}
+    assert {os.path.basename(r.path) for r in log} == {"p 1.csv", "p#é%20.csv", "p[2]{a,b}*.csv"}
     load_entity(spark, lake, "acc", SCHEMA, RunFolderSink(lake))
     assert names(current_run_folders(spark, lake, "acc")) == expected((range(9), "n"))
     later = dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5)
@@ -237,7 +288,7 @@ def test_file_names_with_special_characters(spark, lake, put):
 def test_reading_an_entity_shuffles_nothing_and_prunes_columns(spark, lake, put):
     put("acc", "p.csv", text(range(3)))
     copy_growth(spark, lake, ["acc"])
-    files = [r[0] for r in ledger.available(spark, lake, "acc").select("target_path").collect()]
+    files = [r[0] for r in ledger.available(spark, lake, "acc").select("target").collect()]
     rows = loading.read_entity(spark, files, SCHEMA)
     assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
     plan = rows.select("name")._jdf.queryExecution().executedPlan().toString()

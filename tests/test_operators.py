@@ -19,13 +19,10 @@ def value(spark, column):
     return spark.range(1).select(column).first()[0]
 
 
-def test_latest_ignores_failures_and_settles_ties(spark):
+def test_state_ignores_failures_and_clocks(spark):
     log = spark.createDataFrame(
-        [
-            ("e", "s", "a", 10, 1, None), ("e", "s", "a", 20, 2, None), ("e", "s", "a", 30, 3, "failed"),
-            ("e", "s", "b", 5, 1, None), ("e", "s", "b", 7, 1, None), ("e", "s", "c", 9, 1, "failed"),
-        ],
-        "entity string, source_stem string, source_path string, offset_end bigint, run_ts bigint, error string",
+        [("a", 10, 9, "done"), ("a", 20, 2, "done"), ("a", 30, 3, "failed"), ("b", 5, 1, "done"), ("b", 7, 1, "done"), ("c", 9, 1, "failed")],
+        "path string, stop bigint, run bigint, outcome string",
     )
     assert {r.source_path: r.offset_end for r in ledger.state_of(log).collect()} == {"a": 20, "b": 7}
     assert ledger.state_of(log.limit(0)).count() == 0
