@@ -43,24 +43,22 @@ def q_current_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select event_type as entity, cast(user_id as varchar) as source_path, event_id as offset_end from (
-      select *, row_number() over (partition by event_type, user_id order by ts desc, event_id desc) as rn
-      from events where value is not null and event_type in ('click', 'view')) where rn = 1
+    select event_type as entity, cast(user_id as varchar) as source_path, max(event_id) as offset_end
+    from events where value is not null and event_type in ('click', 'view') group by all
     """
 )
 def q_file_state(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The state query of the range log, with events as log rows of two entities."""
+    """The state query of the log of copies, with events as its rows of two entities."""
     log = table(spark, sf_dir, "events").select(
         F.col("event_type").alias("entity"),
-        F.lit(None).cast("string").alias("source_stem"),
-        F.concat_ws("/", "event_type", "user_id").alias("source_path"),
-        F.col("event_id").alias("offset_end"),
-        F.col("ts").alias("run_ts"),
-        F.when(F.col("value").isNull(), "no value").alias("error"),
+        F.concat_ws("/", "event_type", "user_id").alias("path"),
+        F.col("event_id").alias("stop"),
+        F.when(F.col("value").isNull(), "no value").otherwise(ledger.DONE).alias("outcome"),
     )
     wanted = log.where(guards.in_list_or_all(F.col("entity"), ["click", "view"]))
+    parts = F.split("source_path", "/")
     return ledger.state_of(wanted).select(
-        "entity", F.element_at(F.split("source_path", "/"), 2).alias("source_path"), "offset_end"
+        F.element_at(parts, 1).alias("entity"), F.element_at(parts, 2).alias("source_path"), "offset_end"
     )
 
 

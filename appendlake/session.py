@@ -41,18 +41,20 @@ def persist_counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFr
     """``persist_table``, and integer metrics of the rows, which the write itself takes."""
     seen = Observation(f"{name}-{uuid.uuid4().hex}")
     table = persist_table(df.observe(seen, *[m.alias(k) for k, m in metrics.items()]), name)
-    return table, dict.fromkeys(metrics, 0) | metrics_of(seen)
+    return table, dict.fromkeys(metrics, 0) | metrics_of(seen, table)
 
 
-def metrics_of(seen: Observation) -> dict[str, int]:
-    """Observed sums and counts after the action; all are 0 when there was no row.
+def metrics_of(seen: Observation, written: DataFrame | None = None) -> dict[str, int]:
+    """Observed sums and counts after the action.
 
-    A plan that turns out to have no input is replaced by an empty one, and then
-    there is nothing to observe: the observation fails instead of being 0.
+    An observation that failed is an error, unless what was ``written`` shows that there
+    was no row to observe.
     """
     try:
         return {name: int(value or 0) for name, value in seen.get.items()}
     except Py4JJavaError:
+        if written is None or not written.isEmpty():
+            raise
         return {}
 
 
