@@ -15,12 +15,12 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appendlake.llm.inputs import named
+from appendlake.llm.inputs import memory_returned, named
 from appendlake.session import persist_table
 
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 100_000
-KEPT_CHUNKS = 400_000
+KEPT_CHUNKS = 250_000
 TEXT_AT_ONCE = 1_500_000
 
 # Two blanks side by side: there the plain cut would not hold. And the mark itself.
@@ -119,26 +119,27 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, wi
     schema = "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids array<int>" * with_ids
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tokens = ChunkTokens(path)
-        for batch in batches:
-            for part in _by_bytes(batch, TEXT_AT_ONCE):
-                ids, ends = tokens.of(part.column(1).cast(pa.string()))
-                rows: list[tuple] = []
-                start = 0
-                for doc, end in zip(part.column(0).to_pylist(), ends.tolist()):
-                    own = np.append(ids[start:end], np.uint32(end_id)).astype("<u4")
-                    start = end
-                    cut = len(own) % capacity or capacity
-                    bounds = [0, *range(cut, len(own) + 1, capacity)]
-                    for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
-                        rows.append((doc, i, a, b - a, zlib.crc32(own[a:b].tobytes()), own[a:b]))
-                columns = list(zip(*rows)) if rows else [()] * 6
-                arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
-                if with_ids:
-                    flat = np.concatenate(columns[5]) if rows else np.zeros(0, np.uint32)
-                    offsets = np.concatenate([[0], np.cumsum([len(c) for c in columns[5]])])
-                    arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.astype(np.int32))))
-                yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
+        with memory_returned():
+            tokens = ChunkTokens(path)
+            for batch in batches:
+                for part in _by_bytes(batch, TEXT_AT_ONCE):
+                    ids, ends = tokens.of(part.column(1).cast(pa.string()))
+                    rows: list[tuple] = []
+                    start = 0
+                    for doc, end in zip(part.column(0).to_pylist(), ends.tolist()):
+                        own = np.append(ids[start:end], np.uint32(end_id)).astype("<u4")
+                        start = end
+                        cut = len(own) % capacity or capacity
+                        bounds = [0, *range(cut, len(own) + 1, capacity)]
+                        for i, (a, b) in enumerate(zip(bounds, bounds[1:])):
+                            rows.append((doc, i, a, b - a, zlib.crc32(own[a:b].tobytes()), own[a:b]))
+                    columns = list(zip(*rows)) if rows else [()] * 6
+                    arrays = [pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64()))]
+                    if with_ids:
+                        flat = np.concatenate(columns[5]) if rows else np.zeros(0, np.uint32)
+                        offsets = np.concatenate([[0], np.cumsum([len(c) for c in columns[5]])])
+                        arrays.append(pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat.astype(np.int32))))
+                    yield pa.RecordBatch.from_arrays(arrays, ["doc_id", "piece", "start", "length", "ids_crc32", "ids"][: len(arrays)])
 
     return docs.select(named(id_col).cast("long").alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text")).mapInArrow(run, schema)
 

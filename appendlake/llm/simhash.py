@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from appendlake.llm.components import components
-from appendlake.llm.inputs import named
+from appendlake.llm.inputs import memory_returned, named
 from appendlake.session import persist_table
 
 SHINGLES_AT_ONCE = 1 << 16
@@ -93,9 +93,10 @@ def fingerprints(docs: DataFrame, width: int = 3, words: int = 1, seed: int = 42
     names = [f"fp{i}" for i in range(words)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            found = np.array([fingerprint(t.as_py(), width, words, seed) for t in batch.column(1)], np.int64).reshape(-1, words)
-            yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, i]) for i in range(words))], ["doc_id", *names])
+        with memory_returned():
+            for batch in batches:
+                found = np.array([fingerprint(t.as_py(), width, words, seed) for t in batch.column(1)], np.int64).reshape(-1, words)
+                yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(found[:, i]) for i in range(words))], ["doc_id", *names])
 
     rows = docs.select(named(id_col).cast("long").alias("doc_id"), named(text_col).cast("binary").alias("text"))
     return rows.mapInArrow(run, "doc_id long, " + ", ".join(f"{n} long" for n in names))
@@ -146,9 +147,10 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
     words, distance = index.words, index.distance
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _whole_groups(batches):
-            a, b = _compared(part, words, distance)
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+        with memory_returned():
+            for part in _whole_groups(batches):
+                a, b = _compared(part, words, distance)
+                yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return met.mapInArrow(run, "a long, b long")
 

@@ -12,7 +12,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from appendlake.llm.inputs import named
+from appendlake.llm.inputs import memory_returned, named
 
 SPACE = "▁"
 NORMAL = 1
@@ -198,14 +198,15 @@ def counted(docs: DataFrame, path: str, limit: int = 4096, id_col: str = "doc_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counter = Counter(path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 2000):
-                part = batch.slice(at, 2000)
-                texts = part.column(1).cast(pa.string())
-                counts = counter.of(texts)
-                n_bytes = pc.binary_length(texts).cast(pa.int64())
-                yield pa.RecordBatch.from_arrays([part.column(0), n_bytes, pa.array(counts), pa.array(counts > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
+        with memory_returned():
+            counter = Counter(path)
+            for batch in batches:
+                for at in range(0, batch.num_rows, 2000):
+                    part = batch.slice(at, 2000)
+                    texts = part.column(1).cast(pa.string())
+                    counts = counter.of(texts)
+                    n_bytes = pc.binary_length(texts).cast(pa.int64())
+                    yield pa.RecordBatch.from_arrays([part.column(0), n_bytes, pa.array(counts), pa.array(counts > limit)], ["doc_id", "n_bytes", "n_tokens", "over_limit"])
 
     rows = docs.select(named(id_col).cast("long").alias("doc_id"), F.coalesce(named(text_col), F.lit("")).alias("text"))
     return rows.mapInArrow(run, "doc_id long, n_bytes long, n_tokens long, over_limit boolean")

@@ -11,7 +11,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from appendlake.llm.inputs import named
+from appendlake.llm.inputs import memory_returned, named
 from appendlake.session import persist_table
 
 LENGTHS = (3, 4, 5, 6)
@@ -128,43 +128,46 @@ def _difference(pos: Column, neg: Column, all_pos: Column, all_neg: Column) -> C
 
 
 def _count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    counts, seen = np.zeros((2, 1 << BIN_BITS), np.int64), np.zeros(1 << BIN_BITS, bool)
-    for batch in batches:
-        for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-            for h in grams(text.as_py()):
-                seen[_bins(h)] = True
-            counts[1 if label else 0] += seen
-            seen[:] = False
-    bins = np.flatnonzero(counts.sum(axis=0))
-    for at in range(0, len(bins), 50_000):
-        some = bins[at : at + 50_000]
-        yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[1, some]), pa.array(counts[0, some])], ["bin", "pos", "neg"])
+    with memory_returned():
+        counts, seen = np.zeros((2, 1 << BIN_BITS), np.int64), np.zeros(1 << BIN_BITS, bool)
+        for batch in batches:
+            for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
+                for h in grams(text.as_py()):
+                    seen[_bins(h)] = True
+                counts[1 if label else 0] += seen
+                seen[:] = False
+        bins = np.flatnonzero(counts.sum(axis=0))
+        for at in range(0, len(bins), 50_000):
+            some = bins[at : at + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[1, some]), pa.array(counts[0, some])], ["bin", "pos", "neg"])
 
 
 def _gram_counter(wide: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for at in range(0, batch.num_rows, 500):
-                part = batch.slice(at, 500)
-                found, marks = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
-                for text, label in zip(part.column(0), part.column(1).to_pylist()):
-                    own = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h[wide[_bins(h)]] for h in grams(text.as_py()))]))
-                    found.append(own)
-                    marks.append(np.full(len(own), bool(label)))
-                hashes, at_ = np.unique(np.concatenate(found), return_inverse=True)
-                pos = np.bincount(at_, np.concatenate(marks), len(hashes)).astype(np.int64)
-                n = np.bincount(at_, minlength=len(hashes))
-                yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(pos), pa.array(n - pos)], ["gram", "pos", "neg"])
+        with memory_returned():
+            for batch in batches:
+                for at in range(0, batch.num_rows, 500):
+                    part = batch.slice(at, 500)
+                    found, marks = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
+                    for text, label in zip(part.column(0), part.column(1).to_pylist()):
+                        own = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h[wide[_bins(h)]] for h in grams(text.as_py()))]))
+                        found.append(own)
+                        marks.append(np.full(len(own), bool(label)))
+                    hashes, at_ = np.unique(np.concatenate(found), return_inverse=True)
+                    pos = np.bincount(at_, np.concatenate(marks), len(hashes)).astype(np.int64)
+                    n = np.bincount(at_, minlength=len(hashes))
+                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(pos), pa.array(n - pos)], ["gram", "pos", "neg"])
 
     return run
 
 
 def _finder(hashes: np.ndarray):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        finder = Finder(hashes)
-        for batch in batches:
-            found = [finder.of(t.as_py()).astype(np.int32) for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
+        with memory_returned():
+            finder = Finder(hashes)
+            for batch in batches:
+                found = [finder.of(t.as_py()).astype(np.int32) for t in batch.column(0)]
+                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
 
     return run
 
@@ -194,10 +197,11 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        finder = Finder(model.grams)
-        for part in texts:
-            sums = np.array([model.bias + model.weights[finder.of(t or "")].sum() for t in part], float)
-            yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
+        with memory_returned():
+            finder = Finder(model.grams)
+            for part in texts:
+                sums = np.array([model.bias + model.weights[finder.of(t or "")].sum() for t in part], float)
+                yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -700, 700))))
 
     kept = [named(c) for c in docs.columns if c.lower() != "score"]
     return docs.select(*kept, score(named(text_col)).alias("score"))
