@@ -183,18 +183,38 @@ def _grow_in_steps(spark: SparkSession, sf_dir: str, name: str, columns: list[st
     """
     config = new_lake(spark, name, chunk_bytes=256 * KIB)
     export(table(spark, sf_dir, "events").select(*columns), f"{config.source_root}/events")
-    start = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
-    for step, share in enumerate((0.3, 0.7, 1.0, 1.0)):
-        size = F.floor(F.col("source_bytes") * share).cast("bigint")
-        files = list_files(spark, config.source_root, ["events"]).drop("modified_at")
-        plan = growth.plan(
-            files.withColumn("source_bytes", size), ledger.file_state(spark, config, ["events"])
-        )
-        run_ts = start  # all steps in one second
-        ledger.append(ranges.copy(plan, config, run_ts), config.copies)
+    _copy_in_steps(spark, config, "events")
     return config
 
 
+def _copy_in_steps(spark: SparkSession, config: LakeConfig, entity: str) -> None:
+    """Copies as if the files had grown, each step ending anywhere; all in one second."""
+    moment = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
+    for share in (0.3, 0.7, 1.0, 1.0):
+        size = F.floor(F.col("source_bytes") * share).cast("bigint")
+        files = list_files(spark, config.source_root, [entity]).drop("modified_at")
+        state = ledger.file_state(spark, config, [entity])
+        plan = growth.plan(files.withColumn("source_bytes", size), state)
+        ledger.append(ranges.copy(plan, config, moment), config.copies)
+
+
+@query("""select doc_id, lang || ' 5" wide' as note, md5(text) as text_md5 from documents""")
+def q_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quotes inside unquoted fields, and growth that ends inside quoted text."""
+    config = new_lake(spark, "stray", chunk_bytes=128 * KIB)
+    quoted = F.concat(F.lit('"'), F.replace("text", F.lit('"'), F.lit('""')), F.lit('"'))
+    note = F.concat("lang", F.lit(' 5" wide'))
+    lines = table(spark, sf_dir, "documents").select(F.concat_ws(",", F.col("doc_id").cast("string"), note, quoted))
+    lines.write.text(f"{config.source_root}/notes")
+    _copy_in_steps(spark, config, "notes")
+    schema = T.StructType(
+        [T.StructField("doc_id", T.LongType()), T.StructField("note", T.StringType()), T.StructField("text", T.StringType())]
+    )
+    paths = [r[0] for r in ledger.available(spark, config, "notes").select("target").collect()]
+    rows = records.read(spark, paths, schema, file_columns=False)
+    return rows.select("doc_id", "note", F.md5("text").alias("text_md5"))
+
+
 @query("select * from events")
 def q_range_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _grow_in_steps(spark, sf_dir, "range-copy", EVENTS.names)

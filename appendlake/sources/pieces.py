@@ -1,13 +1,13 @@
 """Cut byte ranges of CSV files at record ends, so that one file parses in many tasks.
 
-A newline ends a record exactly when an even number of quotes precedes it in the
-file. So the quotes of each chunk are counted in parallel, a running sum over the
-chunks tells each one whether it begins inside quotes, and every chunk then owns
-the records that begin after its first record end.
-
-That holds for text where a quote opens only at the start of a field and closes
-only at its end (a quote inside is doubled). Each chunk checks this for itself;
-a range that breaks the rule stays in one piece and is marked ``regular = false``.
+A newline ends a record unless it stands inside a quoted field. A quote opens a field
+only as its first byte; inside, quotes come in pairs, and a single one closes the field;
+elsewhere a quote is text. So a run of quotes acts on what is around it, "outside" or
+"inside", in one of three ways: an odd run at the start of a field swaps the two, an odd
+run elsewhere leads outside, an even run changes nothing. Such maps compose: every chunk
+reports its map and its record ends for both cases, a window over the chunks of a range
+tells each chunk its case, and each then owns the records that begin after its first
+record end. That holds for any bytes, so every file can be cut.
 """
 
 from __future__ import annotations
@@ -25,68 +25,97 @@ from appendlake.config import MIB
 from appendlake.session import task_count
 from appendlake.sources.files import read_blocks
 
-# No range is cut into more chunks than this, so the running sum over one file's
-# chunks stays small however large the file is.
-MAX_CHUNKS = 65_536
 QUOTE, NEWLINE, RETURN, COMMA = 34, 10, 13, 44
 
+OUTSIDE, INSIDE = 0, 1
+
 CHUNK_SUMMARY = T.StructType(
     [
         T.StructField("source_path", T.StringType()),
         T.StructField("range_start", T.LongType()),
         T.StructField("range_end", T.LongType()),
         T.StructField("chunk_start", T.LongType()),
-        T.StructField("quotes", T.LongType()),
-        T.StructField("first_even", T.LongType()),
-        T.StructField("last_even", T.LongType()),
-        T.StructField("first_odd", T.LongType()),
-        T.StructField("last_odd", T.LongType()),
-        T.StructField("broken_even", T.BooleanType()),
-        T.StructField("broken_odd", T.BooleanType()),
+        T.StructField("first_outside", T.LongType()),
+        T.StructField("last_outside", T.LongType()),
+        T.StructField("first_inside", T.LongType()),
+        T.StructField("last_inside", T.LongType()),
+        T.StructField("outside_to", T.LongType()),
+        T.StructField("inside_to", T.LongType()),
         T.StructField("error", T.StringType()),
     ]
 )
 
 
+class Scan:
+    """Follows both cases through consecutive blocks. A run of quotes that reaches the end
+    of a block is held back for the next one, so that it is seen whole."""
+
+    def __init__(self, before: int) -> None:
+        self.before = before
+        self.state = [OUTSIDE, INSIDE]
+        self.held = b""
+
+    def feed(self, block: bytes, last: bool, more_quotes: int = 0) -> tuple[bytes, list[np.ndarray]]:
+        """The bytes now settled, and the positions in them of the newlines that end records,
+        for each case. ``more_quotes`` continue the run at the end of the last block."""
+        text = self.held + block
+        kept = len(text) if last else len(text.rstrip(b'"'))
+        text, self.held = text[:kept], text[kept:]
+        if not text:
+            return text, [np.zeros(0, np.int64)] * 2
+        data, quotes, newlines = _marks(text)
+        runs = np.flatnonzero(np.diff(quotes, prepend=-2) != 1)
+        sizes = np.diff(np.append(runs, quotes.size))
+        starts = quotes[runs]
+        if starts.size and quotes[-1] == data.size - 1:
+            sizes[-1] += more_quotes
+        left = np.where(starts > 0, data[starts - 1], self.before)
+        if starts.size and starts[0] == 0 and self.before == QUOTE:  # the rest of an earlier run
+            starts, sizes, left = starts[1:], sizes[1:], left[1:]
+        odd, opens = (sizes & 1) == 1, (left == COMMA) | (left == NEWLINE)
+        swaps = np.concatenate(([0], np.cumsum(odd & opens)))
+        resets = np.concatenate(([-1], np.maximum.accumulate(np.where(odd & ~opens, np.arange(1, starts.size + 1), -1))))
+        at = np.searchsorted(starts, newlines)
+        ends = []
+        for case in (OUTSIDE, INSIDE):
+            known = resets >= 0
+            after = np.where(known, swaps - swaps[np.maximum(resets, 0)], swaps + self.state[case]) & 1
+            ends.append(newlines[after[at] == OUTSIDE])
+            self.state[case] = int(after[-1])
+        self.before = int(data[-1])
+        return text, ends
+
+
 def summarize_chunk(
     path: str, start: int, end: int, range_start: int, range_end: int, block_bytes: int
 ) -> tuple:
-    """Quote count, and for both cases of what precedes: record ends and rule breaks.
+    """First and last record end and the case behind the chunk, for both cases before it."""
+    before = next(read_blocks(path, start - 1, start, 1))[0] if start > range_start else NEWLINE
+    first, last = [None, None], [None, None]
+    scan, position = Scan(before), start
+    remaining = end - start
+    for block in read_blocks(path, start, end, block_bytes):
+        remaining -= len(block)
+        more = _quotes_from(path, end, range_end) if not remaining and block.endswith(b'"') else 0
+        text, ends = scan.feed(block, not remaining, more)
+        for case in (OUTSIDE, INSIDE):
+            if ends[case].size:
+                last[case] = position + int(ends[case][-1]) + 1
+                if first[case] is None:
+                    first[case] = position + int(ends[case][0]) + 1
+        position += len(text)
+    return first[0], last[0], first[1], last[1], *scan.state
 
-    Case 0 is that an even number of quotes precedes the chunk, case 1 an odd
-    number. The bytes next to the chunk are read along, since the rule looks at
-    a quote's neighbours; both ends of the range count as record ends.
-    """
 
-    def byte_at(position: int) -> int:
-        return next(read_blocks(path, position, position + 1, 1))[0]
-
-    before = byte_at(start - 1) if start > range_start else NEWLINE
-    after = byte_at(end) if end < range_end else NEWLINE
-    first, last, broken = [None, None], [None, None], [False, False]
-    quotes, position = 0, start
-    for left, block, right in _with_neighbours(
-        read_blocks(path, start, end, block_bytes), before, after
-    ):
-        data, at, ends = _marks(block)
-        case_of_end = (quotes + np.searchsorted(at, ends)) & 1
-        for case in (0, 1):
-            own = ends[case_of_end == case]
-            if own.size:
-                last[case] = position + int(own[-1]) + 1
-                if first[case] is None:
-                    first[case] = position + int(own[0]) + 1
-        if at.size:
-            byte_before = np.where(at > 0, data[at - 1], left)
-            byte_after = np.where(at < data.size - 1, data[np.minimum(at + 1, data.size - 1)], right)
-            may_open = np.isin(byte_before, (COMMA, NEWLINE, QUOTE))
-            may_close = np.isin(byte_after, (COMMA, NEWLINE, RETURN, QUOTE))
-            opens = ((quotes + np.arange(at.size)) & 1) == 0
-            broken[0] |= not np.where(opens, may_open, may_close).all()
-            broken[1] |= not np.where(opens, may_close, may_open).all()
-        quotes += int(at.size)
-        position += len(block)
-    return quotes, first[0], last[0], first[1], last[1], broken[0], broken[1]
+def _quotes_from(path: str, start: int, end: int) -> int:
+    """How many quotes stand from a position on."""
+    found = 0
+    for block in read_blocks(path, start, end, 4096):
+        rest = block.lstrip(b'"')
+        found += len(block) - len(rest)
+        if rest:
+            break
+    return found
 
 
 def _marks(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -106,44 +135,20 @@ def _marks(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 def complete_end(path: str, start: int, end: int, block_bytes: int) -> int | None:
     """Where the last complete record of a range ends, for a range that is one chunk."""
-    _, _, even_end, _, odd_end, broken, _ = summarize_chunk(path, start, end, start, end, block_bytes)
-    if broken:
-        return max((e for e in (even_end, odd_end) if e is not None), default=None)
-    return even_end
-
-
-def _with_neighbours(
-    blocks: Iterator[bytes], before: int, after: int
-) -> Iterator[tuple[int, bytes, int]]:
-    """Each block with the byte to its left and to its right."""
-    current = next(blocks)
-    for following in blocks:
-        yield before, current, following[0]
-        before, current = current[-1], following
-    yield before, current, after
-
-
-def _step(chunk_bytes: int) -> Column:
-    length = F.col("range_end") - F.col("range_start")
-    return F.greatest(F.lit(chunk_bytes), F.ceil(length / F.lit(MAX_CHUNKS))).cast("bigint")
+    return summarize_chunk(path, start, end, start, end, block_bytes)[1]
 
 
 def chunk_count(chunk_bytes: int) -> Column:
     """Number of chunks ``cut`` scans for a range, so that a caller can count along."""
-    length = F.col("range_end") - F.col("range_start")
-    return F.ceil(length / _step(chunk_bytes)).cast("bigint")
+    return F.ceil((F.col("range_end") - F.col("range_start")) / chunk_bytes).cast("bigint")
 
 
 def _chunks(ranges: DataFrame, chunk_bytes: int, carry: Sequence[str]) -> DataFrame:
-    starts = F.sequence("range_start", F.col("range_end") - 1, "step")
+    starts = F.sequence("range_start", F.col("range_end") - 1, F.lit(chunk_bytes).cast("bigint"))
     return (
         ranges.where("range_end > range_start")
-        .withColumn("step", _step(chunk_bytes))
-        .select(
-            *carry, "source_path", "range_start", "range_end", "step", F.explode(starts).alias("chunk_start")
-        )
-        .withColumn("chunk_end", F.least(F.col("chunk_start") + F.col("step"), F.col("range_end")))
-        .drop("step")
+        .select(*carry, "source_path", "range_start", "range_end", F.explode(starts).alias("chunk_start"))
+        .withColumn("chunk_end", F.least(F.col("chunk_start") + chunk_bytes, F.col("range_end")))
     )
 
 
@@ -158,7 +163,7 @@ def cut(
 ) -> DataFrame:
     """Ranges ``(source_path, range_start, range_end)`` → pieces that begin and end at record ends.
 
-    Adds ``piece_start``, ``piece_end``, ``regular`` and ``error``. Every range
+    Adds ``piece_start``, ``piece_end`` and ``error``. Every range
     must begin at a record end. The bytes after the last record end are part of
     the last piece with ``keep_tail`` and of no piece without. A range that
     cannot be read fails the job, or with ``keep_errors`` stays one piece with
@@ -181,7 +186,7 @@ def cut(
                 except Exception as problem:
                     if not keep_errors:
                         raise
-                    summary = (0, None, None, None, None, False, False, repr(problem))
+                    summary = (None, None, None, None, OUTSIDE, INSIDE, repr(problem))
                 rows.append((*[c[n] for n in kept], *summary))
             yield pd.DataFrame(rows, columns=out.names, dtype=object)
 
@@ -191,26 +196,26 @@ def cut(
     by_range = Window.partitionBy("source_path", "range_start")
     ordered = by_range.orderBy("chunk_start")
     earlier = ordered.rowsBetween(Window.unboundedPreceding, -1)
-    is_even = F.col("preceding") % 2 == 0
+    resets = F.col("outside_to") == F.col("inside_to")
+    swaps = F.coalesce(F.sum((~resets & (F.col("outside_to") == INSIDE)).cast("bigint")).over(earlier), F.lit(0))
+    # The last chunk that leads both cases to one says where from to count the swaps.
+    known = F.when(resets, F.struct("swaps", F.col("outside_to").alias("to")))
+    since = F.last(known, ignorenulls=True).over(earlier)
+    outside = F.col("case") == OUTSIDE
     placed = (
-        summary.withColumn("preceding", F.coalesce(F.sum("quotes").over(earlier), F.lit(0)))
-        .withColumn("first_end", F.when(is_even, F.col("first_even")).otherwise(F.col("first_odd")))
-        .withColumn("last_end", F.when(is_even, F.col("last_even")).otherwise(F.col("last_odd")))
-        .withColumn("broken", F.when(is_even, F.col("broken_even")).otherwise(F.col("broken_odd")))
-        .withColumn("regular", ~F.max("broken").over(by_range))
+        summary.withColumn("swaps", swaps)
+        .withColumn("known", since)
+        .withColumn("case", F.coalesce(F.col("known.to") + F.col("swaps") - F.col("known.swaps"), F.col("swaps")) % 2)
+        .withColumn("first_end", F.when(outside, F.col("first_outside")).otherwise(F.col("first_inside")))
+        .withColumn("last_end", F.when(outside, F.col("last_outside")).otherwise(F.col("last_inside")))
         .withColumn("error", F.max("error").over(by_range))
-        .withColumn(
-            "last_end",
-            F.when(F.col("regular"), F.max("last_end").over(by_range)).otherwise(
-                F.max(F.greatest("last_even", "last_odd")).over(by_range)
-            ),
-        )
+        .withColumn("last_end", F.max("last_end").over(by_range))
     )
     is_first = F.col("chunk_start") == F.col("range_start")
     starts = placed.withColumn(
         "piece_start",
         F.when(is_first, F.col("range_start")).when(
-            F.col("regular") & F.col("error").isNull(), F.col("first_end")
+            F.col("error").isNull(), F.col("first_end")
         ),
     ).where("piece_start is not null")
     stop = F.lit(keep_tail) | F.col("error").isNotNull()
@@ -219,7 +224,7 @@ def cut(
         starts.withColumn("piece_end", F.coalesce(F.lead("piece_start").over(ordered), stop))
         .where("piece_end > piece_start")
         .select(
-            *carry, "source_path", "range_start", "range_end", "piece_start", "piece_end", "regular", "error"
+            *carry, "source_path", "range_start", "range_end", "piece_start", "piece_end", "error"
         )
     )
 
@@ -231,24 +236,20 @@ def piece_records(path: str, start: int, end: int, batch_bytes: int = 8 * MIB) -
     the next. The blocks are small, since each array is one message to the JVM.
     The line end of a record is removed, and an empty line is no record.
     """
-    carried: list[bytes] = []
-    carried_bytes, carried_quotes, remaining = 0, 0, end - start
+    scan, carried, carried_bytes, remaining = Scan(NEWLINE), [], 0, end - start
     for block in read_blocks(path, start, end, batch_bytes):
         remaining -= len(block)
-        _, quotes, ends = _marks(block)
-        ends = ends[((carried_quotes + np.searchsorted(quotes, ends)) & 1) == 0]
-        used = int(ends[-1]) + 1 if ends.size else 0
         at_end = remaining == 0
+        text, (ends, _) = scan.feed(block, at_end)
+        used = int(ends[-1]) + 1 if ends.size else 0
         if not ends.size and not at_end:
-            carried.append(block)
-            carried_bytes += len(block)
-            carried_quotes += int(quotes.size)
+            carried.append(text)
+            carried_bytes += len(text)
             continue
-        text = b"".join([*carried, block if at_end else block[:used]])
-        yield _without_line_ends(text, ends + carried_bytes)
-        carried = [block[used:]]
-        carried_bytes = len(block) - used
-        carried_quotes = int(quotes.size - np.searchsorted(quotes, used))
+        whole = b"".join([*carried, text if at_end else text[:used]])
+        yield _without_line_ends(whole, ends + carried_bytes)
+        carried = [text[used:]]
+        carried_bytes = len(text) - used
 
 
 def _without_line_ends(text: bytes, newlines: np.ndarray) -> pa.Array:

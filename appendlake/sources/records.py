@@ -13,7 +13,6 @@ from appendlake.config import MIB
 from appendlake.functions.casts import parse_timestamp
 from appendlake.session import persist_counted, task_count
 from appendlake.sources import pieces
-from appendlake.sources.files import literal
 
 # The export's CSV form, and the names of the columns added to each row.
 CSV_FORM = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -109,8 +108,7 @@ def read_split(
 ) -> DataFrame:
     """Read files with many tasks per file, whatever their sizes.
 
-    Tasks only find the record ends; the fields are parsed in the JVM. A file
-    whose quotes do not follow the rule of ``pieces`` is read as by ``read``.
+    Tasks only find the record ends; the fields are parsed in the JVM.
     """
     files = spark.read.format("binaryFile").load(list(paths)).select(
         F.col("path").alias("source_path"),
@@ -127,12 +125,7 @@ def read_split(
         "pieces",
         pieces=F.count(F.lit(1)),
     )
-    irregular = [literal(r[0]) for r in found.where("not regular").select("source_path").distinct().collect()]
-    regular = found.where("regular")
-    rows = _parse_pieces(regular, schema, task_count(counts["pieces"]), file_columns)
-    if irregular:
-        rows = rows.unionByName(read(spark, irregular, schema, file_columns))
-    return rows
+    return _parse_pieces(found, schema, task_count(counts["pieces"]), file_columns)
 
 
 def _parse_pieces(

@@ -119,7 +119,6 @@ def main() -> None:
         )
         found = one if found is None else found.unionByName(one)
     print("d twelve label joins", best(lambda: run(labels.enrich(coded, found))))
-    print("d twelve label maps", best(lambda: run(labels.enrich(coded, found, as_maps=True))))
 
 
 if __name__ == "__main__":
