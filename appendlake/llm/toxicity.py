@@ -114,7 +114,8 @@ def trained(rows: DataFrame, kept: int = 1024, fit_rows: int = 20_000, ridge: fl
     cut = rows.select(h.alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
     sample = rows.filter(h <= cut).select("text", "label")
     found = sample.mapInArrow(_finder(hashes), "label int, found array<int>").collect()
-    x = np.zeros((len(found), len(hashes)), np.float32)
+    x = np.zeros((len(found), len(hashes) + 1), np.float32)
+    x[:, -1] = 1
     for i, r in enumerate(found):
         x[i, r["found"]] = ratio[r["found"]]
     weights, bias = _logistic(x, np.array([r["label"] for r in found], float), ridge)
@@ -173,16 +174,19 @@ def _finder(hashes: np.ndarray):
 
 
 def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton steps; the bias is not shrunk."""
-    x = np.hstack([x, np.ones((len(x), 1), np.float32)])
+    """Ridge logistic regression by Newton steps; the last column, of ones, is hardly shrunk."""
     w = np.zeros(x.shape[1])
     shrink = np.full(x.shape[1], ridge)
     shrink[-1] = 1e-3
     for _ in range(25):
-        p = 1 / (1 + np.exp(-np.clip(x @ w, -30, 30)))
+        # In single precision throughout: a product with doubles would copy the matrix.
+        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30).astype(float)))
         r = np.maximum(p * (1 - p), 1e-6).astype(np.float32)
-        hessian = (x.T * r) @ x + np.diag(shrink)
-        step = np.linalg.solve(hessian, x.T @ (y - p) - shrink * w)
+        hessian = np.diag(shrink)
+        for at in range(0, len(x), 1024):
+            part = x[at : at + 1024]
+            hessian += (part.T * r[at : at + 1024]) @ part
+        step = np.linalg.solve(hessian, x.T @ (y - p).astype(np.float32) - shrink * w)
         w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-4:
             break
