@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from appendlake.functions import casts, guards, maps, paths
 from appendlake.operators import growth, labels, ledger, merge, sets
 from appendlake.operators.latest import latest
 from appendlake.queries.catalog import query, table
+from appendlake.session import persist_counted
 from appendlake.sources import options
 
 
@@ -308,13 +308,14 @@ def q_explode_outer(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
 )
 def q_union_by_name(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A merge in which no key matches: both sides by name, null where a side lacks a column."""
     customers = table(spark, sf_dir, "customer").selectExpr(
         "c_custkey as id", "c_name as name", "c_mktsegment as segment"
     )
     suppliers = table(spark, sf_dir, "supplier").selectExpr(
         "s_acctbal as balance", "s_suppkey as id", "s_name as name"
     )
-    return customers.unionByName(suppliers, allowMissingColumns=True)
+    return merge.merge(customers, suppliers, ["id", "name"])
 
 
 @query(
@@ -417,8 +418,9 @@ def q_stamp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select count(*) as n, count(*) = 0 as is_empty from lineitem")
 def q_count(spark: SparkSession, sf_dir: str) -> DataFrame:
-    n = F.count(F.lit(1))
-    return table(spark, sf_dir, "lineitem").agg(n.alias("n"), (n == 0).alias("is_empty"))
+    """The count that a write takes along."""
+    _, seen = persist_counted(table(spark, sf_dir, "lineitem"), "counted", n=F.count(F.lit(1)))
+    return spark.createDataFrame([(seen["n"], seen["n"] == 0)], "n bigint, is_empty boolean")
 
 
 @query("select distinct l_suppkey, l_returnflag from lineitem")
