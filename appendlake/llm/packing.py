@@ -20,8 +20,6 @@ from appendlake.session import persist_table
 
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 100_000
-KEPT_CHUNKS = 250_000
-TEXT_AT_ONCE = 1_500_000
 
 # Two blanks side by side: there the plain cut would not hold. And the mark itself.
 _BLANK = "\\t-\\r\\x1c-\\x1f \\x{85}\\x{a0}\\x{1680}\\x{2000}-\\x{200a}\\x{2028}\\x{2029}\\x{202f}\\x{205f}\\x{3000}"
@@ -38,11 +36,12 @@ class ChunkTokens:
     The same holds on both sides of a single line end.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, kept: int = 1_000_000):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.kept = kept
         self._forget()
 
     def _forget(self) -> None:
@@ -85,7 +84,7 @@ class ChunkTokens:
 
     def _numbers(self, chunks: list[str]) -> np.ndarray:
         """Numbers of distinct chunks; ``starts`` says where the ids of a number are."""
-        if len(self.number) > KEPT_CHUNKS:
+        if len(self.number) > self.kept:
             self._forget()
         new = [c for c in chunks if c not in self.number]
         for at in range(0, len(new), 10_000):
@@ -108,11 +107,13 @@ def _by_bytes(batch: pa.RecordBatch, at_once: int) -> Iterator[pa.RecordBatch]:
         at = end
 
 
-def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, with_ids: bool = True, id_col: str = "doc_id", text_col: str = "text", kept_chunks: int = 1_000_000, text_at_once: int = 8_000_000) -> DataFrame:
     """(``doc_id``, ``piece``, ``start``, ``length``, ``ids_crc32``[, ``ids``]) of every row.
 
     A document is its ids and then ``end_id``; a null text is empty, so it is one piece
-    of ``end_id`` alone. What is longer than ``capacity`` is cut into pieces of that
+    of ``end_id`` alone. A task keeps the ids of up to ``kept_chunks`` distinct chunks and
+    works on ``text_at_once`` bytes of text; less of both takes less memory and more time.
+    What is longer than ``capacity`` is cut into pieces of that
     length, of which the first takes the rest. Repeated rows and null doc_ids are pieces
     like others.
     """
@@ -120,9 +121,9 @@ def pieces(docs: DataFrame, path: str, capacity: int = 2048, end_id: int = 0, wi
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with memory_returned():
-            tokens = ChunkTokens(path)
+            tokens = ChunkTokens(path, kept_chunks)
             for batch in batches:
-                for part in _by_bytes(batch, TEXT_AT_ONCE):
+                for part in _by_bytes(batch, text_at_once):
                     ids, ends = tokens.of(part.column(1).cast(pa.string()))
                     rows: list[tuple] = []
                     start = 0
