@@ -97,8 +97,8 @@ def propagated(edges: DataFrame, seeds: DataFrame, walk: Walk) -> DataFrame:
 def judged(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, walk: Walk | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
     """(``page_id``, ``host``, ``path``, ``rule``, ``verdict``, ``trust``, ``distrust``) of every row.
 
-    A host whose pages the rules allow more often than not is a trusted seed, one whose
-    pages they block more often than not a blocked one, weighted by these pages. Pages
+    A host with a page that the rules allow is a trusted seed, one with a page that they
+    block a blocked one, and one with both is both, weighted by these pages. Pages
     without a rule get their host's verdict; a host that neither trust nor distrust
     reaches, and a page without a host, are allowed. Null urls and html are empty.
     """
@@ -108,10 +108,10 @@ def judged(pages: DataFrame, rules: tuple[tuple[str, str, str], ...] = RULES, wa
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     ruled = base.select("page_id", "host", "path", rule.alias("rule"), verdict.alias("verdict"))
     count = lambda v: F.count(F.when(F.col("verdict") == v, 1)).alias(v)
-    hosts = ruled.filter("host <> ''").groupBy("host").agg(F.count(F.lit(1)).alias("n"), count("allow"), count("block"))
+    hosts = ruled.filter("host <> ''").groupBy("host").agg(count("allow"), count("block"))
     hosts = persist_table(hosts, "hosts")
-    seeds = hosts.select("host", "allow", "block", F.when(F.col("allow") * 2 > F.col("n"), "trust").when(F.col("block") * 2 > F.col("n"), "distrust").alias("kind"))
-    seeds = seeds.filter("kind is not null").select("kind", "host", F.when(F.col("kind") == "trust", F.col("allow")).otherwise(F.col("block")).alias("pages"))
+    kinds = F.explode(F.create_map(F.lit("trust"), "allow", F.lit("distrust"), "block")).alias("kind", "pages")
+    seeds = hosts.select("host", kinds).filter("pages > 0")
     sums = {r["kind"]: r["pages"] for r in seeds.groupBy("kind").agg(F.sum("pages").alias("pages")).collect()}
     total = reduce(lambda c, k: F.when(F.col("kind") == k, float(sums[k])).otherwise(c), sums, F.lit(1.0))
     edges = persist_table(host_edges(base.select("host", "html"), hosts), "edges")

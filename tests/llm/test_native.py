@@ -146,6 +146,17 @@ def test_verdicts(spark, pages):
     assert hosts.judged(pages.limit(0)).count() == 0
 
 
+def test_hosts_with_few_ruled_pages_are_seeds(spark):
+    """One page in five has a rule: it still decides for the others of its host."""
+    rows = [(10 * h + i, f"http://{host}/{'xx' if i else ruled}/{i}") for h, (host, ruled) in enumerate((("example.com", "de"), ("a.org", "fr"))) for i in range(5)]
+    rows += [(20, "http://example.net/en/"), (21, "http://example.net/"), (22, "http://example.net/"), (23, "http://example.net")]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("html", F.lit(""))
+    got = {r.page_id: r for r in hosts.judged(pages).collect()}
+    assert {got[i].verdict for i in range(5)} == {"block"} and got[1].distrust > got[1].trust == 0
+    assert {got[i].verdict for i in range(10, 15)} == {"allow"} and got[11].trust > got[11].distrust == 0
+    assert got[23].trust > 0 and got[23].distrust > 0  # both kinds of pages, both kinds of seed
+
+
 def test_walk_is_personalised_pagerank(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c")]
     seeds = spark.createDataFrame([("trust", "a", 1.0), ("distrust", "c", 1.0)], "kind string, host string, weight double")
