@@ -16,6 +16,11 @@ from appendlake.session import persist_counted, persist_table
 RULES = (("block", "net", "/"), ("allow", "example.net", "/en/"), ("block", "example.com", "/de/"), ("allow", "org", "/fr/"))
 LINK = "(?i)\\b(?:href|src)\\s*=\\s*[\"']?\\s*(?:https?:)?//([^/?#\"'\\s>]+)"
 STEPS_SCALE = 1_000_000_000
+# An address is no chain of domains. Names longer than DNS allows have no parents.
+ADDRESS = "^(?:[0-9.]+|\\[.*)(?::[0-9]*)?$"
+LONGEST_NAME = 260
+# Below a country code these labels are registries, so a registered domain has three labels.
+REGISTRIES = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "or", "org")
 
 
 @dataclass(frozen=True)
@@ -54,16 +59,32 @@ def host_edges(pages: DataFrame, hosts: DataFrame) -> DataFrame:
     """Distinct (``a``, ``b``): host a links to host b, or one is the other without its first label.
 
     ``pages`` has ``host`` and ``html``. A subdomain and its parent vouch for each other.
+    The parents of a host, up to its registered domain, are nodes even if they have no
+    page, so siblings reach each other; what lies above that only if it has a page.
     """
     links = pages.select(F.col("host").alias("a"), F.explode(F.regexp_extract_all("html", F.lit(LINK), 1)).alias("b"))
     links = links.select("a", F.translate("b", ascii_uppercase, ascii_lowercase).alias("b"))
-    parent = F.regexp_replace("host", "^[^.]+\\.", "")
-    kin = hosts.select(F.col("host").alias("a"), parent.alias("b")).filter("a <> b")
-    kin = kin.join(hosts.select(F.col("host").alias("b")), "b", "left_semi").select("a", "b")
+    kin = kinship(hosts)
     both = kin.union(kin.select("b", "a"))
     return links.union(both).filter("a <> b and a <> '' and b <> ''").distinct()
 
 
+def kinship(hosts: DataFrame) -> DataFrame:
+    """(``a``, ``b``): each host and each of its parents with the next parent, see ``host_edges``."""
+    labels = F.split("host", "\\.")
+    named_ = hosts.filter(~F.col("host").rlike(ADDRESS) & (F.length("host") <= LONGEST_NAME)).select(labels.alias("labels"))
+    named_ = named_.filter(F.size("labels") > 1)
+    country = F.regexp_replace(F.element_at("labels", -1), ":[0-9]*$", "").rlike("^[a-z]{2}$")
+    registered = F.when(country & F.element_at("labels", -2).isin(*REGISTRIES), 3).otherwise(2)
+    at = F.explode(F.sequence(F.lit(2), F.size("labels"))).alias("at")
+    step = named_.select("labels", registered.alias("registered"), at)
+    left = lambda k: F.concat_ws(".", F.slice("labels", k, F.size("labels"))).alias("left")
+    step = step.select(left(F.col("at") - 1).alias("a"), left(F.col("at")).alias("b"), (F.size("labels") - F.col("at") + 1 >= F.col("registered")).alias("below"))
+    step = step.filter("a <> '' and b <> ''").distinct()
+    above = step.filter("not below").join(hosts.select(F.col("host").alias("b")), "b", "left_semi").select("a", "b")
+    return step.filter("below").select("a", "b").union(above)
+
+
 def propagated(edges: DataFrame, seeds: DataFrame, walk: Walk) -> DataFrame:
     """(``host``, ``trust``, ``distrust``): personalised PageRank from both kinds of seeds.
 

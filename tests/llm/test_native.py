@@ -157,6 +157,19 @@ def test_hosts_with_few_ruled_pages_are_seeds(spark):
     assert got[23].trust > 0 and got[23].distrust > 0  # both kinds of pages, both kinds of seed
 
 
+def test_siblings_pass_trust_without_a_page_of_their_parent(spark):
+    rows = [
+        (1, "http://a.x.example.com/de/"), (2, "http://b.x.example.com/"), (3, "http://c.example.com/"),
+        (4, "http://a.one.co.uk/"), (5, "http://b.two.co.uk/"), (6, "http://10.0.0.1/"), (7, "http://11.0.0.1/"), (8, "http://other.com/"),
+    ]
+    pages = spark.createDataFrame(rows, "page_id long, url string").withColumn("html", F.lit(""))
+    got = {r.page_id: (r.verdict, r.distrust > 0) for r in hosts.judged(pages).collect()}
+    assert got == {i: ("block", True) if i <= 3 else ("allow", False) for i in range(1, 9)}
+    names = spark.createDataFrame([("a.one.co.uk",), ("b.two.co.uk",), ("10.0.0.1",), ("11.0.0.1",), ("d.e.test",)], "host string")
+    got = {(r.a, r.b) for r in hosts.kinship(names).collect()}
+    assert got == {("a.one.co.uk", "one.co.uk"), ("b.two.co.uk", "two.co.uk"), ("d.e.test", "e.test")}
+
+
 def test_walk_is_personalised_pagerank(spark):
     edges = [("a", "b"), ("a", "c"), ("b", "c"), ("c", "a"), ("d", "c")]
     seeds = spark.createDataFrame([("trust", "a", 1.0), ("distrust", "c", 1.0)], "kind string, host string, weight double")
