@@ -25,7 +25,9 @@ REGISTRIES = ("ac", "co", "com", "edu", "go", "gov", "ne", "net", "or", "org")
 
 @dataclass(frozen=True)
 class Walk:
-    """``damping`` of the walks; they end when all scores together move by less than ``tolerance``.
+    """``damping`` of the walks; they end when all scores together move by less than
+    ``tolerance`` times their sum, or after ``most_steps``, but never while a step still
+    reaches new hosts.
 
     A host is blocked if its distrust is above ``threshold`` times its trust.
     """
@@ -100,17 +102,21 @@ def propagated(edges: DataFrame, seeds: DataFrame, walk: Walk) -> DataFrame:
     start = seeds.select("kind", "host", (F.col("weight") * (1 - walk.damping)).alias("start"))
     start = persist_table(start, "start")
     scores = start.withColumnRenamed("start", "score")
-    for _ in range(walk.most_steps):
+    step, reached = 0, -1
+    while True:
         share = scores.join(degree, ["kind", "host"]).select("kind", "host", (F.col("score") / F.col("degree") * walk.damping).alias("share"))
         passed = steps.join(share, ["kind", "host"]).select("kind", F.col("to").alias("host"), F.col("share").alias("score"), F.lit(0.0).alias("was"))
         kept = start.select("kind", "host", F.col("start").alias("score"), F.lit(0.0).alias("was"))
         before = scores.select("kind", "host", F.lit(0.0).alias("score"), F.col("score").alias("was"))
         summed = passed.union(kept).union(before).groupBy("kind", "host").agg(F.sum("score").alias("score"), F.sum("was").alias("was"))
-        moved = F.sum((F.abs(F.col("score") - F.col("was")) * STEPS_SCALE).cast("long"))
-        summed, seen = persist_counted(summed, "scores", moved=moved)
+        # Sums of doubles; only the two numbers that come out of them become integers.
+        moved = (F.try_divide(F.sum(F.abs(F.col("score") - F.col("was"))), F.sum("score")) * STEPS_SCALE).cast("long")
+        summed, seen = persist_counted(summed, "scores", moved=moved, hosts=F.count(F.lit(1)))
         scores = summed.select("kind", "host", "score")
-        if seen["moved"] < walk.tolerance * STEPS_SCALE:
+        step += 1
+        if seen["hosts"] == reached and (seen["moved"] < walk.tolerance * STEPS_SCALE or step >= walk.most_steps):
             break
+        reached = seen["hosts"]
     of = lambda kind: F.sum(F.when(F.col("kind") == kind, F.col("score")).otherwise(0.0)).alias(kind)
     return scores.groupBy("host").agg(of("trust"), of("distrust"))
 

@@ -183,3 +183,15 @@ def test_walk_is_personalised_pagerank(spark):
                 new[b] += 0.4 * score[a] / sum(x == a for x, _ in links)
             score = new
         assert {r.host: pytest.approx(r[column], abs=1e-4) for r in rows} == {r.host: score[r.host] for r in rows}
+
+
+def test_walk_goes_on_while_it_reaches_hosts(spark):
+    """A chain longer than ``most_steps``; and many hosts, each with a tiny score."""
+    chain = spark.createDataFrame([(f"h{i}", f"h{i + 1}") for i in range(8)], "a string, b string")
+    seeds = spark.createDataFrame([("trust", "h0", 1.0)], "kind string, host string, weight double")
+    got = {r.host: r.trust for r in hosts.propagated(chain, seeds, hosts.Walk(most_steps=3, tolerance=0.9)).collect()}
+    assert got == {f"h{i}": pytest.approx(0.15 * 0.85**i) for i in range(9)}
+    tiny = seeds.withColumn("weight", F.lit(1e-9))
+    ring = spark.createDataFrame([("h0", "h1"), ("h1", "h0")], "a string, b string")
+    got = {r.host: r.trust for r in hosts.propagated(ring, tiny, hosts.Walk(tolerance=1e-3)).collect()}
+    assert got["h0"] == pytest.approx(1e-9 * 0.15 / (1 - 0.85**2), rel=1e-2)
