@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from appendlake.llm import cws, hosts, mixing, packing, pii, sharding, simhash, token_counts, topk, toxicity
+from appendlake.llm import alignment, conversations, cws, hosts, mixing, packing, pii, sharding, simhash, token_counts, topk, toxicity, word_bpe
 from appendlake.llm.inputs import table
 
 
@@ -81,8 +81,29 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded(rows, ["doc_id", "text_crc32", "size"], 16).select("doc_id", "size", "text_crc32", law, "shard", "slot", grown)
 
 
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Groups and links of two tokenizers over all whole texts, and how common the links are."""
+    a, b = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+    rows = alignment.aligned(table(spark, sf_dir, "documents"), a, b)
+    digest = F.when(F.col("groups") == "", "").otherwise(F.sha2(F.col("groups").cast("binary"), 256))
+    return alignment.counted(rows.withColumn("groups_sha256", digest).drop("groups"))
+
+
+def op12_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations, damaged by checksum: faults, the cheapest repair, and the repaired text."""
+    rows = table(spark, sf_dir, "conversations")
+    return conversations.checked(rows, conversations.damaged(rows))
+
+
+def op13_word_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids of all whole texts and the texts they decode to."""
+    rows = word_bpe.coded(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+    digest = F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256")
+    return rows.select("doc_id", "n_tokens", F.sha2("ids", 256).alias("ids_sha256"), digest)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_toxicity, op5_topk, op6_token_counts, op7_fingerprints, op8_pii, op9_hosts, op10_sharding)
+    f.__name__: f for f in (op1_simhash, op2_packing, op3_mixing, op4_toxicity, op5_topk, op6_token_counts, op7_fingerprints, op8_pii, op9_hosts, op10_sharding, op11_alignment, op12_conversations, op13_word_bpe)
 }
 SQL: dict[str, str] = {
     "op5_topk": """
