@@ -3,6 +3,9 @@
 ``copies`` has a row per range that was tried. ``loads`` has one row per load, and that
 row, a single file, makes the load count. ``load_files`` has a row per load and file; it
 is written first, and rows without their load mean nothing.
+
+The loads of an entity are ordered by ``number``, which no clock decides and no two
+drivers can both take.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from pyspark.sql import types as T
 from appendlake.config import LakeConfig
 from appendlake.functions.guards import in_list_or_all
 from appendlake.operators.sets import absent_from
+from appendlake.sources.files import create_once
 
 _one_append_at_a_time = threading.Lock()
 
@@ -33,8 +37,8 @@ def _columns(**types: T.DataType) -> T.StructType:
 
 COPIES = _columns(path=TEXT, start=NUMBER, stop=NUMBER, target=TEXT, entity=TEXT, run=TIME, outcome=TEXT)
 LOADS = _columns(
-    load_id=TEXT, run=TIME, entity=TEXT, mode=TEXT, kind=TEXT, place=TEXT, live=T.BooleanType(),
-    rows_in=NUMBER, rows_bad=NUMBER, layout=TEXT, replaced=T.ArrayType(T.IntegerType()),
+    load_id=TEXT, number=NUMBER, run=TIME, started=TIME, ended=TIME, entity=TEXT, mode=TEXT, kind=TEXT, place=TEXT,
+    live=T.BooleanType(), rows_in=NUMBER, rows_bad=NUMBER, layout=TEXT, replaced=T.ArrayType(T.IntegerType()),
 )
 LOAD_FILES = _columns(load_id=TEXT, target=TEXT)
 
@@ -58,6 +62,30 @@ def ensure_logs(spark: SparkSession, config: LakeConfig) -> None:
             if config.log_root:
                 place = f" LOCATION '{config.log_root}/{name.rsplit('.', 1)[1]}'"
             spark.sql(f"CREATE TABLE {name} ({schema.toDDL()}) USING parquet{place}")
+        known = [c.name for c in spark.catalog.listColumns(name)]
+        added = T.StructType([f for f in schema.fields if f.name not in known])
+        if added.fields:  # a log of an earlier version
+            spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({added.toDDL()})")
+
+
+def log(spark: SparkSession, name: str) -> DataFrame:
+    """A log table as it is now: another session, a stream's for one, may have added rows."""
+    spark.catalog.refreshTable(name)
+    return spark.table(name)
+
+
+def take_number(spark: SparkSession, config: LakeConfig, entity: str) -> int:
+    """The number of a new load, above those of all logged ones.
+
+    A number is taken by making its file, which must not be there yet; the numbers of
+    loads that died stay unused. So numbers follow the order in which loads began.
+    """
+    own = log(spark, config.loads).where(F.col("entity") == entity)
+    last = own.agg(F.max("number")).first()[0] or 0
+    place = spark.sql(f"DESCRIBE TABLE EXTENDED {config.loads}").where("col_name = 'Location'").first()["data_type"]
+    while not create_once(spark, f"{place}/_numbers/{entity}/{last + 1:012d}"):
+        last += 1
+    return last + 1
 
 
 def append(rows: DataFrame, table: str) -> None:
@@ -73,7 +101,7 @@ def append(rows: DataFrame, table: str) -> None:
 
 def file_state(spark: SparkSession, config: LakeConfig, entities: Sequence[str] = ()) -> DataFrame:
     """Last copied byte per source file; failed copies do not count."""
-    return state_of(spark.table(config.copies).where(in_list_or_all(F.col("entity"), entities)))
+    return state_of(log(spark, config.copies).where(in_list_or_all(F.col("entity"), entities)))
 
 
 def state_of(copies: DataFrame) -> DataFrame:
@@ -85,13 +113,13 @@ def state_of(copies: DataFrame) -> DataFrame:
 def available(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:
     """Range files that were copied whole, each once: ``target``."""
     own = (F.col("entity") == entity) & (F.col("outcome") == DONE)
-    return spark.table(config.copies).where(own).select("target").distinct()
+    return log(spark, config.copies).where(own).select("target").distinct()
 
 
 def loaded(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:
     """Range files of the entity's loads, one row per load and file."""
-    loads = spark.table(config.loads).where(F.col("entity") == entity).select("load_id")
-    return spark.table(config.load_files).join(loads, "load_id", "left_semi").select("target")
+    loads = log(spark, config.loads).where(F.col("entity") == entity).select("load_id")
+    return log(spark, config.load_files).join(loads, "load_id", "left_semi").select("target")
 
 
 def pending(spark: SparkSession, config: LakeConfig, entity: str, mode: str = APPEND) -> DataFrame:

@@ -44,7 +44,7 @@ def load_entity(
 ) -> DataFrame:
     """Load the pending files of one entity and return the log rows; none without files.
 
-    ``options`` are those of ``load_files``.
+    ``options`` are those of ``load_rows``.
     """
     ledger.ensure_logs(spark, config)
     files = ledger.pending(spark, config, entity, mode)
@@ -59,6 +59,27 @@ def load_files(
     schema: T.StructType,
     sink: Sink,
     mode: str,
+    **options,
+) -> DataFrame:
+    """Read range files, write their rows to the sink, log the load; the options are those of ``load_rows``."""
+    files = persist_table(files.select("target"), f"{entity}-files")
+    # A scan takes its paths as a list; this is the one thing the driver gets.
+    paths = [literal(r[0]) for r in files.collect()]
+    if not paths:
+        return spark.createDataFrame([], ledger.LOADS)
+    every = records.read(spark, paths, schema, keep_corrupt=True)
+    return load_rows(spark, config, every, entity, sink, mode, files=files, **options)
+
+
+def load_rows(
+    spark: SparkSession,
+    config: LakeConfig,
+    every: DataFrame,
+    entity: str,
+    sink: Sink,
+    mode: str,
+    files: DataFrame | None = None,
+    load_id: str | None = None,
     with_labels: bool = False,
     language: int = DEFAULT_LANGUAGE,
     patch: Patch | None = None,
@@ -66,46 +87,37 @@ def load_files(
     run_ts: dt.datetime | None = None,
     update_log: bool = True,
 ) -> DataFrame:
-    """Read range files, write their rows to the sink, log the load.
+    """Write rows read with ``keep_corrupt`` to the sink and log the load.
 
-    Rows are counted by the write itself. The one row of ``loads``, written last by one
-    task as one file, is what makes the load count: if the run dies before it, the next run reads the same files again and
-    the folder written so far is never looked at. A load whose rows were all
-    filtered away is logged too, so that its files are not read again.
+    The number of rows is taken from what was written, so it needs no plan to stay whole.
+    The one row of ``loads``, written last by one task as one file, is what makes the load
+    count: if the run dies before it, the next run reads the same files again and the
+    folder written so far is never looked at. A load whose rows were all filtered away is
+    logged too, so that its files are not read again.
     """
-    run_ts = run_ts or dt.datetime.now(dt.timezone.utc)
-    files = persist_table(files.select("target"), f"{entity}-files")
-    # A scan takes its paths as a list; this is the one thing the driver gets.
-    paths = [literal(r[0]) for r in files.collect()]
-    if not paths:
-        return spark.createDataFrame([], ledger.LOADS)
+    started = dt.datetime.now(dt.timezone.utc)
+    run_ts = run_ts or started
+    number = ledger.take_number(spark, config, entity)
     seen = Observation(f"load-{uuid.uuid4().hex}")
-    every = records.read(spark, paths, schema, keep_corrupt=True)
     keep = date_condition(every, guard_columns)
     # The counting stands between parsing and filter, so each value is parsed once:
     # a filter right after the parsing would move below it and parse again.
-    rows = (
-        every.observe(
-            seen,
-            F.count_if(keep).alias("row_count"),
-            F.count_if(keep & F.col(records.CORRUPT)).alias("corrupt_count"),
-        )
-        .where(keep)
-        .drop(records.CORRUPT)
-    )
+    bad = F.count_if(keep & F.col(records.CORRUPT)).alias("bad")
+    rows = every.observe(seen, bad).where(keep).drop(records.CORRUPT)
     if with_labels:
         rows = enrich(rows, read_labels(spark, config.option_path(entity), entity, language, patch))
-    written = sink.write(rows, entity, mode, run_ts)
-    counts = metrics_of(seen)
-    kept = counts.get("row_count", 0)
-    load_id = uuid.uuid4().hex
+    written = sink.write(rows, entity, mode, run_ts, number)
+    # Without rows there is no bad one, and Spark may have dropped the plan with the counter.
+    bad_rows = metrics_of(seen)["bad"] if written.rows else 0
+    load_id = load_id or uuid.uuid4().hex
     row = (
-        load_id, run_ts, entity, mode, sink.destination_type, written.destination,
-        kept > 0, kept, counts.get("corrupt_count", 0), written.layout(), written.buckets,
+        load_id, number, run_ts, started, dt.datetime.now(dt.timezone.utc), entity, mode, sink.destination_type,
+        written.destination, written.rows > 0, written.rows, bad_rows, written.layout(), written.buckets,
     )
     load = spark.createDataFrame([row], ledger.LOADS).coalesce(1)
     if update_log:
-        ledger.append(files.select(F.lit(load_id).alias("load_id"), "target"), config.load_files)
+        if files is not None:
+            ledger.append(files.select(F.lit(load_id).alias("load_id"), "target"), config.load_files)
         ledger.append(load, config.loads)
     return load
 

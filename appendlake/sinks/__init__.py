@@ -15,7 +15,7 @@ from appendlake.sinks.versions import VersionedSink
 class Sink(Protocol):
     destination_type: str
 
-    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written: ...
+    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime, number: int) -> Written: ...
 
 
 __all__ = ["CatalogTableSink", "RunFolderSink", "Sink", "VersionedSink", "Written"]

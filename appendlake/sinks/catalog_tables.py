@@ -13,7 +13,7 @@ from appendlake.config import KEY_COLUMNS
 from appendlake.operators.labels import quoted
 from appendlake.operators.ledger import FULL, UPSERT
 from appendlake.session import persist_table
-from appendlake.sinks.run_folders import Written
+from appendlake.sinks.run_folders import Written, run_stamp
 
 
 class CatalogTableSink:
@@ -30,14 +30,14 @@ class CatalogTableSink:
         self.provider = provider
         self.keys = list(keys)
 
-    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
+    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime, number: int) -> Written:
         spark, name = df.sparkSession, f"{self.schema}.{quoted(entity)}"
         spark.sql(f"CREATE SCHEMA IF NOT EXISTS {self.schema}")
-        if mode == FULL:
-            # Staged, so that a load whose rows were all filtered away leaves the table as it is.
-            df = persist_table(df, f"{entity}-full")
+        # Staged: parsed once, counted, and a full load without rows leaves the table as it is.
+        df = persist_table(df, f"{entity}-rows")
+        rows = df.count()
         writer = df.write.format(self.provider)
-        if mode == FULL and df.isEmpty():
+        if mode == FULL and not rows:
             pass
         elif mode == FULL:
             writer.mode("overwrite").option("overwriteSchema", "true").saveAsTable(name)
@@ -47,4 +47,4 @@ class CatalogTableSink:
             merge.withSchemaEvolution().whenMatched().updateAll().whenNotMatched().insertAll().merge()
         else:
             writer.mode("append").option("mergeSchema", "true").saveAsTable(name)
-        return Written(name, f"{run_ts:%Y%m%d_%H%M%S_%f}", df.schema)
+        return Written(name, run_stamp(run_ts, number), df.schema, rows=rows)

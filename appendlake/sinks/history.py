@@ -9,13 +9,15 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from appendlake.config import LakeConfig
-from appendlake.operators.ledger import FULL
+from appendlake.operators.ledger import FULL, log
 
 
 def runs(spark: SparkSession, config: LakeConfig, entity: str, kind: str) -> list[dict]:
     """Live runs from the last full load on, oldest first: one row per load, in one pass over the log."""
-    log = spark.table(config.loads).where((F.col("entity") == entity) & (F.col("kind") == kind) & F.col("live"))
-    rows = sorted(log.select("run", "mode", "place", "layout", "replaced").collect(), key=lambda r: (r["run"], r["place"]))
+    own = log(spark, config.loads).where((F.col("entity") == entity) & (F.col("kind") == kind) & F.col("live"))
+    rows = own.select("number", "run", "mode", "place", "layout", "replaced").collect()
+    # Logs of an earlier version have no numbers; their loads came first.
+    rows.sort(key=lambda r: (r["number"] or 0, r["run"], r["place"]))
     last_full = max((i for i, r in enumerate(rows) if r["mode"] == FULL), default=0)
     return [{"mode": r["mode"], "place": r["place"], "replaced": r["replaced"] or []} | json.loads(r["layout"]) for r in rows[last_full:]]
 

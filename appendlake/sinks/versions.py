@@ -19,7 +19,7 @@ from appendlake.operators.ledger import FULL, UPSERT
 from appendlake.operators.merge import bucket_of, merge
 from appendlake.session import persist_table
 from appendlake.sinks import history
-from appendlake.sinks.run_folders import Written
+from appendlake.sinks.run_folders import Written, run_stamp, written_rows
 from appendlake.sources.files import literal
 
 # Folder columns; named so that an entity has none of the same name.
@@ -33,7 +33,7 @@ class VersionedSink:
         self.config = config
         self.keys = list(keys)
 
-    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime) -> Written:
+    def write(self, df: DataFrame, entity: str, mode: str, run_ts: dt.datetime, number: int) -> Written:
         spark = df.sparkSession
         known = [k for k in self.keys if k in df.columns]
         keys = known if len(known) == len(self.keys) else []
@@ -45,19 +45,23 @@ class VersionedSink:
         if live and live[0]["keys"] != keys:
             raise ValueError(f"{entity} is bucketed by {live[0]['keys'] or 'all columns'}, not by {keys or 'all columns'}")
         history.refuse_type_change(live, df.schema)
-        rows, touched = df.withColumn(BUCKET, bucket_of(keys or df.columns, count)), []
+        rows, touched, kept = df.withColumn(BUCKET, bucket_of(keys or df.columns, count)), [], None
         if live and mode == UPSERT:
             # The source is used several times, so it is parsed once and staged.
             rows = persist_table(rows, f"{entity}-source")
+            kept = rows.count()
             touched = sorted(r[0] for r in rows.select(BUCKET).distinct().collect())
             target = _scan(spark, self.config, entity, live).where(F.col(BUCKET).isin(touched))
             merged = merge(target.drop(RUN, BUCKET), rows.drop(BUCKET), self.keys)
             rows = merged.withColumn(BUCKET, bucket_of(self.keys, count))
-        run_id = f"{run_ts:%Y%m%d_%H%M%S_%f}"
+        run_id = run_stamp(run_ts, number)
         destination = f"{self.config.table_root}/{entity}/{RUN}={run_id}"
         # Rebalancing makes files of even size per bucket and splits a large bucket.
         rows.hint("rebalance", BUCKET).write.partitionBy(BUCKET).parquet(destination)
-        return Written(destination, run_id, rows.drop(BUCKET).schema, touched, count, keys)
+        schema = rows.drop(BUCKET).schema
+        if kept is None:
+            kept = written_rows(spark, destination, schema)
+        return Written(destination, run_id, schema, touched, count, keys, kept)
 
 
 def live_runs(spark: SparkSession, config: LakeConfig, entity: str) -> list[dict]:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import os
 import re
 import uuid
 from collections.abc import Iterator
 
 import pyarrow.fs as pafs
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
 
 
 # Schemes as pyarrow names them, and where a mounted volume lies for tasks.
@@ -43,6 +46,28 @@ def literal(path: str) -> str:
     return re.sub(r"([\\*?\[\]{}])", r"\\\1", path)
 
 
+def create_once(spark: SparkSession, path: str) -> bool:
+    """Make an empty file; false if it is there already, however many try at the same time."""
+    fs, inner = open_file_system(path)
+    if isinstance(fs, pafs.LocalFileSystem):
+        os.makedirs(os.path.dirname(inner), exist_ok=True)
+        try:
+            os.close(os.open(inner, os.O_CREAT | os.O_EXCL | os.O_WRONLY))
+        except FileExistsError:
+            return False
+        return True
+    jvm = spark.sparkContext._jvm
+    place = jvm.org.apache.hadoop.fs.Path(path)
+    store = place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        store.create(place, False).close()
+    except Py4JJavaError:
+        if not store.exists(place):
+            raise
+        return False
+    return True
+
+
 def read_blocks(path: str, start: int, end: int, block_bytes: int) -> Iterator[bytes]:
     """The bytes ``[start, end)`` in blocks; fewer bytes than asked for is an error."""
     fs, inner = open_file_system(path)

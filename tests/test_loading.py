@@ -2,6 +2,7 @@ import dataclasses
 import datetime as dt
 import json
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 from pyspark.sql import functions as F
@@ -57,7 +58,7 @@ def expected(*groups):
 def test_run_folders(spark, lake, step):
     sink = RunFolderSink(lake)
     log = step(text(range(4)), sink).first()
-    assert log.place.endswith("/tables/acc/acc_20240101_000100.parquet")
+    assert log.place.endswith("/tables/acc/acc_20240101_000100_000001.parquet")
     assert (log.kind, log.rows_in, log.rows_bad) == ("PATH", 4, 0)
     step(text(range(4, 6)), sink)
     rows = current_run_folders(spark, lake, "acc")
@@ -121,13 +122,61 @@ def test_a_run_that_died_before_its_log_row_is_not_read(spark, lake, step, monke
     assert names(current(spark, lake, "acc")) == expected((range(8), "n"))
 
 
-def test_rows_beyond_the_cutoff(spark, lake, step):
-    sink = VersionedSink(lake)
-    step(text(range(3)), sink)
+@pytest.mark.parametrize("make", [VersionedSink, RunFolderSink, lambda c: CatalogTableSink(c.log_schema, "parquet")])
+@pytest.mark.parametrize("empty_first", [True, False])
+def test_rows_beyond_the_cutoff(spark, lake, step, make, empty_first):
+    sink = make(lake)
     # All rows are filtered away: logged with no rows, and not read again.
-    assert step(text(range(3, 5), year=2300), sink).first().rows_in == 0
-    assert ledger.pending(spark, lake, "acc").count() == 0
-    assert current(spark, lake, "acc").count() == 3
+    bodies = [(text(range(3, 5), year=2300), 0), (text(range(3)), 3)]
+    for body, rows in bodies if empty_first else reversed(bodies):
+        log = step(body, sink).first()
+        assert (log.rows_in, log.live, log.rows_bad) == (rows, rows > 0, 0)
+        assert ledger.pending(spark, lake, "acc").count() == 0
+    if isinstance(sink, VersionedSink):
+        assert step(text([1], year=2300), sink, "upsert").first().rows_in == 0
+        assert current(spark, lake, "acc").count() == 3
+
+
+def test_a_stream_batch_beyond_the_cutoff(spark, lake, put, tmp_path):
+    for second, mode in enumerate(("append", "upsert")):
+        put("acc", "p.csv", text(range(3), year=2300))
+        copy_growth(spark, lake, ["acc"], run_ts=START + dt.timedelta(seconds=second))
+        stream_load(spark, lake, "acc", SCHEMA, VersionedSink(lake), str(tmp_path / "state"), mode).awaitTermination()
+        assert ledger.pending(spark, lake, "acc").count() == 0, mode
+    assert [r.rows_in for r in spark.table(lake.loads).collect()] == [0, 0]
+
+
+def test_loads_are_ordered_by_their_number(spark, lake, put):
+    """The clock steps back between two upserts; a second load in the same second has a folder of its own."""
+    days = [dt.timedelta(days=d) for d in (0, 2, 1, 1)]
+    for i, name in enumerate(("first", "second", "third", "fourth")):
+        put("acc", "p.csv", text([1], name))
+        copy_growth(spark, lake, ["acc"], run_ts=START + days[i])
+        log = load_entity(spark, lake, "acc", SCHEMA, VersionedSink(lake), "upsert", run_ts=START + days[i]).first()
+        assert log.number == i + 1 and log.started <= log.ended
+        assert names(current(spark, lake, "acc")) == [("id1", f"{name}1")]
+    for _ in range(2):
+        load_entity(spark, lake, "acc", SCHEMA, RunFolderSink(lake), "full", run_ts=START)
+    assert current_run_folders(spark, lake, "acc").count() == 4
+
+
+def test_a_number_is_taken_once(spark, lake):
+    with ThreadPoolExecutor(8) as pool:
+        taken = list(pool.map(lambda _: ledger.take_number(spark, lake, "acc"), range(16)))
+    assert sorted(taken) == list(range(1, 17))
+    assert ledger.take_number(spark, lake, "other") == 1
+
+
+def test_logs_of_an_earlier_version(spark, lake, step):
+    step(text([1]), VersionedSink(lake))
+    old = spark.table(lake.loads).drop("number", "started", "ended")
+    rows = old.collect()
+    spark.sql(f"drop table {lake.loads}")
+    place = f"{lake.log_root}/old-loads"
+    spark.createDataFrame(rows, old.schema).write.parquet(place)
+    spark.sql(f"create table {lake.loads} ({old.schema.toDDL()}) using parquet location '{place}'")
+    step(text([1], "m"), VersionedSink(lake), "upsert")
+    assert names(current(spark, lake, "acc")) == [("id1", "m1")]
 
 
 def test_a_full_load_without_rows_keeps_the_table(spark, lake, step, monkeypatch):
