@@ -4,10 +4,10 @@ from __future__ import annotations
 
 import os
 import re
-from bisect import bisect_left
-from collections.abc import Iterator, Sequence
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
-from itertools import accumulate
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -29,38 +29,46 @@ ENTRY_BYTES = 400  # what a remembered chunk costs beside its content
 LOW = 20  # bits of a B id in the key of a pair
 
 
-def common_ends(a: Sequence[int], b: Sequence[int]) -> list[tuple[int, int]]:
-    """(place in ``a``, place in ``b``) of every number that both ascending lists hold.
+def common_ends(a: np.ndarray, b: np.ndarray, start_a: np.ndarray, start_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(places in ``a``, places in ``b``) of every number that both ascending lists hold.
 
-    The shorter list drives: each of its numbers is looked for in the longer one from
-    where the last search ended, in steps that double until the number is passed, and
-    then by halving the last step.
+    The shorter list drives. Each of its numbers is looked for in the longer one from a
+    place known to lie before it (``start_b`` for each number of ``a``, ``start_a`` for each of
+    ``b``), in steps that double until the number is passed, and then by halving the last
+    step. All numbers search at the same time.
     """
     swap = len(a) > len(b)
-    short, long = (b, a) if swap else (a, b)
-    found = []
-    low, size = 0, len(long)
-    for i, value in enumerate(short):
-        step, high = 1, low
-        while high < size and long[high] < value:
-            low = high + 1
-            high += step
-            step *= 2
-        low = bisect_left(long, value, low, min(high, size))
-        if low == size:
-            break
-        if long[low] == value:
-            found.append((low, i) if swap else (i, low))
-            low += 1
-    return found
-
-
-def groups(a: Sequence[int], b: Sequence[int], ends: list[tuple[int, int]]) -> Iterator[tuple[Sequence[int], Sequence[int]]]:
-    """The tokens of both sides between neighbouring common ends: as many as the places differ."""
-    i = j = 0
-    for x, y in ends:
-        yield a[i : x + 1], b[j : y + 1]
-        i, j = x + 1, y + 1
+    short, long, low = (b, a, start_a.copy()) if swap else (a, b, start_b.copy())
+    if not len(short):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    high, step, left = low.copy(), 1, np.arange(len(short))
+    padded = np.append(long, np.iinfo(np.int64).max)
+    while len(left):
+        left = left[padded[high[left]] < short[left]]
+        low[left] = high[left] + 1
+        high[left] = np.minimum(high[left] + step, len(long))
+        step *= 2
+    left = np.flatnonzero(low < high)
+    while len(left):
+        middle = (low[left] + high[left]) // 2
+        less = padded[middle] < short[left]
+        low[left[less]] = middle[less] + 1
+        high[left[~less]] = middle[~less]
+        left = left[low[left] < high[left]]
+    hit = padded[low] == short
+    places = np.flatnonzero(hit)
+    return (low[hit], places) if swap else (places, low[hit])
+
+
+def groups(ids_a: np.ndarray, ids_b: np.ndarray, at_a: np.ndarray, at_b: np.ndarray) -> pa.Array:
+    """``a1,a2|b1`` of the tokens between neighbouring common ends: as many of a side as its places differ."""
+
+    def joined(ids: np.ndarray, at: np.ndarray) -> pa.Array:
+        shown = pa.array(ids).cast(pa.string())
+        offsets = np.concatenate([[0], at + 1]).astype(np.int32)
+        return pc.binary_join(pa.ListArray.from_arrays(pa.array(offsets), shown), ",")
+
+    return pc.binary_join_element_wise(joined(ids_a, at_a), joined(ids_b, at_b), "|")
 
 
 class Aligner:
@@ -93,50 +101,69 @@ class Aligner:
             raise ValueError(f"{path_b}: more than 2 to the {LOW} pieces")
         chars = byte_chars()
         vocab = self.a.get_vocab(with_added_tokens=False)
-        self.bytes_a = {i: bytes(chars[c] for c in s) for s, i in vocab.items() if set(s) <= set(chars)}
-        self.bytes_b = {
-            i: bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE else p.piece.replace(SPACE, " ").encode()
-            for i, p in enumerate(model.pieces)
-            if p.type in (PLAIN, BYTE)
-        }
+        # The bytes of each id; none for ids that stand for no text.
+        self.bytes_a = [b""] * (max(vocab.values()) + 1)
+        for spelling, i in vocab.items():
+            self.bytes_a[i] = bytes(chars[c] for c in spelling) if set(spelling) <= set(chars) else b""
+        self.bytes_b = [
+            bytes([int(p.piece[1:-1], 16)]) if p.type == BYTE else p.piece.replace(SPACE, " ").encode() if p.type == PLAIN else b""
+            for p in model.pieces
+        ]
+        self.length_a, self.length_b = (np.array(list(map(len, side)), np.int64) for side in (self.bytes_a, self.bytes_b))
         self.kept_bytes = kept_bytes
         self._forget()
 
     def _forget(self) -> None:
         self.number: dict[str, int] = {}
-        self.shown: list[bytes] = []
-        self.sizes: list[tuple[int, int, int]] = []  # tokens of A, of B (-1: not the chunk's bytes), groups
-        self.links: list[int] = []
-        self.link_starts: list[int] = [0]
+        self.shown: list[str] = []
+        # Tokens of A, tokens of B and groups of each chunk; whether its bytes are spelled.
+        self.sizes = array("q")
+        self.spelled = array("b")
+        self.links, self.link_starts = array("q"), array("q", [0])
         self.used = 0
 
-    def align(self, text: str, a: list[int], b: list[int]) -> list[tuple[int, int]] | None:
-        """The common ends of two encodings of a space and ``text``; none at all if they spell other bytes."""
-        parts_a, parts_b = [self.bytes_a.get(i, b"") for i in a], [self.bytes_b.get(i, b"") for i in b]
-        whole = (" " + text).encode()
-        if b"".join(parts_a) != whole or b"".join(parts_b) != whole:
-            return None
-        return common_ends(list(accumulate(map(len, parts_a))), list(accumulate(map(len, parts_b))))
+    def encoded(self, chunks: list[str]) -> tuple[list[list[int]], list[list[int]], np.ndarray]:
+        """Ids of both sides, and whether both spell a space and the chunk; no ids where they do not."""
+        side_a = [e.ids for e in self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)]
+        side_b = self.b.encode(chunks, num_threads=1)
+        good = np.ones(len(chunks), bool)
+        whole = [(" " + c).encode() for c in chunks]
+        for side, spelling in ((side_a, self.bytes_a), (side_b, self.bytes_b)):
+            spell = spelling.__getitem__
+            if b"".join([spell(i) for ids in side for i in ids]) != b"".join(whole):
+                good &= [b"".join(map(spell, ids)) == w for ids, w in zip(side, whole)]
+        # The parts of equal joined bytes could still differ from chunk to chunk.
+        size = np.fromiter(map(len, whole), np.int64, len(whole))
+        for side, lengths in ((side_a, self.length_a), (side_b, self.length_b)):
+            ids, ends = _flat(side)
+            total = np.concatenate([[0], np.cumsum(lengths[ids])])
+            good &= np.diff(total[ends], prepend=0) == size
+        for i in np.flatnonzero(~good).tolist():
+            side_a[i], side_b[i] = [], []
+        return side_a, side_b, good
 
     def _learn(self, chunks: list[str]) -> None:
-        coded_a = self.a.encode_batch_fast([" " + c for c in chunks], add_special_tokens=False)
-        coded_b = self.b.encode(chunks, num_threads=1)
-        for chunk, found, b in zip(chunks, coded_a, coded_b):
-            a = found.ids
-            ends = self.align(chunk, a, b)
-            self.number[chunk] = len(self.shown)
-            if ends is None:
-                self.shown.append(b"")
-                self.sizes.append((0, -1, 0))
-            else:
-                cut = [",".join(map(str, x)) + "|" + ",".join(map(str, y)) for x, y in groups(a, b, ends)]
-                self.shown.append(";".join(cut).encode())
-                self.sizes.append((len(a), len(b), len(cut)))
-                self.links.extend([a[i] << LOW | b[j] for i, j in ends])
-            self.link_starts.append(len(self.links))
-            self.used += 4 * len(chunk) + len(self.shown[-1]) + 40 * len(ends or ()) + ENTRY_BYTES
-
-    def of(self, texts: pa.Array) -> tuple[np.ndarray, list[bytes], np.ndarray, np.ndarray]:
+        """Remember sizes, groups and links of new chunks, which are aligned on one axis of bytes."""
+        side_a, side_b, good = self.encoded(chunks)
+        (ids_a, ends_a), (ids_b, ends_b) = _flat(side_a), _flat(side_b)
+        bytes_a, bytes_b = np.cumsum(self.length_a[ids_a]), np.cumsum(self.length_b[ids_b])
+        n_a, n_b = np.diff(ends_a, prepend=0), np.diff(ends_b, prepend=0)
+        at_a, at_b = common_ends(bytes_a, bytes_b, np.repeat(ends_a - n_a, n_b), np.repeat(ends_b - n_b, n_a))
+        shown = groups(ids_a, ids_b, at_a, at_b)
+        # A chunk ends with a common end, so its groups are those up to its last token.
+        last = np.searchsorted(at_a, ends_a - 1, side="right")
+        per_chunk = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], last]).astype(np.int32)), shown)
+        first = len(self.shown)
+        self.number.update(zip(chunks, range(first, first + len(chunks))))
+        new = pc.binary_join(per_chunk, ";").to_pylist()
+        self.shown += new
+        self.sizes.frombytes(np.stack([n_a, n_b, np.diff(last, prepend=0)], axis=1).astype(np.int64).tobytes())
+        self.spelled.frombytes(good.astype(np.int8).tobytes())
+        self.links.frombytes((ids_a[at_a] << LOW | ids_b[at_b]).astype(np.int64).tobytes())
+        self.link_starts.frombytes((last + self.link_starts[-1]).astype(np.int64).tobytes())
+        self.used += 4 * sum(map(len, chunks)) + sum(map(len, new)) + 8 * len(at_a) + ENTRY_BYTES * len(chunks)
+
+    def of(self, texts: pa.Array) -> tuple[np.ndarray, list[str], np.ndarray, np.ndarray]:
         """(rows of tokens of A, of B and groups; shown groups; links as pair keys; the end of each text's links)."""
         odd = pc.match_substring_regex(texts, ODD).to_numpy(zero_copy_only=False)
         lists = pc.split_pattern(texts, " ")
@@ -156,25 +183,29 @@ class Aligner:
         for at in range(0, len(new), 5_000):
             self._learn(new[at : at + 5_000])
         numbers = np.fromiter(map(self.number.__getitem__, distinct), np.int64, len(distinct))
-        own_sizes = np.array([self.sizes[n] for n in numbers.tolist()], np.int64).reshape(-1, 3)
-        own_starts = np.array([self.link_starts[n] for n in numbers.tolist()], np.int64)
+        own_sizes = np.frombuffer(self.sizes, np.int64).reshape(-1, 3)
+        own_starts, own_links = np.frombuffer(self.link_starts, np.int64), np.frombuffer(self.links, np.int64)
         own_counts = own_sizes[:, 2]
-        which = coded.indices.to_numpy()
+        which = numbers[coded.indices.to_numpy()]
         ends = np.cumsum(counts)
-        bad = np.concatenate([[0], np.cumsum(own_sizes[which, 1] < 0)])
+        bad = np.concatenate([[0], np.cumsum(np.frombuffer(self.spelled, np.int8)[which] == 0)])
         good = (bad[ends] == bad[ends - counts]) & (pc.binary_length(texts).to_numpy(zero_copy_only=False) > 0)
         sizes = np.concatenate([np.zeros((1, 3), np.int64), np.cumsum(own_sizes[which], axis=0)])
         sizes = np.where(good[:, None], sizes[ends] - sizes[ends - counts], 0)
-        shown = [self.shown[n] for n in numbers.tolist()]
-        texts_shown = [b";".join([shown[i] for i in which[e - c : e].tolist()]) if ok else b"" for e, c, ok in zip(ends.tolist(), counts.tolist(), good.tolist())]
+        shown = self.shown
+        texts_shown = [";".join([shown[i] for i in which[e - c : e].tolist()]) if ok else "" for e, c, ok in zip(ends.tolist(), counts.tolist(), good.tolist())]
         which = which[np.repeat(good, counts)]
         # The links of all chunks, one after another.
         n = own_counts[which]
         total = np.concatenate([[0], np.cumsum(n)])
         at = np.repeat(own_starts[which] - total[:-1], n) + np.arange(total[-1])
-        known, back = np.unique(at, return_inverse=True)
-        links = np.array([self.links[i] for i in known.tolist()], np.int64)[back] if len(known) else at
-        return sizes, texts_shown, links, np.cumsum(sizes[:, 2])
+        return sizes, texts_shown, own_links[at], np.cumsum(sizes[:, 2])
+
+
+def _flat(lists: list[list[int]]) -> tuple[np.ndarray, np.ndarray]:
+    """All numbers of the lists, and the end of each list."""
+    ends = np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))
+    return np.fromiter(chain.from_iterable(lists), np.int64, int(ends[-1]) if len(ends) else 0), ends
 
 
 @lru_cache(maxsize=2)
@@ -218,7 +249,7 @@ def _aligned_batch(own: Aligner, part: pa.RecordBatch) -> pa.RecordBatch:
     structs = pa.StructArray.from_arrays(fields, ["a", "b", "uses"])
     numbers = [pa.array(sizes[:, i]) for i in (0, 1, 2, 2)]
     return pa.RecordBatch.from_arrays(
-        [part.column(0), *numbers, pa.array(shown, pa.binary()).cast(pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)],
+        [part.column(0), *numbers, pa.array(shown, pa.string()), pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), structs)],
         ["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "links"],
     )
 

@@ -74,5 +74,5 @@ def test_stages_of_no_documents(spark, folder, name):
 
 def test_registered():
     names = list(contract.queries())
-    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in names if n.startswith("op")] == [f"op{i}" for i in range(1, 14)]
     assert "pipeline" in names
