@@ -20,6 +20,9 @@ from appendlake.llm.packing import _by_bytes
 
 LAST = 256  # a symbol is a byte of a word, plus this if it is the word's last and the file marks ends
 STOP = 512  # stands between words
+NONE = 1 << 60  # rank of a pair that no merge joins
+SHORT = 48  # symbols of a word that is merged by looking for the least rank each time
+PLAIN_FORM = ["NFC", "Replace", "Lowercase"]
 ENTRY_BYTES = 200  # what a remembered chunk costs beside its content
 
 
@@ -51,15 +54,17 @@ class Merges:
                     raise ValueError(f"no token for byte {byte}")
                 self.symbol[at] = vocab[name]
                 parts[vocab[name]] = (at,)
-        self.made: dict[tuple[int, int], tuple[int, int]] = {}
+        self.rank_of: dict[int, int] = {}
+        self.token_of: list[int] = []
         for rank, (a, b) in enumerate(merges):
             x, y, new = vocab[a], vocab[b], vocab[a + b]
             if new in parts or x not in parts or y not in parts:
                 raise ValueError(f"merge {rank} is not the one merge of its token, after those of its parts")
             parts[new] = parts[x] + parts[y]
             self.rank[new], self.left[new], self.right[new] = rank, x, y
-            self.made[x, y] = (rank, new)
-        pairs = sorted((x * size + y, rank) for (x, y), (rank, _) in self.made.items())
+            self.rank_of[x * size + y] = rank
+            self.token_of.append(new)
+        pairs = sorted(self.rank_of.items())
         self.pair_key = np.array([k for k, _ in pairs], np.int64)
         self.pair_rank = np.array([r for _, r in pairs], np.int64)
         self._grow_trie(parts)
@@ -93,16 +98,16 @@ class Merges:
         """Rank of the merge of each pair; a number above all ranks if there is none."""
         key = x * self.size + y
         at = np.minimum(np.searchsorted(self.pair_key, key), len(self.pair_key) - 1)
-        return np.where(self.pair_key[at] == key, self.pair_rank[at], np.iinfo(np.int64).max)
+        return np.where(self.pair_key[at] == key, self.pair_rank[at], NONE)
 
     def compatible(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether merging leaves token ``a`` before token ``b`` as the two tokens."""
-        none = np.full(len(a), np.iinfo(np.int64).max)
+        none = np.full(len(a), NONE)
         return self._apart(a.copy(), b.copy(), none, none.copy())
 
     def _merged_apart(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         """Whether no merge joins ends of ``a`` and ``b`` before both are whole."""
-        top = np.full(len(a), np.iinfo(np.int64).max)
+        top = np.full(len(a), NONE)
         x, y, until_x, until_y = a.copy(), b.copy(), top.copy(), top.copy()
         self._undo(x, y, until_x, until_y, np.arange(len(a)))
         out = np.ones(len(a), bool)
@@ -131,7 +136,7 @@ class Merges:
         rows = np.arange(len(x))
         while len(rows):
             across = self._ranks(x[rows], y[rows])
-            joined = (across < until_x[rows]) & (across <= until_y[rows]) & (across < np.iinfo(np.int64).max)
+            joined = (across < until_x[rows]) & (across <= until_y[rows]) & (across < NONE)
             out[rows[joined]] = False
             rows = rows[~joined]
             rows = rows[(self.rank[x[rows]] >= 0) | (self.rank[y[rows]] >= 0)]
@@ -177,26 +182,42 @@ class Merges:
 
     def merged(self, tokens: list[int]) -> list[int]:
         """Exact merging of one word's symbol tokens: the lowest rank first, of equal ones the leftmost."""
-        tokens = list(tokens)
+        if len(tokens) > SHORT:
+            return self._merged_long(tokens)
+        tokens, size, rank_of = list(tokens), self.size, self.rank_of
+        ranks = [rank_of.get(a * size + b, NONE) for a, b in zip(tokens, tokens[1:])]
+        while ranks and (least := min(ranks)) != NONE:
+            i = ranks.index(least)
+            tokens[i : i + 2] = [self.token_of[least]]
+            del ranks[i]
+            if i:
+                ranks[i - 1] = rank_of.get(tokens[i - 1] * size + tokens[i], NONE)
+            if i < len(ranks):
+                ranks[i] = rank_of.get(tokens[i] * size + tokens[i + 1], NONE)
+        return tokens
+
+    def _merged_long(self, tokens: list[int]) -> list[int]:
+        """The same with a heap."""
+        tokens, size, rank_of = list(tokens), self.size, self.rank_of
         after, before = list(range(1, len(tokens) + 1)), list(range(-1, len(tokens) - 1))
-        heap = [(*self.made[p], i, *p) for i, p in enumerate(zip(tokens, tokens[1:])) if p in self.made]
-        heap = [(rank, i, new, a, b) for rank, new, i, a, b in heap]
+        heap = [(rank_of.get(a * size + b, NONE), i, a, b) for i, (a, b) in enumerate(zip(tokens, tokens[1:]))]
+        heap = [h for h in heap if h[0] != NONE]
         heapq.heapify(heap)
         while heap:
-            _, i, new, a, b = heapq.heappop(heap)
+            rank, i, a, b = heapq.heappop(heap)
             j = after[i]
             if tokens[i] != a or j >= len(tokens) or tokens[j] != b:
                 continue
-            tokens[i], tokens[j] = new, -1
+            tokens[i], tokens[j] = self.token_of[rank], -1
             after[i] = after[j]
             if after[i] < len(tokens):
                 before[after[i]] = i
             for k in (before[i], i):
                 if k >= 0 and after[k] < len(tokens):
-                    pair = (tokens[k], tokens[after[k]])
-                    if pair in self.made:
-                        rank, both = self.made[pair]
-                        heapq.heappush(heap, (rank, k, both, *pair))
+                    a, b = tokens[k], tokens[after[k]]
+                    rank = rank_of.get(a * size + b, NONE)
+                    if rank != NONE:
+                        heapq.heappush(heap, (rank, k, a, b))
         return [t for t in tokens if t >= 0]
 
 
@@ -210,7 +231,7 @@ class WordCoder:
     also happen between the two tokens alone). Words that fail are merged exactly.
     """
 
-    def __init__(self, path: str, kept_bytes: int = 64_000_000):
+    def __init__(self, path: str, kept_bytes: int = 128_000_000):
         from tokenizers import Tokenizer
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -231,6 +252,7 @@ class WordCoder:
         self.split = tokenizer.pre_tokenizer.pre_tokenize_str
         # Where blanks are dropped, a text can be cut at them and each chunk encoded once.
         self.drops_blanks = not self.split(self.normalize(" \n")) and len(self.split(self.normalize("a b"))) == 2
+        self.plain_words = self._plain_words(spec)
         suffix = model["end_of_word_suffix"] or ""
         self.marks_ends = bool(suffix)
         merges = [m.split(" ") if isinstance(m, str) else m for m in model["merges"]]
@@ -248,11 +270,34 @@ class WordCoder:
         self._forget()
         self.words = self.failed = 0
 
+    def _plain_words(self, spec: dict) -> re.Pattern | None:
+        """A pattern of the words of printable ASCII in lower case, for files that only compose, lower-case
+        and split by one pattern; there such characters stay what they are. A line end is a match too."""
+        form, split = (spec[k] and (spec[k].get(n) or [spec[k]]) for k, n in (("normalizer", "normalizers"), ("pre_tokenizer", "pretokenizers")))
+        if not form or not split or [f["type"] for f in form] != PLAIN_FORM or form[1]["pattern"] != {"Regex": r"\s+"}:
+            return None
+        if [p["type"] for p in split] != ["Split", "ByteLevel"] or split[1]["use_regex"] or split[1]["add_prefix_space"]:
+            return None
+        if split[0]["behavior"] != "Removed" or not split[0]["invert"] or "Regex" not in split[0]["pattern"] or not self.drops_blanks:
+            return None
+        pattern = split[0]["pattern"]["Regex"].replace(r"\p{L}", "a-zA-Z").replace(r"\p{N}", "0-9")
+        return None if r"\p" in pattern else re.compile(pattern + r"|\n", re.ASCII)
+
     def _forget(self) -> None:
         self.known: dict[str, tuple[bytes, bytes]] = {}
         self.used = 0
 
-    def encode_words(self, words: list[str]) -> list[np.ndarray]:
+    def _words(self, chunk: str, number: dict[str, int]) -> list[int]:
+        """Numbers of the words of a chunk by the library; a special token is its id below zero."""
+        own: list[int] = []
+        for i, part in enumerate(self.cut_special.split(chunk) if self.cut_special else [chunk]):
+            if i % 2:
+                own.append(-1 - self.special[part])
+            elif part:
+                own.extend(number.setdefault(w, len(number)) for w, _ in self.split(self.normalize(part)) if w)
+        return own
+
+    def encode_words(self, words: list[str]) -> list[list[int]]:
         """Token ids of each word, which is spelled in the characters of bytes."""
         text = "\n".join(words) + "\n"
         symbols = self.byte_of[np.frombuffer(text.encode("utf-32-le"), np.uint32)]
@@ -267,10 +312,11 @@ class WordCoder:
         fits = self.merges.compatible(pairs // self.merges.size, pairs % self.merges.size)
         bad = np.unique(word[same[~fits[which]]])
         bounds = np.searchsorted(word, np.arange(len(words) + 1))
-        out = [tokens[a:b] for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist())]
-        for i in bad.tolist():
-            own = self.merges.symbol[symbols[starts[i] : ends[i]]].tolist()
-            out[i] = np.array(self.merges.merged(own), np.int64)
+        tokens, bounds = tokens.tolist(), bounds.tolist()
+        out = [tokens[a:b] for a, b in zip(bounds, bounds[1:])]
+        each = np.where(symbols == STOP, -1, self.merges.symbol[np.minimum(symbols, STOP - 1)]).tolist()
+        for i, a, b in zip(bad.tolist(), starts[bad].tolist(), ends[bad].tolist()):
+            out[i] = self.merges.merged(each[a:b])
         self.words += len(words)
         self.failed += len(bad)
         return out
@@ -278,16 +324,19 @@ class WordCoder:
     def _learn(self, chunks: list[str]) -> None:
         """Remember ids and shown bytes of chunks."""
         number: dict[str, int] = {}
-        content: list[list[int]] = []  # word numbers; a special token is its id below zero
-        for chunk in chunks:
-            own: list[int] = []
-            for i, part in enumerate(self.cut_special.split(chunk) if self.cut_special else [chunk]):
-                if i % 2:
-                    own.append(-1 - self.special[part])
-                elif part:
-                    own.extend(number.setdefault(w, len(number)) for w, _ in self.split(self.normalize(part)) if w)
-            content.append(own)
-        words = [w.tolist() for w in self.encode_words(list(number))] if number else []
+        plain, odd = [], []
+        for c in chunks:
+            is_plain = self.plain_words and c.isascii() and c.isprintable() and not any(s in c for s in self.special)
+            (plain if is_plain else odd).append(c)
+        content: list[list[int]] = [[]] if plain else []
+        for word in self.plain_words.findall("\n".join(plain).lower()) if plain else []:
+            if word == "\n":
+                content.append([])
+            else:
+                content[-1].append(number.setdefault(word, len(number)))
+        content += [self._words(c, number) for c in odd]
+        chunks = plain + odd
+        words = self.encode_words(list(number)) if number else []
         for chunk, own in zip(chunks, content):
             ids = [t for n in own for t in (words[n] if n >= 0 else (-1 - n,))]
             entry = np.array(ids, "<u4").tobytes(), self.between.join(map(self.shown.__getitem__, ids))
