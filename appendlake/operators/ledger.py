@@ -13,7 +13,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -74,6 +74,10 @@ def log(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
 
+def is_load(load_id: str) -> Column:
+    return F.col("load_id") == load_id
+
+
 def take_number(spark: SparkSession, config: LakeConfig, entity: str) -> int:
     """The number of a new load, above those of all logged ones.
 

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import datetime as dt
+import os
 import uuid
+from collections.abc import Iterator
 from dataclasses import replace
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -21,6 +24,7 @@ from appendlake.sinks import RunFolderSink, VersionedSink
 from appendlake.sinks.versions import current, current_run_folders
 from appendlake.sources import manifest, options, records
 from appendlake.sources.listing import list_files
+from appendlake.streaming.growth import load_growth
 from appendlake.streaming.loads import stream_load
 
 KIB = 1024
@@ -293,11 +297,14 @@ def q_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     first = rows.where(F.col("o_orderdate") < _time("1999-01-01"))
     second = rows.where(F.col("o_orderdate") >= _time("1998-01-01"))
     # The second load comes with another bucket count; the table keeps its own.
-    for part, count in ((first, 16), (second.withColumn("totalprice", F.col("totalprice") * 2), 5)):
+    # Its clock stands before the first one's; the number of the load decides.
+    days = (dt.datetime(2024, 1, 2, tzinfo=dt.timezone.utc), dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc))
+    changed = second.withColumn("totalprice", F.col("totalprice") * 2)
+    for part, count, day in ((first, 16, days[0]), (changed, 5, days[1])):
         config = replace(config, bucket_count=count)
         export(part.drop("o_orderdate"), f"{config.source_root}/orders")
         copy_growth(spark, config, ["orders"])
-        load_entity(spark, config, "orders", ORDERS, VersionedSink(config), "upsert")
+        load_entity(spark, config, "orders", ORDERS, VersionedSink(config), "upsert", run_ts=day)
     return _order_result(current(spark, config, "orders"))
 
 
@@ -318,16 +325,11 @@ def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
     for rows, schema in ((lines.where(~late), narrow), (lines.where(late), wide)):
         export(rows.select(*schema.names), f"{config.source_root}/lines")
         copy_growth(spark, config, ["lines"])
-        load_entity(spark, config, "lines", schema, RunFolderSink(config), run_ts=_second(schema))
+        load_entity(spark, config, "lines", schema, RunFolderSink(config))
     rows = current_run_folders(spark, config, "lines")
     return rows.select("l_orderkey", "l_linenumber", "l_returnflag")
 
 
-def _second(schema: T.StructType) -> dt.datetime:
-    """A stamp per export; run folders are named by the second."""
-    return dt.datetime(2024, 1, 1, 0, 0, len(schema), tzinfo=dt.timezone.utc)
-
-
 @query(
     """
     select 'orders' as entity, 'TABLE' as destination_type, 'append' as mode, 1::bigint as loads,
@@ -505,6 +507,59 @@ def q_stream_append(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
+@query("select * from events")
+def q_stream_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that grow between two starts of a stream that reads them directly, in capped batches."""
+    config = new_lake(spark, "stream-growing", chunk_bytes=1024 * KIB)
+    folder, checkpoint = f"{config.source_root}/events", scratch_dir(spark, "growing-state")
+    export(table(spark, sf_dir, "events"), f"{folder}-whole")
+    whole = list_files(spark, config.source_root, ["events-whole"]).where("source_bytes > 0")
+    for share in (0.4, 1.0):
+        _grow(whole.select("source_path", "source_bytes"), folder, share)
+        sink = VersionedSink(config, keys=("event_id",))
+        load_growth(spark, config, "events", EVENTS, sink, checkpoint, batch_bytes=16 * 1024 * KIB)
+    rows = current(spark, config, "events").select(*EVENTS.names)
+    return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def _grow(files: DataFrame, folder: str, share: float) -> None:
+    """Appends to each file's namesake in ``folder`` what it lacks up to a share of the bytes, wherever that falls."""
+
+    def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for batch in batches:
+            for path, size in zip(batch["source_path"], batch["source_bytes"]):
+                own = path.removeprefix("file:")
+                target = f"{folder}/{os.path.basename(own)}"
+                os.makedirs(folder, exist_ok=True)
+                at = os.path.getsize(target) if os.path.exists(target) else 0
+                with open(own, "rb") as source, open(target, "ab") as out:
+                    source.seek(at)
+                    out.write(source.read(max(0, int(size * share) - at)))
+            yield batch[["source_path"]]
+
+    files.mapInPandas(grow, "source_path string").write.format("noop").mode("overwrite").save()
+
+
+@query(
+    """
+    select cast(o_orderkey as varchar) as "Id", o_custkey as versionnumber, o_orderdate as created,
+           o_totalprice as totalprice, o_orderstatus as status
+    from orders where o_orderdate >= timestamp '1998-01-01'
+    """
+)
+def q_filtered_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders whose dates lie beyond the cutoff are loaded with no row left, then the later ones."""
+    config = new_lake(spark, "filtered", chunk_bytes=512 * KIB, bucket_count=16)
+    rows = _order_rows(spark, sf_dir)
+    beyond = F.lit("01/01/2300 01:02:03 AM")
+    early = F.col("o_orderdate") < _time("1998-01-01")
+    for part in (rows.where(early).withColumns({"SinkCreatedOn": beyond, "SinkModifiedOn": beyond}), rows.where(~early)):
+        export(part.drop("o_orderdate"), f"{config.source_root}/orders")
+        copy_growth(spark, config, ["orders"])
+        load_entity(spark, config, "orders", ORDERS, VersionedSink(config), "upsert")
+    return _order_result(current(spark, config, "orders"))
+
+
 @query(
     """
     select cast(o_orderkey as varchar) as "Id", o_custkey as versionnumber, o_orderdate as created,

@@ -148,11 +148,15 @@ def _parse_pieces(
                         columns[PATH_COLUMN] = pa.repeat(batch.column(0)[i], n)
                     yield pa.RecordBatch.from_pydict(columns)
 
-    cut = found.select(*wanted).repartition(tasks).mapInArrow(records, out)
-    text = T.StructType(_text_schema(schema).fields[:-1])
-    rest = out.names[1:]
-    rows = (
-        cut.select(F.from_csv("record", text.toDDL(), CSV_FORM).alias("row"), *rest)
-        .select("row.*", *rest)
-    )
-    return _typed(rows, schema, False, rest)
+    return parsed(found.select(*wanted).repartition(tasks).mapInArrow(records, out), schema)
+
+
+def parsed(rows: DataFrame, schema: T.StructType, keep_corrupt: bool = False) -> DataFrame:
+    """Typed rows of text ``record``s; the other columns stay behind them."""
+    text = _text_schema(schema)
+    if not keep_corrupt:
+        text = T.StructType(text.fields[:-1])
+    rest = [c for c in rows.columns if c != "record"]
+    form = CSV_FORM | {"columnNameOfCorruptRecord": CORRUPT}
+    fields = rows.select(F.from_csv("record", text.toDDL(), form).alias("row"), *rest).select("row.*", *rest)
+    return _typed(fields, schema, keep_corrupt, rest)
