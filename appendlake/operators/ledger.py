@@ -115,9 +115,9 @@ def state_of(copies: DataFrame) -> DataFrame:
 
 
 def available(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:
-    """Range files that were copied whole, each once: ``target``."""
+    """Range files that were copied whole, each once: ``target`` and its ``bytes``."""
     own = (F.col("entity") == entity) & (F.col("outcome") == DONE)
-    return log(spark, config.copies).where(own).select("target").distinct()
+    return log(spark, config.copies).where(own).groupBy("target").agg(F.max(F.col("stop") - F.col("start")).alias("bytes"))
 
 
 def loaded(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:

@@ -16,12 +16,15 @@ from appendlake.config import DEFAULT_LANGUAGE, GUARD_COLUMNS, LakeConfig
 from appendlake.functions.guards import date_condition, date_guard
 from appendlake.operators import ledger
 from appendlake.operators.labels import enrich
-from appendlake.session import metrics_of, persist_table
+from appendlake.session import metrics_of, persist_counted, task_count
 from appendlake.sinks import Sink
 from appendlake.sources import records
 from appendlake.sources.files import literal
 from appendlake.sources.options import Patch, read_labels
 
+LISTED_FILES = 1000
+FILES_PER_TASK = 500
+
 
 def read_entity(
     spark: SparkSession,
@@ -61,13 +64,20 @@ def load_files(
     mode: str,
     **options,
 ) -> DataFrame:
-    """Read range files, write their rows to the sink, log the load; the options are those of ``load_rows``."""
-    files = persist_table(files.select("target"), f"{entity}-files")
-    # A scan takes its paths as a list; this is the one thing the driver gets.
-    paths = [literal(r[0]) for r in files.collect()]
-    if not paths:
+    """Read range files, write their rows to the sink, log the load; the options are those of ``load_rows``.
+
+    Up to ``LISTED_FILES`` paths are handed to Spark's own reader. More files are read from
+    the table that holds them, so the driver never gets a longer list; the rows are the same.
+    """
+    files, seen = persist_counted(files.select("target", "bytes"), f"{entity}-files", n=F.count(F.lit(1)), size=F.sum("bytes"))
+    if not seen["n"]:
         return spark.createDataFrame([], ledger.LOADS)
-    every = records.read(spark, paths, schema, keep_corrupt=True)
+    if seen["n"] <= LISTED_FILES:
+        paths = [literal(r[0]) for r in files.select("target").collect()]
+        every = records.read(spark, paths, schema, keep_corrupt=True)
+    else:
+        tasks = task_count(max(-(-seen["size"] // config.chunk_bytes), seen["n"] // FILES_PER_TASK))
+        every = records.read_listed(files, schema, tasks, keep_corrupt=True)
     return load_rows(spark, config, every, entity, sink, mode, files=files, **options)
 
 

@@ -214,16 +214,14 @@ def q_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = T.StructType(
         [T.StructField("doc_id", T.LongType()), T.StructField("note", T.StringType()), T.StructField("text", T.StringType())]
     )
-    paths = [r[0] for r in ledger.available(spark, config, "notes").select("target").collect()]
-    rows = records.read(spark, paths, schema, file_columns=False)
+    rows = records.read_listed(ledger.available(spark, config, "notes"), schema, 8, file_columns=False)
     return rows.select("doc_id", "note", F.md5("text").alias("text_md5"))
 
 
 @query("select * from events")
 def q_range_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = _grow_in_steps(spark, sf_dir, "range-copy", EVENTS.names)
-    paths = [r[0] for r in ledger.available(spark, config, "events").select("target").collect()]
-    rows = records.read(spark, paths, EVENTS, file_columns=False)
+    rows = records.read_listed(ledger.available(spark, config, "events"), EVENTS, 8, file_columns=False)
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
+import pyarrow.fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,6 +15,7 @@ from appendlake.config import MIB
 from appendlake.functions.casts import parse_timestamp
 from appendlake.session import persist_counted, task_count
 from appendlake.sources import pieces
+from appendlake.sources.files import open_file_system
 
 # The export's CSV form, and the names of the columns added to each row.
 CSV_FORM = {"sep": ",", "quote": '"', "escape": '"', "mode": "PERMISSIVE"}
@@ -20,6 +23,8 @@ MODIFIED_COLUMN = "_partition_modification_time"
 PATH_COLUMN = "_file_path"
 
 CORRUPT = "_corrupt_record"
+# What a path may hold and a URI may not, by Java's rules.
+NOT_IN_URIS = re.compile('[\x00-\x20"#%<>?\\[\\\\\\]^`{|}\x7f]')
 
 
 def with_file_columns(schema: T.StructType) -> T.StructType:
@@ -99,6 +104,47 @@ def read(
     return _typed(rows, schema, keep_corrupt, extra)
 
 
+def read_listed(
+    files: DataFrame,
+    schema: T.StructType,
+    tasks: int,
+    file_columns: bool = True,
+    keep_corrupt: bool = False,
+) -> DataFrame:
+    """The rows that ``read`` gives, for files that are rows of a table (``target``).
+
+    No list of paths reaches the driver: the tasks take the files from the table, cut them
+    into records and the JVM parses these. Files are dealt evenly to ``tasks``; each is read
+    by one task, so they should be of bounded size, as range files are.
+    """
+    out = T.StructType([T.StructField("record", T.StringType())])
+    if file_columns:
+        out = with_file_columns(out)
+
+    def records(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path in batch.column(0).to_pylist():
+                yield from file_records(path, file_columns)
+
+    return parsed(files.select("target").repartition(tasks).mapInArrow(records, out), schema, keep_corrupt)
+
+
+def file_records(path: str, file_columns: bool) -> Iterator[pa.RecordBatch]:
+    """All records of one file, with the columns that Spark's own reader gives for it."""
+    fs, inner = open_file_system(path)
+    info = fs.get_file_info(inner)
+    if info.type != pafs.FileType.File:
+        raise FileNotFoundError(path)
+    local = isinstance(fs, pafs.LocalFileSystem)
+    shown = NOT_IN_URIS.sub(lambda c: f"%{ord(c[0]):02X}", f"file:{inner}" if local else path)
+    modified = pa.scalar(info.mtime.replace(microsecond=info.mtime.microsecond // 1000 * 1000), pa.timestamp("us", "UTC"))
+    for found in pieces.piece_records(path, 0, info.size) if info.size else ():
+        columns = {"record": found}
+        if file_columns:
+            columns |= {MODIFIED_COLUMN: pa.repeat(modified, len(found)), PATH_COLUMN: pa.repeat(pa.scalar(shown), len(found))}
+        yield pa.RecordBatch.from_pydict(columns)
+
+
 def read_split(
     spark: SparkSession,
     paths: Sequence[str],

@@ -25,7 +25,7 @@ def range_stream(spark: SparkSession, config: LakeConfig, entity: str) -> DataFr
     return (
         spark.readStream.table(config.copies)
         .where((F.col("entity") == entity) & (F.col("outcome") == ledger.DONE))
-        .select("target")
+        .select("target", (F.col("stop") - F.col("start")).alias("bytes"))
     )
 
 
@@ -51,7 +51,7 @@ def stream_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
-        new = batch.select("target").distinct()
+        new = batch.groupBy("target").agg(F.max("bytes").alias("bytes"))
         files = absent_from(new, ledger.loaded(session, config, entity), ["target"])
         load_files(session, config, files, entity, schema, sink, mode, **options)
 

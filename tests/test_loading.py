@@ -13,6 +13,8 @@ from appendlake.plans import loading
 from appendlake.plans.copying import copy_growth
 from appendlake.plans.loading import load_entities, load_entity
 from appendlake.sinks import CatalogTableSink, RunFolderSink, VersionedSink
+from appendlake.sources import records
+from appendlake.sources.files import literal
 from appendlake.sinks.versions import current, current_run_folders, live_runs
 from appendlake.streaming.loads import stream_load
 
@@ -334,6 +336,41 @@ def test_file_names_with_special_characters(spark, lake, put):
     assert copy_growth(spark, lake, ["acc"], run_ts=later).count() == 0
 
 
+@pytest.fixture
+def odd_files(spark, lake, put):
+    bodies = [text(range(3)), 'id7,x,"13/45/2024 3:04:05 PM",n,0\nid8,1\nid9,1,,n,0,surplus\n\nid10,1,,"a ""b"", c\n",1\n', 'id11,1,,5" wide,1\r\n', "\n"]
+    for name, body in zip(("p 1.csv", "p#é%20.csv", "p[2]{a,b}*.csv", "p+&=@;'(~).csv"), bodies):
+        put("acc", name, body)
+    copy_growth(spark, lake, ["acc"], run_ts=START)
+    return ledger.available(spark, lake, "acc")
+
+
+def test_files_of_a_table_give_the_rows_of_a_list(spark, lake, odd_files):
+    paths = [literal(r[0]) for r in odd_files.select("target").collect()]
+    assert len(paths) == 4
+    for options in ({}, {"keep_corrupt": True}, {"file_columns": False}):
+        listed = records.read_listed(odd_files, SCHEMA, 2, **options)
+        whole = records.read(spark, paths, SCHEMA, **options)
+        assert listed.schema.simpleString() == whole.schema.simpleString()
+        assert sorted(map(repr, listed.collect())) == sorted(map(repr, whole.collect()))
+    missing = spark.createDataFrame([(f"{lake.range_root}/none.csv",)], "target string")
+    with pytest.raises(Exception, match="none.csv"):
+        records.read_listed(missing, SCHEMA, 1).collect()
+
+
+def test_a_load_of_many_files_lists_none(spark, lake, odd_files, monkeypatch):
+    monkeypatch.setattr(loading, "LISTED_FILES", 3)
+    monkeypatch.setattr(records, "read", None)
+    spark.sparkContext.setJobGroup("many", "a load")
+    log = load_entity(spark, lake, "acc", SCHEMA, RunFolderSink(lake)).first()
+    jobs = len(spark.sparkContext.statusTracker().getJobIdsForGroup("many"))
+    spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert (log.rows_in, log.rows_bad) == (8, 3)
+    assert sorted(r.Id for r in current_run_folders(spark, lake, "acc").collect()) == sorted(f"id{i}" for i in (0, 1, 2, 7, 8, 9, 10, 11))
+    assert spark.table(lake.load_files).count() == 4
+    print("jobs of a load:", jobs)
+
+
 def test_reading_an_entity_shuffles_nothing_and_prunes_columns(spark, lake, put):
     put("acc", "p.csv", text(range(3)))
     copy_growth(spark, lake, ["acc"])
