@@ -77,11 +77,12 @@ def _block(asked: pa.Table, among: pa.Table, k: int) -> pa.Table:
     if len(q_ids) and len(c_ids):
         order = np.argsort(c_ids, kind="stable")
         c_ids, c = c_ids[order], c[order]
-        # The approximation: a component's cell of two values, in one byte where that holds it.
-        cells = np.floor(c / 2)
-        small = np.abs(cells).max(initial=0) < 128 and np.abs(q).max(initial=0) < 1024
-        cells = cells.astype(np.int8 if small else np.float64)
-        corners = cells.astype(np.float32 if small else np.float64).T * 2
+        # The approximation: the lower corner of a component's cell of two values. Its sums of
+        # products must be exact, or a bound could lie on the wrong side of a score: single
+        # precision is exact for integers below 2**24.
+        corners = np.floor(c / 2).T * 2
+        largest = q.shape[1] * np.abs(q).max(initial=0) * np.abs(corners).max(initial=0)
+        corners = corners.astype(np.float32 if largest < 1 << 24 else np.float64)
         for at in range(0, len(q), 256):
             # A score lies between its cell's lower bound and that plus the sum of |q|.
             some = q[at : at + 256]

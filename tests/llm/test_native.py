@@ -49,6 +49,19 @@ def test_collisions_follow_the_weighted_similarity(docs_of):
     assert max(map(abs, errors)) < 0.25
 
 
+def test_long_texts_with_unequal_weights_are_not_biased(spark):
+    """Half of the words weigh 4 in one text and 1 in the other: similarity 1/4, however many words there are."""
+    word = lambda i: F.concat(F.lit("w"), F.col("id").cast("string"), F.lit("x"), i.cast("string"))
+
+    def text(heavy, light):
+        parts = [F.transform(F.sequence(F.lit(a), F.lit(a + 9_999)), word) for a in (heavy, light)]
+        return F.array_join(F.concat(*[parts[0]] * 4, parts[1]), " ")
+
+    texts = spark.range(100).repartition(8).select("id", text(0, 10_000).alias("x"), text(10_000, 0).alias("y"))
+    likeness = cws.likeness(F.col("x_sig"), F.col("y_sig"))
+    assert abs(cws.signatures(texts, ["id"], ["x", "y"]).agg(F.avg(likeness)).first()[0] - 0.25) < 0.01
+
+
 BASE = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)",

@@ -81,3 +81,15 @@ def test_top_k(spark, monkeypatch, block, scale, k):
     assert not got
     empty = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert topk.top_k(topk.usable(empty), F.col("vec_id") % 20 == 0).count() == 0
+
+
+@pytest.mark.parametrize("dim", [1024, 4096])
+def test_top_k_of_many_dimensions(spark, dim):
+    """Sums of products beyond what single precision holds, with scores that lie close together."""
+    rng = np.random.default_rng(7)
+    ints = {i: (rng.normal(3, 1, dim) if i % 20 else rng.normal(15, 2, dim)).round().astype(np.int64) for i in range(120)}
+    df = spark.createDataFrame([(i, [float(x) / 64 for x in v]) for i, v in ints.items()], "vec_id long, embedding array<double>")
+    got = {(r.query_id, r.rank): (r.vec_id, r.score) for r in topk.top_k(topk.usable(df), F.col("vec_id") % 20 == 0).collect()}
+    for q in range(0, 120, 20):
+        scores = sorted((-int(ints[q] @ v), i) for i, v in ints.items() if i != q)
+        assert [got[q, n + 1] for n in range(20)] == [(i, -s) for s, i in scores[:20]]
