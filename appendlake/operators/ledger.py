@@ -13,6 +13,7 @@ from __future__ import annotations
 import threading
 from collections.abc import Sequence
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -20,6 +21,7 @@ from pyspark.sql import types as T
 from appendlake.config import LakeConfig
 from appendlake.functions.guards import in_list_or_all
 from appendlake.operators.sets import absent_from
+from appendlake.sources import prints
 from appendlake.sources.files import create_once
 
 _one_append_at_a_time = threading.Lock()
@@ -35,7 +37,7 @@ def _columns(**types: T.DataType) -> T.StructType:
     return T.StructType([T.StructField(name, kind) for name, kind in types.items()])
 
 
-COPIES = _columns(path=TEXT, start=NUMBER, stop=NUMBER, target=TEXT, entity=TEXT, run=TIME, outcome=TEXT)
+COPIES = _columns(path=TEXT, start=NUMBER, stop=NUMBER, target=TEXT, entity=TEXT, run=TIME, outcome=TEXT, crc=NUMBER, tail=TEXT)
 LOADS = _columns(
     load_id=TEXT, number=NUMBER, run=TIME, started=TIME, ended=TIME, entity=TEXT, mode=TEXT, kind=TEXT, place=TEXT,
     live=T.BooleanType(), rows_in=NUMBER, rows_bad=NUMBER, layout=TEXT, replaced=T.ArrayType(T.IntegerType()),
@@ -109,9 +111,35 @@ def file_state(spark: SparkSession, config: LakeConfig, entities: Sequence[str]
 
 
 def state_of(copies: DataFrame) -> DataFrame:
-    """(``source_path``, ``offset_end``): the bytes only grow, so the largest end counts, whatever the clocks said."""
+    """(``path``, ``stop``[, ``tail``]): the bytes only grow, so the largest end counts, whatever the clocks said."""
     done = copies.where(F.col("outcome") == DONE)
-    return done.groupBy(F.col("path").alias("source_path")).agg(F.max("stop").alias("offset_end"))
+    tail = [F.max_by("tail", "stop").alias("tail")] if "tail" in copies.columns else []
+    return done.groupBy("path").agg(F.max("stop").alias("stop"), *tail)
+
+
+def checksums(spark: SparkSession, config: LakeConfig, entities: Sequence[str] = ()) -> DataFrame:
+    """(``path``, ``crc``): CRC-32 of all copied bytes of each file, put together from its ranges' own.
+
+    Null where a range was logged without one. A file's ranges meet in one task, as three numbers each.
+    """
+    done = log(spark, config.copies).where(in_list_or_all(F.col("entity"), entities) & (F.col("outcome") == DONE))
+    ranges = F.sort_array(F.collect_set(F.struct("start", "stop", F.coalesce("crc", F.lit(-1)).alias("crc"))))
+
+    @F.pandas_udf("bigint")
+    def together(all_ranges: pd.Series) -> pd.Series:
+        return pd.Series([_together(r) for r in all_ranges], dtype="Int64")
+
+    return done.groupBy("path").agg(ranges.alias("ranges")).select("path", together("ranges").alias("crc"))
+
+
+def _together(ranges: Sequence[dict]) -> int | None:
+    parts, at = [], 0
+    for r in ranges:
+        if r["crc"] < 0 or r["start"] != at:
+            return None
+        parts.append((int(r["crc"]), int(r["stop"] - r["start"])))
+        at = r["stop"]
+    return prints.combined(parts)
 
 
 def available(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from appendlake.config import LakeConfig
 from appendlake.operators import growth, ledger, ranges
+from appendlake.session import persist_table
 from appendlake.sources.listing import list_files
 
 
@@ -27,13 +28,21 @@ def copy_growth(
         list_files(spark, config.source_root, entities).drop("modified_at"),
         ledger.file_state(spark, config, entities),
     )
+    plan = growth.marked(persist_table(plan, "growth"))
     ledger.append(ranges.copy(plan, config, run_ts, max_tasks), config.copies)
     return spark.table(config.copies).where(F.col("run") == F.lit(run_ts))
 
 
-def growth_report(spark: SparkSession, config: LakeConfig, entities: Sequence[str]) -> DataFrame:
-    """Every listed file with ``status`` grown, same or shrunk. Nothing is copied."""
+def growth_report(spark: SparkSession, config: LakeConfig, entities: Sequence[str], audit: bool = False) -> DataFrame:
+    """Every listed file with ``status`` grown, same, shrunk or rewritten. Nothing is copied.
+
+    Rewritten files are known by the last bytes that were copied; with ``audit`` all
+    copied bytes are read again and compared with the checksums of the log.
+    """
     ledger.ensure_logs(spark, config)
-    return growth.compare(
-        list_files(spark, config.source_root, entities), ledger.file_state(spark, config, entities)
-    )
+    rows = growth.compare(list_files(spark, config.source_root, entities), ledger.file_state(spark, config, entities))
+    if audit:
+        rows = rows.join(ledger.checksums(spark, config, entities), "path", "left")
+    rows = growth.marked(persist_table(rows, "growth"), whole=audit)
+    changed = F.col("rewritten") & (F.col("status") != growth.SHRUNK)
+    return rows.withColumn("status", F.when(changed, growth.REWRITTEN).otherwise(F.col("status"))).drop("rewritten", "tail", "crc")

@@ -166,27 +166,34 @@ def q_file_meta(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select 'events' as entity, sum(strlen(cast(event_id as varchar)) + strlen(cast(user_id as varchar))
-      + strlen(event_type) + 9)::bigint as source_bytes
+    select 'events' as entity, sum(strlen(cast(event_id as varchar)) + 19 + strlen(cast(user_id as varchar))
+      + strlen(event_type) + strlen(cast(floor(value * 1000)::bigint as varchar)) + strlen(props)
+      + strlen(props) - strlen(replace(props, '"', '')) + 18)::bigint as source_bytes
     from events
     """
 )
 def q_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Bytes per entity folder: three quoted fields, two commas and a newline per row."""
+    """Bytes per entity folder: six quoted fields, five commas and a newline per row."""
     root = scratch_dir(spark, "listing")
-    export(table(spark, sf_dir, "events").select("event_id", "user_id", "event_type"), f"{root}/events")
+    export(_event_rows(spark, sf_dir), f"{root}/events")
     files = list_files(spark, root, ["events", "no_such_entity"])
-    return files.groupBy("entity").agg(F.sum("source_bytes").alias("source_bytes"))
+    return files.groupBy("entity").agg(F.sum("size").alias("source_bytes"))
 
 
-def _grow_in_steps(spark: SparkSession, sf_dir: str, name: str, columns: list[str]) -> LakeConfig:
+def _event_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whole events in a form whose length SQL can tell: seconds, and the value in thousandths."""
+    shown = {"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss"), "value": F.floor(F.col("value") * 1000)}
+    return table(spark, sf_dir, "events").select(*EVENTS.names).withColumns(shown)
+
+
+def _grow_in_steps(spark: SparkSession, rows: DataFrame, name: str) -> LakeConfig:
     """Copy an export of events in three runs, as if its files had been growing.
 
     The first two runs see only a part of each file's size, wherever that falls;
     a fourth run sees no growth.
     """
     config = new_lake(spark, name, chunk_bytes=256 * KIB)
-    export(table(spark, sf_dir, "events").select(*columns), f"{config.source_root}/events")
+    export(rows, f"{config.source_root}/events")
     _copy_in_steps(spark, config, "events")
     return config
 
@@ -195,10 +202,10 @@ def _copy_in_steps(spark: SparkSession, config: LakeConfig, entity: str) -> None
     """Copies as if the files had grown, each step ending anywhere; all in one second."""
     moment = dt.datetime(2024, 1, 1, tzinfo=dt.timezone.utc)
     for share in (0.3, 0.7, 1.0, 1.0):
-        size = F.floor(F.col("source_bytes") * share).cast("bigint")
+        size = F.floor(F.col("size") * share).cast("bigint")
         files = list_files(spark, config.source_root, [entity]).drop("modified_at")
         state = ledger.file_state(spark, config, [entity])
-        plan = growth.plan(files.withColumn("source_bytes", size), state)
+        plan = growth.plan(files.withColumn("size", size), state)
         ledger.append(ranges.copy(plan, config, moment), config.copies)
 
 
@@ -220,22 +227,23 @@ def q_stray_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("select * from events")
 def q_range_copy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    config = _grow_in_steps(spark, sf_dir, "range-copy", EVENTS.names)
+    config = _grow_in_steps(spark, table(spark, sf_dir, "events").select(*EVENTS.names), "range-copy")
     rows = records.read_listed(ledger.available(spark, config, "events"), EVENTS, 8, file_columns=False)
     return rows.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @query(
     """
-    select 'events' as entity, sum(strlen(cast(event_id as varchar)) + strlen(cast(user_id as varchar))
-      + strlen(event_type) + 9)::bigint as copied_bytes, 0::bigint as failed, 3::bigint as runs,
+    select 'events' as entity, sum(strlen(cast(event_id as varchar)) + 19 + strlen(cast(user_id as varchar))
+      + strlen(event_type) + strlen(cast(floor(value * 1000)::bigint as varchar)) + strlen(props)
+      + strlen(props) - strlen(replace(props, '"', '')) + 18)::bigint as copied_bytes, 0::bigint as failed, 3::bigint as runs,
       true as without_gaps
     from events
     """
 )
 def q_range_log(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The log of three growth steps: all bytes copied once, ranges joined end to end."""
-    config = _grow_in_steps(spark, sf_dir, "range-log", ["event_id", "user_id", "event_type"])
+    config = _grow_in_steps(spark, _event_rows(spark, sf_dir), "range-log")
     log = spark.table(config.copies).withColumn("size", F.col("stop") - F.col("start"))
     per_file = log.groupBy("entity", "path").agg(
         F.sum("size").alias("copied_bytes"),
@@ -308,24 +316,28 @@ def q_upsert_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select l_orderkey, l_linenumber, case when l_shipdate >= timestamp '1999-01-01' then l_returnflag end
-      as l_returnflag
+    select l_orderkey, l_linenumber,
+      case when l_shipdate >= timestamp '1999-01-01' then l_quantity else trunc(l_quantity) end as l_quantity, l_extendedprice,
+      case when l_shipdate >= timestamp '1999-01-01' then l_returnflag end as l_returnflag
     from lineitem
     """
 )
 def q_schema_evolve(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The second export has a column more; the table shows null where it was missing."""
+    """Whole lines; the second export has a column more and one of a wider type."""
     config = new_lake(spark, "evolve", chunk_bytes=1024 * KIB)
     lines = table(spark, sf_dir, "lineitem")
     late = F.col("l_shipdate") >= _time("1999-01-01")
-    narrow = T.StructType([T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType())])
-    wide = T.StructType([*narrow.fields, T.StructField("l_returnflag", T.StringType())])
+    wide = T.StructType([T.StructField(f.name, T.TimestampType() if f.name == "l_shipdate" else f.dataType) for f in lines.schema])
+    wide = T.StructType([*[f for f in wide if f.name != "l_returnflag"], wide["l_returnflag"]])
+    # A number that gets wider on the way: whole quantities, then any.
+    narrow = T.StructType([T.StructField(f.name, T.IntegerType()) if f.name == "l_quantity" else f for f in wide.fields[:-1]])
     for rows, schema in ((lines.where(~late), narrow), (lines.where(late), wide)):
+        rows = rows.withColumn("l_quantity", F.col("l_quantity").cast(schema["l_quantity"].dataType))
         export(rows.select(*schema.names), f"{config.source_root}/lines")
         copy_growth(spark, config, ["lines"])
         load_entity(spark, config, "lines", schema, RunFolderSink(config))
     rows = current_run_folders(spark, config, "lines")
-    return rows.select("l_orderkey", "l_linenumber", "l_returnflag")
+    return rows.select("l_orderkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_returnflag")
 
 
 @query(
@@ -511,9 +523,9 @@ def q_stream_growing(spark: SparkSession, sf_dir: str) -> DataFrame:
     config = new_lake(spark, "stream-growing", chunk_bytes=1024 * KIB)
     folder, checkpoint = f"{config.source_root}/events", scratch_dir(spark, "growing-state")
     export(table(spark, sf_dir, "events"), f"{folder}-whole")
-    whole = list_files(spark, config.source_root, ["events-whole"]).where("source_bytes > 0")
+    whole = list_files(spark, config.source_root, ["events-whole"]).where("size > 0")
     for share in (0.4, 1.0):
-        _grow(whole.select("source_path", "source_bytes"), folder, share)
+        _grow(whole.select("path", "size"), folder, share)
         sink = VersionedSink(config, keys=("event_id",))
         load_growth(spark, config, "events", EVENTS, sink, checkpoint, batch_bytes=16 * 1024 * KIB)
     rows = current(spark, config, "events").select(*EVENTS.names)
@@ -525,7 +537,7 @@ def _grow(files: DataFrame, folder: str, share: float) -> None:
 
     def grow(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for path, size in zip(batch["source_path"], batch["source_bytes"]):
+            for path, size in zip(batch["path"], batch["size"]):
                 own = path.removeprefix("file:")
                 target = f"{folder}/{os.path.basename(own)}"
                 os.makedirs(folder, exist_ok=True)
@@ -533,9 +545,9 @@ def _grow(files: DataFrame, folder: str, share: float) -> None:
                 with open(own, "rb") as source, open(target, "ab") as out:
                     source.seek(at)
                     out.write(source.read(max(0, int(size * share) - at)))
-            yield batch[["source_path"]]
+            yield batch[["path"]]
 
-    files.mapInPandas(grow, "source_path string").write.format("noop").mode("overwrite").save()
+    files.mapInPandas(grow, "path string").write.format("noop").mode("overwrite").save()
 
 
 @query(

@@ -43,7 +43,7 @@ def q_current_row(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    select event_type as entity, cast(user_id as varchar) as source_path, max(event_id) as offset_end
+    select event_type as entity, cast(user_id as varchar) as path, max(event_id) as stop
     from events where value is not null and event_type in ('click', 'view') group by all
     """
 )
@@ -56,9 +56,9 @@ def q_file_state(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(F.col("value").isNull(), "no value").otherwise(ledger.DONE).alias("outcome"),
     )
     wanted = log.where(guards.in_list_or_all(F.col("entity"), ["click", "view"]))
-    parts = F.split("source_path", "/")
+    parts = F.split("path", "/")
     return ledger.state_of(wanted).select(
-        F.element_at(parts, 1).alias("entity"), F.element_at(parts, 2).alias("source_path"), "offset_end"
+        F.element_at(parts, 1).alias("entity"), F.element_at(parts, 2).alias("path"), "stop"
     )
 
 
@@ -70,43 +70,35 @@ def q_except_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@query(
-    """
-    select p_partkey from part where p_partkey not in
-      (select l_partkey from lineitem where l_shipdate >= timestamp '2001-06-01')
-    """
-)
+@query("select doc_id from documents where doc_id not in (select doc_id from labels where doc_id is not null)")
 def q_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
-    recent = table(spark, sf_dir, "lineitem").where(F.col("l_shipdate") >= _time("2001-06-01"))
-    return sets.absent_from(
-        table(spark, sf_dir, "part").select("p_partkey"),
-        recent.select(F.col("l_partkey").alias("p_partkey")),
-        ["p_partkey"],
-    )
+    """Documents that no label names, as files that no load names."""
+    documents, labels = (table(spark, sf_dir, name).select("doc_id") for name in ("documents", "labels"))
+    return sets.absent_from(documents, labels, ["doc_id"])
 
 
 _SIZES_SQL = """
-    with listing as (select l_orderkey as source_path, count(*) as source_bytes from lineitem group by 1),
-    state as (select l_orderkey as source_path, count(*) as offset_end from lineitem
+    with listing as (select l_orderkey as path, count(*) as size from lineitem group by 1),
+    state as (select l_orderkey as path, count(*) as stop from lineitem
               where l_shipdate < timestamp '2000-01-01' group by 1)
 """
 
 
 def _sizes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     """Lines per order stand for bytes per file; the state is the count before 2000."""
-    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "source_path")
-    listing = lines.groupBy("source_path").agg(F.count(F.lit(1)).alias("source_bytes"))
+    lines = table(spark, sf_dir, "lineitem").withColumnRenamed("l_orderkey", "path")
+    listing = lines.groupBy("path").agg(F.count(F.lit(1)).alias("size"))
     earlier = lines.where(F.col("l_shipdate") < _time("2000-01-01"))
-    return listing, earlier.groupBy("source_path").agg(F.count(F.lit(1)).alias("offset_end"))
+    return listing, earlier.groupBy("path").agg(F.count(F.lit(1)).alias("stop"))
 
 
 @query(
     _SIZES_SQL
     + """
-    select source_path, coalesce(offset_end, 0) as offset_start,
-           source_bytes - coalesce(offset_end, 0) as range_bytes, source_bytes as offset_end
-    from listing left join state using (source_path)
-    where source_bytes - coalesce(offset_end, 0) > 0
+    select path, coalesce(stop, 0) as start,
+           size - coalesce(stop, 0) as fresh, size as stop
+    from listing left join state using (path)
+    where size - coalesce(stop, 0) > 0
     """
 )
 def q_growth_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -115,22 +107,22 @@ def q_growth_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(
     """
-    with listing as (select o_custkey as source_path, count(*) as source_bytes from orders
+    with listing as (select o_custkey as path, count(*) as size from orders
                      where o_orderdate >= timestamp '1998-06-01' group by 1),
-    state as (select o_custkey as source_path, count(*) as offset_end from orders
+    state as (select o_custkey as path, count(*) as stop from orders
               where o_orderdate < timestamp '1998-06-01' group by 1)
-    select source_path, source_bytes, coalesce(offset_end, 0) as offset_start,
-           source_bytes - coalesce(offset_end, 0) as range_bytes,
-           case when source_bytes > coalesce(offset_end, 0) then 'grown'
-                when source_bytes = coalesce(offset_end, 0) then 'same' else 'shrunk' end as status
-    from listing left join state using (source_path)
+    select path, size, coalesce(stop, 0) as start,
+           size - coalesce(stop, 0) as fresh,
+           case when size > coalesce(stop, 0) then 'grown'
+                when size = coalesce(stop, 0) then 'same' else 'shrunk' end as status
+    from listing left join state using (path)
     """
 )
 def q_growth_status(spark: SparkSession, sf_dir: str) -> DataFrame:
-    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "source_path")
+    orders = table(spark, sf_dir, "orders").withColumnRenamed("o_custkey", "path")
     is_late = F.col("o_orderdate") >= _time("1998-06-01")
-    listing = orders.where(is_late).groupBy("source_path").agg(F.count(F.lit(1)).alias("source_bytes"))
-    state = orders.where(~is_late).groupBy("source_path").agg(F.count(F.lit(1)).alias("offset_end"))
+    listing = orders.where(is_late).groupBy("path").agg(F.count(F.lit(1)).alias("size"))
+    state = orders.where(~is_late).groupBy("path").agg(F.count(F.lit(1)).alias("stop"))
     return growth.compare(listing, state)
 
 

@@ -34,7 +34,16 @@ def persist_table(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_dir(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table.scratch_path = path
+    return table
+
+
+def discard(table: DataFrame) -> None:
+    """Remove the files of a ``persist_table`` that nothing will read again."""
+    spark = table.sparkSession
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(table.scratch_path)
+    place.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def persist_counted(df: DataFrame, name: str, **metrics: Column) -> tuple[DataFrame, dict[str, int]]:

@@ -44,7 +44,7 @@ class VersionedSink:
         count = live[0]["bucket_count"] if live else self.config.bucket_count
         if live and live[0]["keys"] != keys:
             raise ValueError(f"{entity} is bucketed by {live[0]['keys'] or 'all columns'}, not by {keys or 'all columns'}")
-        history.refuse_type_change(live, df.schema)
+        history.refuse_type_change(live, df.schema, keys)
         rows, touched, kept = df.withColumn(BUCKET, bucket_of(keys or df.columns, count)), [], None
         if live and mode == UPSERT:
             # The source is used several times, so it is parsed once and staged.

@@ -5,6 +5,7 @@ from __future__ import annotations
 import os
 import re
 import uuid
+import zlib
 from collections.abc import Iterator
 
 import pyarrow.fs as pafs
@@ -81,8 +82,8 @@ def read_blocks(path: str, start: int, end: int, block_bytes: int) -> Iterator[b
             yield block
 
 
-def copy_bytes(source: str, target: str, start: int, end: int, block_bytes: int) -> None:
-    """Copy ``[start, end)`` to a new file that appears under its name only when whole.
+def copy_bytes(source: str, target: str, start: int, end: int, block_bytes: int) -> int:
+    """Copy ``[start, end)`` to a new file that appears under its name only when whole; the CRC-32 of the bytes.
 
     A second attempt of the same task writes its own hidden file and finds an equal one
     in place, so retries and speculative tasks are harmless. A target of another length
@@ -91,15 +92,17 @@ def copy_bytes(source: str, target: str, start: int, end: int, block_bytes: int)
     fs, inner = open_file_system(target)
     folder, _, name = inner.rpartition("/")
     fs.create_dir(folder, recursive=True)
-    hidden = f"{folder}/.{name}.{uuid.uuid4().hex}"
+    hidden, crc = f"{folder}/.{name}.{uuid.uuid4().hex}", 0
     try:
         with fs.open_output_stream(hidden) as sink:
             for block in read_blocks(source, start, end, block_bytes):
                 sink.write(block)
+                crc = zlib.crc32(block, crc)
         there = fs.get_file_info(inner)
         if there.type != pafs.FileType.NotFound and there.size != end - start:
             raise FileExistsError(f"{target} has {there.size} bytes, not {end - start}")
         fs.move(hidden, inner)
+        return crc
     except BaseException:
         if fs.get_file_info(hidden).type != pafs.FileType.NotFound:
             fs.delete_file(hidden)

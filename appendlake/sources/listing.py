@@ -18,9 +18,9 @@ from appendlake.sources.files import open_file_system
 LISTING_SCHEMA = T.StructType(
     [
         T.StructField("entity", T.StringType()),
-        T.StructField("source_stem", T.StringType()),
-        T.StructField("source_path", T.StringType()),
-        T.StructField("source_bytes", T.LongType()),
+        T.StructField("stem", T.StringType()),
+        T.StructField("path", T.StringType()),
+        T.StructField("size", T.LongType()),
         T.StructField("modified_at", T.TimestampType()),
     ]
 )
@@ -35,7 +35,7 @@ def list_files(spark: SparkSession, root: str, entities: Sequence[str]) -> DataF
     if not entities:
         return spark.createDataFrame([], LISTING_SCHEMA)
     base = root if re.match("[A-Za-z][A-Za-z0-9+.-]*:", root) else f"file:{root}"
-    found = T.StructType([f for f in LISTING_SCHEMA.fields if f.name != "source_stem"])
+    found = T.StructType([f for f in LISTING_SCHEMA.fields if f.name != "stem"])
 
     def list_folder(entity: str) -> list[tuple]:
         fs, inner = open_file_system(f"{base}/{entity}")
@@ -53,5 +53,5 @@ def list_files(spark: SparkSession, root: str, entities: Sequence[str]) -> DataF
 
     names = spark.createDataFrame([(e,) for e in dict.fromkeys(entities)], "entity string")
     listed = names.repartition(task_count(len(entities))).mapInPandas(list_folders, found)
-    stem = paths.stem(F.col("source_path")).alias("source_stem")
-    return listed.select("entity", stem, "source_path", "source_bytes", "modified_at")
+    stem = paths.stem(F.col("path")).alias("stem")
+    return listed.select("entity", stem, "path", "size", "modified_at")

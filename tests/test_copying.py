@@ -3,6 +3,7 @@ import datetime as dt
 import os
 import random
 import re
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -11,11 +12,11 @@ from pyspark.sql import types as T
 from appendlake.config import LakeConfig
 from appendlake.operators import growth, ledger, ranges
 from appendlake.plans.copying import copy_growth, growth_report
-from appendlake.sources import files, records
+from appendlake.sources import files, prints, records
 from appendlake.sources.listing import list_files
 
 SCHEMA = T.StructType([T.StructField("id", T.LongType()), T.StructField("text", T.StringType())])
-PLAN = "entity string, source_stem string, source_path string, offset_start bigint, offset_end bigint"
+PLAN = "entity string, stem string, path string, start bigint, stop bigint"
 
 
 def rows_text(first, last, rng=None):
@@ -28,7 +29,7 @@ def copied_ids(spark, lake, entity):
 
 
 def state(spark, lake):
-    return {r.source_path.rsplit("/", 1)[1]: r.offset_end for r in ledger.file_state(spark, lake).collect()}
+    return {r.path.rsplit("/", 1)[1]: r.stop for r in ledger.file_state(spark, lake).collect()}
 
 
 def test_growth_in_steps(spark, lake, put):
@@ -71,7 +72,7 @@ def test_a_half_written_record_waits(spark, lake, put):
     put("acc", "p.csv", rows_text(0, 2) + '2,"half')
     copy_growth(spark, lake, ["acc"])
     report = growth_report(spark, lake, ["acc"]).first()
-    assert (report.status, report.range_bytes) == ("grown", len('2,"half'))
+    assert (report.status, report.fresh) == ("grown", len('2,"half'))
     put("acc", "p.csv", ' done"\n')
     copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
     assert copied_ids(spark, lake, "acc") == [0, 1, 2]
@@ -86,6 +87,38 @@ def test_a_shrunk_file_is_reported_and_not_copied(spark, lake, put):
     assert copy_growth(spark, lake, ["acc"], run_ts=later).count() == 0
 
 
+def test_a_rewritten_file_is_reported_and_not_continued(spark, lake, put):
+    before = rows_text(0, 200)
+    for name in ("end.csv", "start.csv", "same.csv", "fine.csv"):
+        put("acc", name, before)
+    copy_growth(spark, lake, ["acc"])
+    put("acc", "end.csv", before[:-20] + "x" * 60, mode="wb")
+    put("acc", "start.csv", "9" + before[1:] + rows_text(200, 201), mode="wb")
+    put("acc", "same.csv", before[:-10] + "9" * 10, mode="wb")
+    put("acc", "fine.csv", rows_text(200, 202))
+
+    def statuses(**options):
+        rows = growth_report(spark, lake, ["acc"], **options).collect()
+        return {os.path.basename(r.path): r.status for r in rows}
+
+    # Its end is as it was, so only the audit knows that its start is not.
+    short = {"end.csv": "rewritten", "start.csv": "grown", "same.csv": "rewritten", "fine.csv": "grown"}
+    assert len(before) > prints.TAIL_BYTES
+    assert statuses() == short
+    assert statuses(audit=True) == short | {"start.csv": "rewritten"}
+    copied = state(spark, lake)
+    log = copy_growth(spark, lake, ["acc"], run_ts=dt.datetime.now(dt.timezone.utc) + dt.timedelta(seconds=5))
+    assert {os.path.basename(r.path): r.outcome for r in log.collect()}["end.csv"] == ranges.REWRITTEN
+    after = state(spark, lake)
+    assert after["end.csv"] == copied["end.csv"] and after["fine.csv"] > copied["fine.csv"]
+
+
+@pytest.mark.parametrize("sizes", [[0], [5], [3, 0, 4096], [1, 70_000, 12, 999_983]])
+def test_checksums_of_parts_make_that_of_the_whole(sizes):
+    parts = [random.Random(i).randbytes(n) for i, n in enumerate(sizes)]
+    assert prints.combined([(zlib.crc32(p), len(p)) for p in parts]) == zlib.crc32(b"".join(parts))
+
+
 def test_failed_ranges_are_logged_and_tried_again(spark, lake, put):
     put("acc", "good.csv", rows_text(0, 3))
     size = len(rows_text(0, 3))
@@ -191,16 +224,16 @@ def test_listing_never_reads_contents(spark, lake, put):
     plan = files._jdf.queryExecution().executedPlan().toString()
     assert "content" not in plan
     row = files.first()
-    assert (row.entity, row.source_stem, row.source_bytes) == ("acc", "p", len(rows_text(0, 2)))
+    assert (row.entity, row.stem, row.size) == ("acc", "p", len(rows_text(0, 2)))
     assert list_files(spark, lake.source_root, ["none"]).count() == 0
     assert list_files(spark, lake.source_root, []).count() == 0
 
 
 def test_growth_without_state(spark):
-    listing = spark.createDataFrame([("a", 5), ("b", 0)], "source_path string, source_bytes bigint")
-    empty = spark.createDataFrame([], "source_path string, offset_end bigint")
+    listing = spark.createDataFrame([("a", 5), ("b", 0)], "path string, size bigint")
+    empty = spark.createDataFrame([], "path string, stop bigint")
     assert [tuple(r) for r in growth.plan(listing, empty).collect()] == [("a", 0, 5, 5)]
-    assert {r.source_path: r.status for r in growth.compare(listing, empty).collect()} == {"a": "grown", "b": "same"}
+    assert {r.path: r.status for r in growth.compare(listing, empty).collect()} == {"a": "grown", "b": "same"}
 
 
 @pytest.mark.parametrize("bad", [{"block_bytes": 0}, {"block_bytes": 4001 << 20}, {"chunk_bytes": 0}, {"bucket_count": 0}])

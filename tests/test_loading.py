@@ -184,7 +184,7 @@ def test_logs_of_an_earlier_version(spark, lake, step):
 def test_a_full_load_without_rows_keeps_the_table(spark, lake, step, monkeypatch):
     sink = VersionedSink(lake)
     step(text([1]), sink)
-    nothing = spark.createDataFrame([], "target string")
+    nothing = spark.createDataFrame([], "target string, bytes bigint")
     monkeypatch.setattr(ledger, "available", lambda *_: nothing)
     assert step("", sink, "full").count() == 0
     assert current(spark, lake, "acc").count() == 1
@@ -280,6 +280,41 @@ def test_a_type_change_is_refused_before_the_log(spark, lake, step, sink):
     assert rows.count() == 5 and rows.schema["versionnumber"].dataType == T.StringType()
 
 
+WIDER = [
+    (T.IntegerType(), T.LongType(), T.LongType()), (T.FloatType(), T.DoubleType(), T.DoubleType()),
+    (T.IntegerType(), T.DoubleType(), T.DoubleType()), (T.LongType(), T.DecimalType(10, 2), T.DecimalType(22, 2)),
+    (T.DecimalType(8, 3), T.DecimalType(12, 1), T.DecimalType(14, 3)),
+    (T.LongType(), T.IntegerType(), None), (T.LongType(), T.DoubleType(), None), (T.DoubleType(), T.FloatType(), None),
+    (T.StringType(), T.LongType(), None), (T.DecimalType(38, 0), T.DecimalType(38, 10), None),
+]
+
+
+@pytest.mark.parametrize("sink", [VersionedSink, RunFolderSink])
+@pytest.mark.parametrize(("old", "new", "read"), WIDER, ids=str)
+def test_types_get_wider_only(spark, lake, step, sink, old, new, read):
+    def schema(kind):
+        return T.StructType([T.StructField("Id", T.StringType()), T.StructField("versionnumber", T.LongType()), T.StructField("amount", kind)])
+
+    mode = "upsert" if sink is VersionedSink else "append"
+    step("id1,1,5\nid2,1,6\n", sink(lake), mode, schema=schema(old))
+    if read is None:
+        with pytest.raises(ValueError, match="amount"):
+            step("id3,1,7\n", sink(lake), mode, schema=schema(new))
+        assert spark.table(lake.loads).count() == 1
+        return
+    step("id2,1,7\nid3,1,8\n", sink(lake), mode, schema=schema(new))
+    rows = current(spark, lake, "acc") if sink is VersionedSink else current_run_folders(spark, lake, "acc")
+    assert rows.schema["amount"].dataType == read
+    values = [("id1", 5.0), ("id2", 7.0), ("id3", 8.0)] + [("id2", 6.0)] * (sink is RunFolderSink)
+    assert sorted((r.Id, float(r.amount)) for r in rows.collect()) == sorted(values)
+
+
+def test_a_key_keeps_its_type(spark, lake, step):
+    step("id1,1\n", VersionedSink(lake), schema=T.StructType([T.StructField("Id", T.StringType()), T.StructField("versionnumber", T.IntegerType())]))
+    with pytest.raises(ValueError, match="versionnumber"):
+        step("id1,1\n", VersionedSink(lake), schema=T.StructType([T.StructField("Id", T.StringType()), T.StructField("versionnumber", T.LongType())]))
+
+
 def test_a_full_load_without_rows_keeps_a_catalog_table(spark, lake, step, monkeypatch):
     sink = CatalogTableSink(lake.log_schema, "parquet")
     step(text([1]), sink)

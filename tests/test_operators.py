@@ -24,7 +24,7 @@ def test_state_ignores_failures_and_clocks(spark):
         [("a", 10, 9, "done"), ("a", 20, 2, "done"), ("a", 30, 3, "failed"), ("b", 5, 1, "done"), ("b", 7, 1, "done"), ("c", 9, 1, "failed")],
         "path string, stop bigint, run bigint, outcome string",
     )
-    assert {r.source_path: r.offset_end for r in ledger.state_of(log).collect()} == {"a": 20, "b": 7}
+    assert {r.path: r.stop for r in ledger.state_of(log).collect()} == {"a": 20, "b": 7}
     assert ledger.state_of(log.limit(0)).count() == 0
 
 
