@@ -223,4 +223,5 @@ def mixed(docs: DataFrame, shards: int = 16, seed: int = 3, **options) -> DataFr
     kept = [named(c) for c in rows.columns if c not in ("size", "source_size", "target", "copies", "mix_shard", "mix_order")]
     copies = rows.select(*kept, F.explode("copies").alias("copies"))
     copies = copies.select(*kept, F.col("copies.shard").alias("mix_shard"), F.col("copies.order").alias("mix_order"))
-    return copies.repartition("mix_shard").sortWithinPartitions("mix_shard", "mix_order")
+    # Ranges of (shard, order): as many tasks as the data needs, and the order within a shard holds.
+    return copies.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")

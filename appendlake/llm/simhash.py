@@ -234,15 +234,3 @@ def forest(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         label = new
     out = np.flatnonzero(label != np.arange(len(nodes)))
     return nodes[out], nodes[label[out]]
-
-
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = 5, index: Index | None = None) -> DataFrame:
-    """(``doc_id``, fingerprint words, ``component_id``) of every row, for shingles of five words.
-
-    By default a fingerprint has 128 bits and two of them link at 25 or fewer differing
-    bits, a similarity of 0.8. Eight 16-bit segments with a radius of 1 find every pair
-    up to 15 bits, and a pair of shingle sets with a Jaccard similarity of 0.8, which
-    differs in 19 bits on average, with a probability of 0.93.
-    """
-    index = index or Index(words=2, segment_bits=16, radius=1, distance=25)
-    return groups(fingerprints(docs, width, index.words, 42, id_col, text_col), index)

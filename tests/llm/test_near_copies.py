@@ -82,13 +82,3 @@ def test_groups_find_every_link(spark, monkeypatch, block, words, bits, distance
     got = {r.doc_id: r.component_id for r in simhash.groups(df, index).collect()}
     pairs = [(i, j) for i in range(len(prints)) for j in range(i) if (prints[i] ^ prints[j]).bit_count() <= distance]
     assert got == roots(pairs, range(len(prints)))
-
-
-def test_near_duplicates_of_five_words(docs_of):
-    rng = random.Random(3)
-    words = [f"w{rng.randrange(5000)}" for _ in range(400)]
-    near = words[:100] + ["changed"] + words[101:250] + ["too"] + words[251:]
-    other = [f"w{rng.randrange(5000)}" for _ in range(400)]
-    docs = docs_of([" ".join(words), " ".join(near), " ".join(other), " ".join(words).upper()])
-    got = {r.doc_id: r.component_id for r in simhash.near_duplicates(docs).collect()}
-    assert got == {0: 0, 1: 0, 2: 2, 3: 0}

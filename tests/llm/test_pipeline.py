@@ -3,6 +3,7 @@ from collections import defaultdict
 
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -67,6 +68,20 @@ def test_stages_against_plain_python(spark, folder, tmp_path):
         assert r.length == len(r.ids) and r.offset + r.length <= 2048
 
 
+def test_further_columns_pass_through(spark, folder):
+    """Names that operators use themselves, a dotted one and one that differs in its case only."""
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    names = ["size", "Score", "row", "a.b", "copies", "h", "spans", "c", "further_columns", "target"]
+    docs = docs.select("*", *[F.concat(F.lit(n), F.col("doc_id").cast("string")).alias(n) for n in names])
+    rows = spark.conf.get(corpus_pipeline.ARROW_ROWS)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        kept = stage(spark, docs, folder)
+        assert kept.columns == docs.columns
+        found = kept.collect()
+        assert found and all(r[n] == (None if r.doc_id is None else f"{n}{r.doc_id}") for r in found for n in names)
+    spark.conf.set(corpus_pipeline.ARROW_ROWS, rows)
+
+
 @pytest.mark.parametrize("name", list(STAGES))
 def test_stages_of_no_documents(spark, folder, name):
     assert STAGES[name](spark, spark.createDataFrame([], DOCUMENTS), folder).count() == 0
