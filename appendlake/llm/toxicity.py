@@ -15,16 +15,16 @@ from appendlake.llm.inputs import memory_returned, named
 from appendlake.session import persist_table
 
 LENGTHS = (3, 4, 5, 6)
-BIN_BITS = 18
-KEPT_BINS = 4096
+BIN_BITS = 20
 CHARS_AT_ONCE = 1 << 18
+MIN_DOCS = 3
+MIN_ERRORS = 3.0
 
 
 @dataclass
 class Model:
-    """Hashes of the n-grams, sorted, each with its weight; and what a text without them gets."""
+    """The weight of each bin of n-gram hashes, most of them 0; and what a text without them gets."""
 
-    grams: np.ndarray
     weights: np.ndarray
     bias: float
 
@@ -51,21 +51,23 @@ def _bins(h: np.ndarray) -> np.ndarray:
 
 
 class Finder:
-    """Which of a sorted set of hashes a text has."""
+    """Which of the wanted bins, a mark per bin, the n-grams of a text fall into."""
 
     def __init__(self, wanted: np.ndarray):
         self.wanted = wanted
-        self.mark = np.zeros(1 << BIN_BITS, bool)
-        self.mark[_bins(wanted)] = True
+        self.seen = np.zeros(len(wanted), bool)
 
     def of(self, text: str) -> np.ndarray:
         found = [np.zeros(0, np.int64)]
         for h in grams(text):
-            h = h[self.mark[_bins(h)]]
-            at = np.searchsorted(self.wanted, h)
-            at = np.minimum(at, max(0, len(self.wanted) - 1))
-            found.append(at[self.wanted[at] == h] if len(self.wanted) else at[:0])
-        return np.unique(np.concatenate(found))
+            bins = _bins(h)
+            bins = bins[self.wanted[bins]]
+            bins = bins[~self.seen[bins]]  # a bin may still stand here twice, never in two parts
+            self.seen[bins] = True
+            found.append(bins)
+        every = np.concatenate(found)
+        self.seen[every] = False
+        return np.unique(every)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, use: Column, broadcast_rows: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> DataFrame:
@@ -81,45 +83,46 @@ def labelled(docs: DataFrame, labels: DataFrame, use: Column, broadcast_rows: in
     return rows.join(F.broadcast(marks) if few else marks, rows["doc_id"] == marks["id"]).select("doc_id", "text", "label")
 
 
-def trained(rows: DataFrame, kept: int = 1024, fit_rows: int = 20_000, ridge: float = 1.0) -> Model:
+def trained(
+    rows: DataFrame, min_docs: int = MIN_DOCS, min_errors: float = MIN_ERRORS,
+    fit_rows: int = 20_000, fit_entries: int = 20_000_000, ridge: float = 1.0,
+) -> Model:
     """Fits the classifier to rows of ``labelled``.
 
-    Counts cover all rows: first documents per bin of n-gram hashes and class, then,
-    within the bins that differ most between the classes, documents per n-gram and class.
-    The ``kept`` n-grams that differ most are the features, 1 or 0 per text, each scaled
-    by its log-count ratio. The logistic fit takes the ``fit_rows`` rows whose hashed
-    doc_ids are smallest. Rows of one class give a model that knows no n-gram.
+    N-grams are hashed to 2^``BIN_BITS`` bins, the model's fixed width, and all rows are
+    counted: documents per bin and class. Every bin in ``min_docs`` documents or more
+    whose shares in the two classes lie ``min_errors`` standard errors apart is a feature, 1 or 0 per
+    text, scaled by its log-count ratio; there is no other limit to their number. The
+    logistic fit takes the rows whose hashed doc_ids are smallest: ``fit_rows`` of them,
+    or fewer if these have more than ``fit_entries`` features in all (the first row
+    always). A feature that no row of the fit has gets the mean weight of those that some row has, times
+    its ratio. Rows of one class give a model that knows no n-gram.
     """
     totals = dict.fromkeys((0, 1), 0) | {r["label"]: r["n"] for r in rows.groupBy("label").agg(F.count(F.lit(1)).alias("n")).collect()}
     if not totals[0] or not totals[1]:
         share = totals[1] / max(1, totals[0] + totals[1])
-        return Model(np.zeros(0, np.uint64), np.zeros(0), np.inf if share else -np.inf)
+        return Model(np.zeros(1 << BIN_BITS), np.inf if share else -np.inf)
     neg, pos = F.lit(float(totals[0])), F.lit(float(totals[1]))
-    score = _difference(F.col("pos"), F.col("neg"), pos, neg)
-    bins = rows.select("text", "label").mapInArrow(_count_bins, "bin long, pos long, neg long")
+    bins = rows.select("text", "label").mapInArrow(_count_bins, "bin int, pos int, neg int")
     bins = bins.groupBy("bin").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    wide = np.zeros(1 << BIN_BITS, bool)
-    for r in bins.orderBy(F.desc(score), "bin").limit(KEPT_BINS).collect():
-        wide[r["bin"]] = True
-    each = rows.select("text", "label").mapInArrow(_gram_counter(wide), "gram long, pos long, neg long")
-    each = each.groupBy("gram").agg(F.sum("pos").alias("pos"), F.sum("neg").alias("neg"))
-    chosen = each.orderBy(F.desc(score), "gram").limit(kept).collect()
-    hashes = np.array([r["gram"] for r in chosen], np.int64).view(np.uint64)
-    order = np.argsort(hashes)
-    hashes = hashes[order]
-    counts = np.array([(r["pos"], r["neg"]) for r in chosen], float)[order]
-    ratio = np.log((counts[:, 0] + 1) / (totals[1] + 2)) - np.log((counts[:, 1] + 1) / (totals[0] + 2))
+    apart = _difference(F.col("pos"), F.col("neg"), pos, neg) >= min_errors
+    chosen = bins.filter((F.col("pos") + F.col("neg") >= min_docs) & apart).toPandas().sort_values("bin")
+    ratio = np.log((chosen["pos"].to_numpy(float) + 1) / (totals[1] + 2)) - np.log((chosen["neg"].to_numpy(float) + 1) / (totals[0] + 2))
     # The cut is found on ids alone, so no task gathers texts.
     h = F.xxhash64(F.lit(4), "doc_id")
     cut = rows.select(h.alias("h")).orderBy("h").limit(fit_rows).agg(F.max("h")).first()[0]
-    sample = rows.filter(h <= cut).select("text", "label")
-    found = sample.mapInArrow(_finder(hashes), "label int, found array<int>").collect()
-    x = np.zeros((len(found), len(hashes) + 1), np.float32)
-    x[:, -1] = 1
-    for i, r in enumerate(found):
-        x[i, r["found"]] = ratio[r["found"]]
-    weights, bias = _logistic(x, np.array([r["label"] for r in found], float), ridge)
-    return Model(hashes, weights * ratio, bias)
+    sample = rows.filter(h <= cut).select("text", "label", h.alias("h"))
+    sample = persist_table(sample.mapInArrow(_finder(chosen["bin"].to_numpy()), "h long, label int, found array<int>"), "fit")
+    sizes = sample.select("h", F.size("found").alias("n")).toPandas().sort_values("h")
+    fits = sizes["h"][sizes["n"].cumsum() <= fit_entries]
+    last = int(fits.max()) if len(fits) else int(sizes["h"].min())
+    taken = sample.filter(F.col("h") <= last).orderBy("h").select("label", "found").toArrow()
+    found = taken.column("found").combine_chunks()
+    starts = np.concatenate([[0], np.cumsum(found.value_lengths().to_numpy())]).astype(np.int64)
+    fit, bias = _logistic(found.flatten().to_numpy(), starts, ratio, taken.column("label").to_numpy().astype(float), ridge)
+    weights = np.zeros(1 << BIN_BITS)
+    weights[chosen["bin"].to_numpy()] = fit * ratio
+    return Model(weights, bias)
 
 
 def _difference(pos: Column, neg: Column, all_pos: Column, all_neg: Column) -> Column:
@@ -130,66 +133,87 @@ def _difference(pos: Column, neg: Column, all_pos: Column, all_neg: Column) -> C
 
 def _count_bins(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with memory_returned():
-        counts, seen = np.zeros((2, 1 << BIN_BITS), np.int64), np.zeros(1 << BIN_BITS, bool)
+        counts, finder = np.zeros((2, 1 << BIN_BITS), np.int32), Finder(np.ones(1 << BIN_BITS, bool))
         for batch in batches:
             for text, label in zip(batch.column(0), batch.column(1).to_pylist()):
-                for h in grams(text.as_py()):
-                    seen[_bins(h)] = True
-                counts[1 if label else 0] += seen
-                seen[:] = False
-        bins = np.flatnonzero(counts.sum(axis=0))
+                counts[1 if label else 0, finder.of(text.as_py())] += 1
+        bins = np.flatnonzero(counts.any(axis=0)).astype(np.int32)
         for at in range(0, len(bins), 50_000):
             some = bins[at : at + 50_000]
             yield pa.RecordBatch.from_arrays([pa.array(some), pa.array(counts[1, some]), pa.array(counts[0, some])], ["bin", "pos", "neg"])
 
 
-def _gram_counter(wide: np.ndarray):
+def _finder(bins: np.ndarray):
+    """Finds the numbers, among sorted ``bins``, of those a text has."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with memory_returned():
+            wanted = np.zeros(1 << BIN_BITS, bool)
+            wanted[bins] = True
+            finder = Finder(wanted)
             for batch in batches:
-                for at in range(0, batch.num_rows, 500):
-                    part = batch.slice(at, 500)
-                    found, marks = [np.zeros(0, np.uint64)], [np.zeros(0, bool)]
-                    for text, label in zip(part.column(0), part.column(1).to_pylist()):
-                        own = np.unique(np.concatenate([np.zeros(0, np.uint64), *(h[wide[_bins(h)]] for h in grams(text.as_py()))]))
-                        found.append(own)
-                        marks.append(np.full(len(own), bool(label)))
-                    hashes, at_ = np.unique(np.concatenate(found), return_inverse=True)
-                    pos = np.bincount(at_, np.concatenate(marks), len(hashes)).astype(np.int64)
-                    n = np.bincount(at_, minlength=len(hashes))
-                    yield pa.RecordBatch.from_arrays([pa.array(hashes.view(np.int64)), pa.array(pos), pa.array(n - pos)], ["gram", "pos", "neg"])
+                found = [np.searchsorted(bins, finder.of(t.as_py())).astype(np.int32) for t in batch.column(0)]
+                yield pa.RecordBatch.from_arrays([batch.column(2), batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["h", "label", "found"])
 
     return run
 
 
-def _finder(hashes: np.ndarray):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with memory_returned():
-            finder = Finder(hashes)
-            for batch in batches:
-                found = [finder.of(t.as_py()).astype(np.int32) for t in batch.column(0)]
-                yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(found, pa.list_(pa.int32()))], ["label", "found"])
+class _Rows:
+    """A sparse matrix: row i has, in the columns ``found[starts[i]:starts[i+1]]``, these columns' ``scale``."""
 
-    return run
+    def __init__(self, found: np.ndarray, starts: np.ndarray, scale: np.ndarray):
+        self.scale, self.n = scale, len(starts) - 1
+        # Portions of rows, so that no temporary array is as long as ``found``.
+        ends = np.unique(np.append(np.searchsorted(starts, np.arange(0, starts[-1], 1 << 20)), [0, self.n]))
+        self.parts = []
+        for first, last in zip(ends[:-1], ends[1:]):
+            row = np.repeat(np.arange(last - first, dtype=np.int32), np.diff(starts[first : last + 1]))
+            self.parts.append((first, last, row, found[starts[first] : starts[last]]))
 
+    def times(self, w: np.ndarray) -> np.ndarray:
+        w, out = w * self.scale, np.zeros(self.n)
+        for first, last, row, column in self.parts:
+            out[first:last] = np.bincount(row, w[column], last - first)
+        return out
 
-def _logistic(x: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
-    """Ridge logistic regression by Newton steps; the last column, of ones, is hardly shrunk."""
-    w = np.zeros(x.shape[1])
-    shrink = np.full(x.shape[1], ridge)
+    def transposed_times(self, g: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(self.scale))
+        for first, last, row, column in self.parts:
+            out += np.bincount(column, g[first:last][row], len(out))
+        return out * self.scale
+
+
+def _logistic(found: np.ndarray, starts: np.ndarray, ratio: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
+    """Ridge logistic regression by Newton steps, each solved by conjugate gradients.
+
+    The bias is hardly shrunk. Columns without an entry get the mean of the other weights.
+    """
+    x = _Rows(found, starts, ratio)
+    w, shrink = np.zeros(len(ratio) + 1), np.full(len(ratio) + 1, ridge)
     shrink[-1] = 1e-3
     for _ in range(25):
-        # In single precision throughout: a product with doubles would copy the matrix.
-        p = 1 / (1 + np.exp(-np.clip(x @ w.astype(np.float32), -30, 30).astype(float)))
-        r = np.maximum(p * (1 - p), 1e-6).astype(np.float32)
-        hessian = np.diag(shrink)
-        for at in range(0, len(x), 1024):
-            part = x[at : at + 1024]
-            hessian += (part.T * r[at : at + 1024]) @ part
-        step = np.linalg.solve(hessian, x.T @ (y - p).astype(np.float32) - shrink * w)
+        p = 1 / (1 + np.exp(-np.clip(x.times(w[:-1]) + w[-1], -30, 30)))
+        r = np.maximum(p * (1 - p), 1e-6)
+        slope = np.append(x.transposed_times(y - p), (y - p).sum()) - shrink * w
+        step, rest, along = np.zeros_like(w), slope.copy(), slope.copy()
+        norm = rest @ rest
+        enough = norm * 1e-8
+        for _ in range(60):
+            if norm <= max(enough, 1e-18):
+                break
+            v = r * (x.times(along[:-1]) + along[-1])
+            curved = np.append(x.transposed_times(v), v.sum()) + shrink * along
+            length = norm / (along @ curved)
+            step += length * along
+            rest -= length * curved
+            norm, before = rest @ rest, norm
+            along = rest + norm / before * along
         w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
         if np.abs(step).max() < 1e-4:
             break
+    known = np.bincount(found, minlength=len(ratio)) > 0
+    if known.any():
+        w[:-1][~known] = w[:-1][known].mean()
     return w[:-1], float(w[-1])
 
 
@@ -202,7 +226,7 @@ def scored(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
         with memory_returned():
-            finder = Finder(model.grams)
+            finder = Finder(model.weights != 0)
             for part in texts:
                 sums = np.array([model.bias + model.weights[finder.of(t or "")].sum() for t in part], float)
                 yield pd.Series(1 / (1 + np.exp(-np.clip(sums, -700, 700))))

@@ -62,6 +62,61 @@ def test_grams_of_stretches_are_those_of_the_whole(monkeypatch):
     assert len(whole) == sum(len({text[i : i + n] for i in range(len(text) - n + 1)}) for n in toxicity.LENGTHS)
 
 
+def test_features_and_weights_against_plain_python(marked):
+    """All features by support and significance, and weights that solve the ridge problem."""
+    docs, labels = marked
+    rows = toxicity.labelled(docs, labels, F.lit(True))
+    model = toxicity.trained(rows)
+    texts = [({int(h) >> (64 - toxicity.BIN_BITS) for part in toxicity.grams(r.text) for h in part}, r.label) for r in rows.collect()]
+    n_pos = sum(label for _, label in texts)
+    n_neg = len(texts) - n_pos
+    ratio = {}
+    for b in set().union(*(own for own, _ in texts)):
+        pos = sum(label for own, label in texts if b in own)
+        neg = sum(1 - label for own, label in texts if b in own)
+        p = (pos + neg + 1) / (n_pos + n_neg + 2)
+        apart = abs(pos / n_pos - neg / n_neg) / np.sqrt(p * (1 - p) * (1 / n_pos + 1 / n_neg))
+        if pos + neg >= toxicity.MIN_DOCS and apart >= toxicity.MIN_ERRORS:
+            ratio[b] = np.log((pos + 1) / (n_pos + 2)) - np.log((neg + 1) / (n_neg + 2))
+    assert set(np.flatnonzero(model.weights).tolist()) == set(ratio)
+    bins = sorted(ratio)
+    scale = np.array([ratio[b] for b in bins])
+    x = np.array([[b in own for b in bins] for own, _ in texts]) * scale
+    w = model.weights[bins] / scale
+    y = np.array([label for _, label in texts], float)
+    slope = x.T @ (y - 1 / (1 + np.exp(-(x @ w + model.bias)))) - w
+    assert np.abs(slope).max() < 1e-2
+
+
+def test_five_thousand_toxic_terms(spark, docs_of):
+    """No limit of features: terms that eight texts each have are known again in texts of their own."""
+    rng = random.Random(8)
+    terms = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=10)) for _ in range(5000)]
+    plain = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=7)) for _ in range(2000)]
+
+    def text(*own):
+        return " ".join(rng.sample([*own, *rng.choices(plain, k=10 - len(own))], k=10))
+
+    texts = [text(term) for term in terms for _ in range(8)] + [text() for _ in range(40_000)]
+    labels = spark.createDataFrame([(i, int(i < 40_000)) for i in range(80_000)], "doc_id long, toxic int")
+    model = toxicity.trained(toxicity.labelled(docs_of(texts).repartition(8), labels, F.lit(True)))
+    tests = [text(t) for t in rng.sample(terms, k=1000)] + [text() for _ in range(1000)]
+    toxic = {r.doc_id: r.score >= 0.5 for r in toxicity.scored(docs_of(tests), model).collect()}
+    assert sum(toxic[i] for i in range(1000)) >= 900
+    assert sum(toxic[i] for i in range(1000, 2000)) <= 50
+
+
+def test_bounded_fit(marked):
+    """Few entries for the fit: the features stay the same, only their weights come from fewer rows."""
+    docs, labels = marked
+    rows = toxicity.labelled(docs, labels, F.lit(True))
+    all_, few, one = toxicity.trained(rows), toxicity.trained(rows, fit_entries=2000), toxicity.trained(rows, fit_entries=0)
+    assert (np.flatnonzero(all_.weights) == np.flatnonzero(few.weights)).all()
+    scores = {r.doc_id: r.score for r in toxicity.scored(docs, few).collect()}
+    assert sum((scores[i] >= 0.5) == (i % 8 == 0) for i in range(400)) >= 390
+    assert np.isfinite(one.weights).all()
+
+
 @pytest.mark.parametrize(("block", "scale", "k"), [(16_384, 1.0, 20), (50, 1.0, 5), (50, 400.0, 5), (50, 0.01, 7)])
 def test_top_k(spark, monkeypatch, block, scale, k):
     monkeypatch.setattr(topk, "CANDIDATES_PER_BLOCK", block)
