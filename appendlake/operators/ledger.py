@@ -154,6 +154,12 @@ def loaded(spark: SparkSession, config: LakeConfig, entity: str) -> DataFrame:
     return log(spark, config.load_files).join(loads, "load_id", "left_semi").select("target")
 
 
+def begun(spark: SparkSession, config: LakeConfig) -> list[str]:
+    """Ids of loads that named their files and were not logged: they run now, or died."""
+    ids = log(spark, config.load_files).select("load_id").distinct()
+    return [r[0] for r in absent_from(ids, log(spark, config.loads).select("load_id"), ["load_id"]).collect()]
+
+
 def pending(spark: SparkSession, config: LakeConfig, entity: str, mode: str = APPEND) -> DataFrame:
     """Range files a load has to read: the ones not loaded yet, or all of them for a full load."""
     check_mode(mode)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 from appendlake.config import DEFAULT_LANGUAGE, GUARD_COLUMNS, LakeConfig
 from appendlake.functions.guards import date_condition, date_guard
 from appendlake.operators import ledger
-from appendlake.operators.labels import enrich
+from appendlake.operators.labels import enrich, quoted
 from appendlake.session import metrics_of, persist_counted, task_count
 from appendlake.sinks import Sink
 from appendlake.sources import records
@@ -50,10 +50,29 @@ def load_entity(
     ``options`` are those of ``load_rows``.
     """
     ledger.ensure_logs(spark, config)
+    log_finished(spark, config, entity, sink)
     files = ledger.pending(spark, config, entity, mode)
     return load_files(spark, config, files, entity, schema, sink, mode, **options)
 
 
+def log_finished(spark: SparkSession, config: LakeConfig, entity: str, sink: Sink, load_ids: Sequence[str] | None = None) -> bool:
+    """Log the loads whose rows are in a marked table, but whose driver died before it said so.
+
+    Without ``load_ids`` these are looked for among all that named their files. Their
+    files are then no longer pending. How many rows were malformed is not known any more.
+    """
+    if not getattr(sink, "mark", None):
+        return False
+    now = dt.datetime.now(dt.timezone.utc)
+    found = sink.loads_in(spark, entity, ledger.begun(spark, config) if load_ids is None else load_ids)
+    for load_id, rows in sorted(found.items()):
+        number = ledger.take_number(spark, config, entity)
+        place = f"{sink.schema}.{quoted(entity)}"
+        row = (load_id, number, now, None, now, entity, ledger.APPEND, sink.destination_type, place, True, rows, None, "{}", [])
+        ledger.append(spark.createDataFrame([row], ledger.LOADS).coalesce(1), config.loads)
+    return bool(found)
+
+
 def load_files(
     spark: SparkSession,
     config: LakeConfig,
@@ -100,13 +119,16 @@ def load_rows(
     """Write rows read with ``keep_corrupt`` to the sink and log the load.
 
     The number of rows is taken from what was written, so it needs no plan to stay whole.
-    The one row of ``loads``, written last by one task as one file, is what makes the load
+    The files are named in ``load_files`` first. The one row of ``loads``, written last by one task as one file, is what makes the load
     count: if the run dies before it, the next run reads the same files again and the
     folder written so far is never looked at. A load whose rows were all filtered away is
     logged too, so that its files are not read again.
     """
     started = dt.datetime.now(dt.timezone.utc)
     run_ts = run_ts or started
+    if load_id and log_finished(spark, config, entity, sink, [load_id]):
+        return ledger.log(spark, config.loads).where(ledger.is_load(load_id))
+    load_id = load_id or uuid.uuid4().hex
     number = ledger.take_number(spark, config, entity)
     seen = Observation(f"load-{uuid.uuid4().hex}")
     keep = date_condition(every, guard_columns)
@@ -116,18 +138,19 @@ def load_rows(
     rows = every.observe(seen, bad).where(keep).drop(records.CORRUPT)
     if with_labels:
         rows = enrich(rows, read_labels(spark, config.option_path(entity), entity, language, patch))
+    if getattr(sink, "mark", None):
+        rows = rows.withColumn(sink.mark, F.lit(load_id))
+    if update_log and files is not None:
+        ledger.append(files.select(F.lit(load_id).alias("load_id"), "target"), config.load_files)
     written = sink.write(rows, entity, mode, run_ts, number)
     # Without rows there is no bad one, and Spark may have dropped the plan with the counter.
     bad_rows = metrics_of(seen)["bad"] if written.rows else 0
-    load_id = load_id or uuid.uuid4().hex
     row = (
         load_id, number, run_ts, started, dt.datetime.now(dt.timezone.utc), entity, mode, sink.destination_type,
         written.destination, written.rows > 0, written.rows, bad_rows, written.layout(), written.buckets,
     )
     load = spark.createDataFrame([row], ledger.LOADS).coalesce(1)
     if update_log:
-        if files is not None:
-            ledger.append(files.select(F.lit(load_id).alias("load_id"), "target"), config.load_files)
         ledger.append(load, config.loads)
     return load
 

@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from appendlake.config import LakeConfig
 from appendlake.operators import ledger
 from appendlake.operators.sets import absent_from
-from appendlake.plans.loading import load_files
+from appendlake.plans.loading import load_files, log_finished
 from appendlake.sinks import Sink
 
 
@@ -51,6 +51,7 @@ def stream_load(
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
+        log_finished(session, config, entity, sink)
         new = batch.groupBy("target").agg(F.max("bytes").alias("bytes"))
         files = absent_from(new, ledger.loaded(session, config, entity), ["target"])
         load_files(session, config, files, entity, schema, sink, mode, **options)

@@ -359,6 +359,57 @@ def test_catalog_tables(spark, lake, step):
     assert spark.table(log.place).count() == 6
 
 
+@pytest.mark.parametrize("by_stream", [False, True])
+def test_a_catalog_load_that_died_before_its_log_row_is_not_made_again(spark, lake, step, put, tmp_path, monkeypatch, by_stream):
+    sink = CatalogTableSink(lake.log_schema, "parquet")
+    table = f"{lake.log_schema}.acc"
+    append = ledger.append
+
+    def die(rows, table):
+        if table == lake.loads:
+            raise RuntimeError("lost")
+        append(rows, table)
+
+    def load_again(body):
+        if not by_stream:
+            return step(body, sink)
+        put("acc", "p.csv", body)
+        copy_growth(spark, lake, ["acc"], run_ts=START + dt.timedelta(days=1))
+        stream_load(spark, lake, "acc", SCHEMA, sink, f"{tmp_path}/checkpoint").awaitTermination()
+
+    step(text(range(2)), sink)
+    monkeypatch.setattr(loading.ledger, "append", die)
+    with pytest.raises(RuntimeError):
+        step(text(range(2, 5)), sink)
+    monkeypatch.setattr(loading.ledger, "append", append)
+    assert spark.table(table).count() == 5 and ledger.pending(spark, lake, "acc").count() > 0
+    # Files that came since then are loaded, those of the dead load are not loaded again.
+    load_again(text(range(5, 7)))
+    spark.catalog.refreshTable(table)
+    assert names(spark.table(table)) == expected((range(7), "n"))
+    assert ledger.pending(spark, lake, "acc").count() == 0
+    rows = ledger.log(spark, lake.loads).orderBy("number").collect()
+    assert [r.rows_in for r in rows] == [2, 3, 2] and {r.load_id for r in rows} == {r[0] for r in spark.table(table).select(sink.mark).distinct().collect()}
+    assert ledger.begun(spark, lake) == []
+
+
+def test_a_load_that_died_before_its_rows_came_is_made_again(spark, lake, step, monkeypatch):
+    sink = CatalogTableSink(lake.log_schema, "parquet")
+    spark.sql(f"CREATE TABLE {lake.log_schema}.acc ({SCHEMA.toDDL()}, _partition_modification_time timestamp, _file_path string) USING parquet")
+    write = CatalogTableSink.write
+
+    def die(*args):
+        raise RuntimeError("lost")
+
+    monkeypatch.setattr(CatalogTableSink, "write", die)
+    with pytest.raises(RuntimeError):
+        step(text(range(3)), sink)
+    monkeypatch.setattr(CatalogTableSink, "write", write)
+    assert len(ledger.begun(spark, lake)) == 1
+    step("", sink)  # into a table of an earlier version, without marks
+    assert names(spark.table(f"{lake.log_schema}.acc")) == expected((range(3), "n"))
+
+
 def test_file_names_with_special_characters(spark, lake, put):
     for i, name in enumerate(("p 1.csv", "p#é%20.csv", "p[2]{a,b}*.csv")):
         put("acc", name, text(range(3 * i, 3 * i + 3)))
