@@ -85,7 +85,7 @@ def labelled(docs: DataFrame, labels: DataFrame, use: Column, broadcast_rows: in
 
 def trained(
     rows: DataFrame, min_docs: int = MIN_DOCS, min_errors: float = MIN_ERRORS,
-    fit_rows: int = 20_000, fit_entries: int = 20_000_000, ridge: float = 1.0,
+    fit_rows: int = 20_000, fit_entries: int = 4_000_000, ridge: float = 1.0,
 ) -> Model:
     """Fits the classifier to rows of ``labelled``.
 
@@ -186,20 +186,24 @@ class _Rows:
 def _logistic(found: np.ndarray, starts: np.ndarray, ratio: np.ndarray, y: np.ndarray, ridge: float) -> tuple[np.ndarray, float]:
     """Ridge logistic regression by Newton steps, each solved by conjugate gradients.
 
-    The bias is hardly shrunk. Columns without an entry get the mean of the other weights.
+    A step is solved only as far as the slope that is left deserves. The bias is hardly
+    shrunk. Columns without an entry get the mean of the other weights.
     """
     x = _Rows(found, starts, ratio)
-    w, shrink = np.zeros(len(ratio) + 1), np.full(len(ratio) + 1, ridge)
+    w, shrink, first = np.zeros(len(ratio) + 1), np.full(len(ratio) + 1, ridge), None
     shrink[-1] = 1e-3
     for _ in range(25):
         p = 1 / (1 + np.exp(-np.clip(x.times(w[:-1]) + w[-1], -30, 30)))
         r = np.maximum(p * (1 - p), 1e-6)
         slope = np.append(x.transposed_times(y - p), (y - p).sum()) - shrink * w
-        step, rest, along = np.zeros_like(w), slope.copy(), slope.copy()
-        norm = rest @ rest
-        enough = norm * 1e-8
+        norm = slope @ slope
+        first = first or norm
+        if norm <= 1e-10 * first:
+            break
+        enough = norm * min(0.1, np.sqrt(norm / first)) ** 2
+        step, rest, along = np.zeros_like(w), slope.copy(), slope
         for _ in range(60):
-            if norm <= max(enough, 1e-18):
+            if norm <= enough:
                 break
             v = r * (x.times(along[:-1]) + along[-1])
             curved = np.append(x.transposed_times(v), v.sum()) + shrink * along
@@ -209,8 +213,6 @@ def _logistic(found: np.ndarray, starts: np.ndarray, ratio: np.ndarray, y: np.nd
             norm, before = rest @ rest, norm
             along = rest + norm / before * along
         w = w + step * min(1.0, 5 / max(1e-9, np.abs(step).max()))
-        if np.abs(step).max() < 1e-4:
-            break
     known = np.bincount(found, minlength=len(ratio)) > 0
     if known.any():
         w[:-1][~known] = w[:-1][known].mean()
