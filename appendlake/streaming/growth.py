@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
@@ -25,6 +26,7 @@ def stream_growth(
     mode: str = ledger.APPEND,
     interval: str | None = None,
     batch_bytes: int | None = None,
+    seen: Callable[[int], object] | None = None,
     **options,
 ) -> StreamingQuery:
     """Start loading what the entity's source files gain; each batch is one load in the log.
@@ -32,7 +34,8 @@ def stream_growth(
     No range files are made and the log of copies is not used: the state of the source
     lies with the checkpoint. A batch that is run again after a failure is known by its
     id in the log of loads and adds no row twice. Without ``interval`` one batch is loaded,
-    of at most ``batch_bytes``; ``load_growth`` goes on until nothing is new.
+    of at most ``batch_bytes``; ``load_growth`` goes on until nothing is new. ``seen`` is
+    called with the number of each batch that is through.
     """
     if mode == ledger.FULL:
         raise ValueError("a stream appends or upserts; a full load is a batch job")
@@ -41,12 +44,16 @@ def stream_growth(
     state = f"{checkpoint.rstrip('/')}/growing"
     limits = {"file_bytes": config.chunk_bytes} | ({"batch_bytes": batch_bytes} if batch_bytes else {})
     rows = growing.read_growing(spark, f"{config.source_root}/{entity}", schema, state, keep_corrupt=True, **limits)
-    stream_id = _stream_id(state)
+    stream_id, done = _stream_id(state), []
 
     def load_batch(batch: DataFrame, batch_id: int) -> None:
         session, load_id = batch.sparkSession, f"{stream_id}-{batch_id}"
-        if ledger.log(session, config.loads).where(ledger.is_load(load_id)).isEmpty():
+        # Only the first batch of a start can have been run before.
+        if done or ledger.log(session, config.loads).where(ledger.is_load(load_id)).isEmpty():
             load_rows(session, config, batch, entity, sink, mode, load_id=load_id, **options)
+        done[:] = [batch_id]
+        if seen:
+            seen(batch_id)
 
     writer = rows.writeStream.queryName(f"growth_{entity}").option("checkpointLocation", checkpoint).foreachBatch(load_batch)
     if interval:
@@ -55,19 +62,18 @@ def stream_growth(
 
 
 def load_growth(*args, **options) -> int:
-    """Run ``stream_growth`` until no file has new bytes; the number of batches it took.
+    """Load with ``stream_growth`` until no file has new bytes; the number of batches it took.
 
-    A source of this kind is asked once per start how far it goes, so each start loads one
-    batch of bounded size.
+    One start runs all batches, each of bounded size, one after another. A source of this
+    kind is asked once per start with ``availableNow``, which costs a start per batch.
     """
-    batches = 0
-    while True:
-        query = stream_growth(*args, **options)
-        query.awaitTermination()
-        done = [p for p in query.recentProgress if p.numInputRows or p.sources[0].endOffset != p.sources[0].startOffset]
-        if not done:
-            return batches
-        batches += len(done)
+    loaded: list[int] = []
+    query = stream_growth(*args, **options, interval="0 seconds", seen=loaded.append)
+    try:
+        query.processAllAvailable()
+    finally:
+        query.stop()
+    return len(loaded)
 
 
 def _stream_id(state: str) -> str:

@@ -121,6 +121,19 @@ def test_capped_batches(spark, lake, put, state):
     assert found(current_run_folders(spark, lake, "acc")) == expected(range(20))
 
 
+def test_one_start_runs_all_batches(spark, lake, put, state, monkeypatch):
+    put("acc", "p.csv", text(range(20)))
+    starts, start = [], growth.stream_growth
+    monkeypatch.setattr(growth, "stream_growth", lambda *args, **options: starts.append(0) or start(*args, **options))
+    batches = load_growth(spark, lake, "acc", SCHEMA, RunFolderSink(lake), state, batch_bytes=150)
+    assert batches == ledger.log(spark, lake.loads).count() > 1
+    assert len(starts) == 1
+    assert found(current_run_folders(spark, lake, "acc")) == expected(range(20))
+    put("acc", "p.csv", text([20]))
+    assert load_growth(spark, lake, "acc", SCHEMA, RunFolderSink(lake), state, batch_bytes=150) == 1
+    assert found(current_run_folders(spark, lake, "acc")) == expected(range(21))
+
+
 @pytest.mark.parametrize("after_the_log", [True, False])
 def test_a_death_inside_a_batch_adds_no_row_twice(spark, lake, put, state, monkeypatch, after_the_log):
     sink, load = RunFolderSink(lake), loading.load_rows
