@@ -7,6 +7,7 @@ import re
 import zlib
 from array import array
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from appendlake.llm.inputs import memory_returned, named
 from appendlake.session import persist_table
 
+CHUNKS_AT_ONCE = 50
 GROUP_TOKENS = 8_000_000
 GROUP_PIECES = 100_000
 
@@ -41,6 +43,12 @@ class ChunkTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        # A character of an entry is a byte; added strings are plain text.
+        self.n_bytes = np.zeros(max(known.values(), default=0) + 1, np.int64)
+        self.n_bytes[list(known.values())] = [len(entry) for entry in known]
+        for i, added in self.tokenizer.get_added_tokens_decoder().items():
+            self.n_bytes[i] = len(added.content.encode())
         self.kept = kept
         self._forget()
 
@@ -87,13 +95,30 @@ class ChunkTokens:
         if len(self.number) > self.kept:
             self._forget()
         new = [c for c in chunks if c not in self.number]
+        spaced = [c[0:1] == " " and not c[1:2].isspace() and not c[-1].isspace() for c in new]
+        self._add([c for c, is_spaced in zip(new, spaced) if is_spaced], CHUNKS_AT_ONCE)
+        self._add([c for c, is_spaced in zip(new, spaced) if not is_spaced], 1)
+        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+
+    def _add(self, new: list[str], together: int) -> None:
+        """Encodes ``together`` chunks as one text. The places between them are such where texts may
+        be cut, so the bytes that the tokens stand for tell the chunks' ids apart."""
         for at in range(0, len(new), 10_000):
             some = new[at : at + 10_000]
-            for chunk, found in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False)):
-                self.number[chunk] = len(self.starts) - 1
-                self.ids.extend(found.ids)
-                self.starts.append(len(self.ids))
-        return np.fromiter(map(self.number.__getitem__, chunks), np.int64, len(chunks))
+            texts = ["".join(some[i : i + together]) for i in range(0, len(some), together)]
+            found = [e.ids for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+            ids = np.fromiter(chain.from_iterable(found), np.uint32)
+            if together == 1:
+                ends = np.cumsum([len(f) for f in found])
+            else:
+                bytes_to, places = np.cumsum(self.n_bytes[ids]), np.cumsum([len(c.encode()) for c in some])
+                ends = np.searchsorted(bytes_to, places) + 1
+                if len(ids) != ends[-1] or (bytes_to[ends - 1] != places).any():
+                    self._add(some, 1)
+                    continue
+            self.number.update(zip(some, range(len(self.starts) - 1, len(self.starts) - 1 + len(some))))
+            self.starts.frombytes((len(self.ids) + ends).astype(np.int64).tobytes())
+            self.ids.frombytes(ids.tobytes())
 
 
 def _by_bytes(batch: pa.RecordBatch, at_once: int) -> Iterator[pa.RecordBatch]:

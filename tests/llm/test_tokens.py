@@ -32,6 +32,24 @@ def test_same_as_the_libraries(tools, text):
     assert ids[ends[0] :].tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_new_chunks_are_encoded_together():
+    chunks = packing.ChunkTokens(BYTE_BPE)
+    library, given_ = chunks.tokenizer, []
+
+    class Counted:
+        def encode_batch_fast(self, texts, **options):
+            given_.extend(texts)
+            return library.encode_batch_fast(texts, **options)
+
+    chunks.tokenizer = Counted()
+    rng = random.Random(6)
+    texts = [" ".join(rng.choice(["wo", "rd", "<|endoftext|>", "é", "'s", "."]) + str(rng.randrange(10**6)) for _ in range(200)) + "\nend" for _ in range(20)]
+    ids, ends = chunks.of(pa.array(texts))
+    for text, own in zip(texts, np.split(ids, ends[:-1])):
+        assert own.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert len(given_) < 4000 // 20
+
+
 def test_counts(odd_docs, no_docs, tools):
     got = {(r.doc_id, r.n_bytes): (r.n_tokens, r.over_limit) for r in token_counts.counted(odd_docs, PIECES).collect()}
     for r in odd_docs.collect():
