@@ -38,6 +38,15 @@ def test_one_document(docs_of):
     assert r.near_next == 1.0 and r.edited_sha256 == hashlib.sha256(b"some words hsom").hexdigest()
 
 
+def test_a_word_of_equal_weight_in_both_texts_is_sampled_once(spark):
+    texts = spark.createDataFrame([(0, "a b b c", "b a b d a"), (1, "x y", "x y"), (2, "", None)], "id long, x string, y string")
+    rows = texts.select("id", cws._terms(F.col("x")).alias("hs0"), cws._terms(F.col("y")).alias("hs1"))
+    rows = rows.select("id", "hs0", "hs1", *[cws._firsts(F.col(f"hs{i}")).alias(f"first{i}") for i in range(2)])
+    rows = rows.select("id", F.sort_array(F.concat(cws._runs("hs0", "first0", 0), cws._runs("hs1", "first1", 1))).alias("runs"))
+    got = {r.id: sorted((x.n, x.texts) for x in r.merged) for r in rows.select("id", cws._merged("runs", 2).alias("merged")).collect()}
+    assert got == {0: [(1, 1), (1, 1), (1, 2), (2, 2), (2, 3)], 1: [(1, 3), (1, 3)], 2: []}
+
+
 def test_collisions_follow_the_weighted_similarity(docs_of):
     texts = []
     for i in range(60):
