@@ -148,21 +148,21 @@ def links(classes: DataFrame, index: Index) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with memory_returned():
-            for part in _whole_groups(batches):
+            for part in whole_groups(batches):
                 a, b = _compared(part, words, distance)
                 yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return met.mapInArrow(run, "a long, b long")
 
 
-def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
+def whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.ndarray]]:
     """Batches of sorted rows, cut between groups instead of anywhere."""
     held: dict[str, np.ndarray] | None = None
     for batch in batches:
         part = {n: np.asarray(c) for n, c in zip(batch.schema.names, batch.columns)}
         if held is not None:
             part = {n: np.concatenate([held[n], c]) for n, c in part.items()}
-        starts = _starts(part)
+        starts = group_starts(part)
         cut = starts[-1] if len(starts) else 0
         held = {n: c[cut:] for n, c in part.items()}
         if cut:
@@ -171,7 +171,7 @@ def _whole_groups(batches: Iterator[pa.RecordBatch]) -> Iterator[dict[str, np.nd
         yield held
 
 
-def _starts(part: dict[str, np.ndarray]) -> np.ndarray:
+def group_starts(part: dict[str, np.ndarray]) -> np.ndarray:
     if not len(part["key"]):
         return np.zeros(0, np.int64)
     new = np.ones(len(part["key"]), bool)
@@ -183,7 +183,7 @@ def _compared(part: dict[str, np.ndarray], words: int, distance: int) -> tuple[n
     """Forest of the pairs within the distance in each group; entries come before looks."""
     fps = np.stack([part[f"fp{i}"].view(np.uint64) for i in range(words)])
     ids, looks = part["class_id"], part["looks"]
-    starts = _starts(part)
+    starts = group_starts(part)
     sizes = np.diff(np.append(starts, len(ids)))
     group = np.repeat(np.arange(len(starts)), sizes)
     small = np.flatnonzero(np.repeat(sizes <= 64, sizes))
