@@ -47,6 +47,29 @@ def test_a_word_of_equal_weight_in_both_texts_is_sampled_once(spark):
     assert got == {0: [(1, 1), (1, 1), (1, 2), (2, 2), (2, 3)], 1: [(1, 3), (1, 3)], 2: []}
 
 
+def test_dropped_samples_never_change_a_signature(spark):
+    """Whether few, some or no samples are dropped; rows left without a sure winner are sampled again."""
+    rows = [(i, " ".join(f"w{j % (7 + i)}" for j in range(i * i)), " ".join(f"v{j * j % 50}" for j in range(30 * i)) or None) for i in range(25)]
+    texts = spark.createDataFrame(rows, "id long, x string, y string")
+    found = [sorted(cws.signatures(texts, ["id"], ["x", "y"], keep=k).collect()) for k in (float("inf"), cws.KEEP, 4.0, 0.05)]
+    assert all(f == found[0] for f in found)
+    assert [(r.id, r.x_sig is None, r.y_sig is None) for r in found[0]] == [(i, i == 0, i == 0) for i in range(25)]
+    assert all(len(r.x_sig) == len(r.y_sig) == cws.SAMPLES for r in found[0][1:])
+    unsure = [cws._sampled(texts, ["id"], ["x", "y"], (), k).filter("not sure").count() for k in (float("inf"), 0.05)]
+    assert unsure[0] == 0 and unsure[1] > 0
+
+
+def test_most_samples_take_no_logarithm(spark):
+    """Of 500 words of weight 1 or 3, few may win; those that may include each with a below the limit."""
+    rows = spark.range(500).select(F.when(F.col("id") % 2 == 0, 1).otherwise(3).alias("n"), F.xxhash64("id").alias("term"))
+    rows = rows.select("n", F.explode(F.sequence(F.lit(0), F.lit(63))).alias("k"), "term").select("n", F.xxhash64("term", "k").alias("h"))
+    limit = cws.KEEP / 1000
+    may = cws._may_win(F.col("h"), F.col("n"), F.lit(limit)).alias("may")
+    got = rows.select(may, cws._log_a(cws._sample(F.col("h"), F.log(F.col("n").cast("double")))).alias("log_a"))
+    r = got.agg(F.avg(F.col("may").cast("int")).alias("share"), F.min(F.when(~F.col("may"), F.exp("log_a"))).alias("least_dropped")).first()
+    assert r.share < 0.25 and r.least_dropped > limit
+
+
 def test_collisions_follow_the_weighted_similarity(docs_of):
     texts = []
     for i in range(60):
