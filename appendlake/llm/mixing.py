@@ -6,6 +6,7 @@ from dataclasses import dataclass, field
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -123,8 +124,9 @@ def quotas(docs: DataFrame, seed: int, weights: tuple[float, ...] = WEIGHTS, cap
     spark = docs.sparkSession
     bits = 0
     while open_:
-        rows = [(s, prefix) for s, (prefix, _, _) in open_.items()]
-        edges = spark.createDataFrame(rows, "edge_source string, prefix long")
+        # From Arrow: a list of rows would start further Python workers on the executors.
+        prefixes = pa.array([prefix for prefix, _, _ in open_.values()], pa.int64())
+        edges = spark.createDataFrame(pa.table({"edge_source": pa.array(list(open_), pa.string()), "prefix": prefixes}))
         inside = small.join(F.broadcast(edges), small["source"].eqNullSafe(edges["edge_source"]) & (_top(F.col("h"), bits) == edges["prefix"]))
         last = {s for s, (_, _, n) in open_.items() if n <= EDGE_ROWS or bits == 64}
         if last:
@@ -221,7 +223,8 @@ def mixed(docs: DataFrame, shards: int = 16, seed: int = 3, **options) -> DataFr
     """The mix itself: a row per copy, with ``mix_shard``, sorted within shards by the local shuffle."""
     rows = placed(docs, shards, seed, **options)
     kept = [named(c) for c in rows.columns if c not in ("size", "source_size", "target", "copies", "mix_shard", "mix_order")]
-    copies = rows.select(*kept, F.explode("copies").alias("copies"))
+    # After a plain explode Spark filters for non-empty copies ahead, which calls place twice, with two workers a task.
+    copies = rows.select(*kept, F.explode_outer("copies").alias("copies")).filter(F.col("copies").isNotNull())
     copies = copies.select(*kept, F.col("copies.shard").alias("mix_shard"), F.col("copies.order").alias("mix_order"))
     # Ranges of (shard, order): as many tasks as the data needs, and the order within a shard holds.
     return copies.repartitionByRange("mix_shard", "mix_order").sortWithinPartitions("mix_shard", "mix_order")

@@ -1,3 +1,5 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 
@@ -70,3 +72,20 @@ def test_shards(odd_docs, no_docs):
     again = sharding.sharded(odd_docs.repartition(5), order, 4).collect()
     assert sorted(map(pair, again)) == sorted(map(pair, rows))
     assert sharding.sharded(no_docs, order).count() == 0
+
+
+def test_few_python_workers(spark, docs_of, monkeypatch):
+    """A task of the mix calls ``place`` once, and the descent starts no Python of its own."""
+
+    def refused(*_, **__):
+        raise AssertionError("rows of a list go through Python workers")
+
+    monkeypatch.setattr(mixing, "EDGE_ROWS", 3)
+    docs = docs_of(["w " * (1 + i % 9) for i in range(300)], sources=[["a", "b", None][i % 3] for i in range(300)])
+    with monkeypatch.context() as m:
+        m.setattr(type(spark.sparkContext), "parallelize", refused)
+        mix = mixing.mixed(docs)
+    assert mix._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
+    copies = {r.doc_id: len(r.copies) for r in mixing.placed(docs).select("doc_id", "copies").collect()}
+    assert 0 in copies.values()
+    assert Counter(r.doc_id for r in mix.select("doc_id").collect()) == {i: n for i, n in copies.items() if n}

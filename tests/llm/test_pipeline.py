@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -82,6 +83,20 @@ def test_further_columns_pass_through(spark, folder):
     spark.conf.set(corpus_pipeline.ARROW_ROWS, rows)
 
 
+def test_batches_of_long_texts(spark):
+    """A batch of whole texts is bounded by bytes, not by rows alone."""
+    before = {c: spark.conf.get(c) for c in (corpus_pipeline.ARROW_ROWS, corpus_pipeline.ARROW_BYTES)}
+    try:
+        corpus_pipeline.batches_of(spark, 10_000)
+        texts = spark.range(0, 300, 1, 1).select(F.repeat(F.lit("x"), 100_000).alias("text"))
+        sizes = texts.mapInArrow(lambda batches: (pa.RecordBatch.from_arrays([pa.array([b.nbytes])], ["n"]) for b in batches), "n long")
+        sizes = [r.n for r in sizes.collect()]
+        assert sum(sizes) >= 300 * 100_000 and max(sizes) <= corpus_pipeline.BATCH_BYTES + 200_000
+    finally:
+        for c, value in before.items():
+            spark.conf.set(c, value)
+
+
 @pytest.mark.parametrize("name", list(STAGES))
 def test_stages_of_no_documents(spark, folder, name):
     assert STAGES[name](spark, spark.createDataFrame([], DOCUMENTS), folder).count() == 0
